@@ -19,12 +19,14 @@ from rowan.operators.learners import (
     build_estimator,
     weight_column,
 )
-from rowan.operators.metrics import METRICS, classification_metrics
+from rowan.operators.metrics import METRICS, classification_metrics, ranges_for
 from rowan.operators.scoring import with_scores
 from rowan.operators.split import Folds
 from rowan.spec import DatasetSpec
 
 FOLD = "__fold"
+# Folds of a table up to this size are held side by side; of a larger one, one at a time.
+SIDE_BY_SIDE_ROWS = 2_000_000
 # Jobs a driver keeps in flight at once; the executors share the persisted fold.
 PARALLELISM = 8
 
@@ -65,6 +67,12 @@ def in_parallel(work: Callable[[Any], Any], items: list[Any], parallelism: int)
         return pool.map(work, items, chunksize=1)
 
 
+def over_folds(work: Callable[[int], Any], folds: Folds) -> list[Any]:
+    """Run a fold's work for every fold, in fold order."""
+    small = sum(folds.sizes.values()) <= SIDE_BY_SIDE_ROWS
+    return in_parallel(work, list(range(folds.k)), folds.k if small else 1)
+
+
 def fit_families(
     fitting: DataFrame,
     families: Mapping[str, Mapping[str, Any]],
@@ -90,15 +98,18 @@ def cross_validate(
     parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """Held-out scores as rows (model, fold, metric, value), unrounded."""
-    rows = []
-    for fold in range(folds.k):
+
+    def scores(fold: int) -> list[tuple[str, int, str, float]]:
         with fold_frame(train, spec, folds, fold, columns) as (fitting, held_out, n):
             models = fit_families(fitting, families, n, seed, parallelism)
             scored = with_scores(models, held_out, [LABEL])
-            measured = classification_metrics(scored, ["model"], label=LABEL)
+            measured = classification_metrics(
+                scored, ["model"], label=LABEL, ranges=ranges_for(n * len(families))
+            )
             # One row per family.
-            for r in measured.collect():
-                rows += [(r["model"], fold, m, r[m]) for m in METRICS]
+            return [(r["model"], fold, m, r[m]) for r in measured.collect() for m in METRICS]
+
+    rows = [row for part in over_folds(scores, folds) for row in part]
     return train.sparkSession.createDataFrame(
         rows, "model string, fold int, metric string, value double"
     )

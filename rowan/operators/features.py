@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
@@ -58,7 +59,14 @@ def fit_numeric(
     """
     if not columns:
         return []
-    values = [F.expr(number_sql(c, df.schema[c].dataType)) for c in columns]
+    # Parsed once per row; the passes below use each value several times.
+    parsed = df.select(
+        *[
+            F.expr(number_sql(c, df.schema[c].dataType)).alias(f"v{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
+    values = [F.col(f"v{i}") for i in range(len(columns))]
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, v in enumerate(values):
         aggregates += [
@@ -66,8 +74,8 @@ def fit_numeric(
             F.avg(v).alias(f"mean{i}"),
             F.var_pop(v).alias(f"var{i}"),
         ]
-    row = df.agg(*aggregates).first()
-    fitted = medians(df, values, [row[f"n{i}"] for i in range(len(columns))], exact_rows)
+    row = parsed.agg(*aggregates).first()
+    fitted = medians(parsed, values, [row[f"n{i}"] for i in range(len(columns))], exact_rows)
     stats = []
     for i, (name, median) in enumerate(zip(columns, fitted, strict=True)):
         if median is None:
@@ -211,8 +219,13 @@ class TabularPreprocessor(Estimator):
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         columns = self.columns if self.columns is not None else dataset.columns
         columns = [c for c in columns if not c.startswith("__")]
-        numeric = fit_numeric(dataset, self.spec.numeric_features(columns), self.exact_rows)
-        categorical = fit_categories(dataset, self.spec.categorical_features(columns))
+        numbers = self.spec.numeric_features(columns)
+        texts = self.spec.categorical_features(columns)
+        # Two independent sets of passes over different columns.
+        with ThreadPool(2) as pool:
+            pending = pool.apply_async(fit_categories, (dataset, texts))
+            numeric = fit_numeric(dataset, numbers, self.exact_rows)
+            categorical = pending.get()
         if not numeric and not categorical:
             raise ValueError("No feature column has a value.")
         return transformation(dataset, numeric, categorical, self.output)

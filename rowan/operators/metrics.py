@@ -23,6 +23,12 @@ THRESHOLDS = (
 )
 
 _COUNTS = ("tp", "fp", "fn", "tn")
+# Below this many scored rows one sorted range is fine.
+SMALL_ROWS = 1_000_000
+
+
+def ranges_for(rows: int) -> int | None:
+    return 1 if rows <= SMALL_ROWS else None
 
 
 def rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
@@ -70,13 +76,14 @@ def roc_auc(
     Rows with equal scores collapse before the first shuffle. The running count of negatives is
     taken inside score ranges of similar size, and the ranges' totals are chained afterwards, so
     no class or group is ever sorted in one task. Pair counts are kept as exact decimals.
+    A caller that knows the table to be small saves the sketch with ``ranges=1``.
     """
     spark = df.sparkSession
     ranges = ranges or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     by = list(by)
     data = df.select(*by, F.col(label).alias("y"), F.col(score).cast("double").alias("s"))
     data = data.filter("y is not null and s is not null")
-    cuts = _even_cuts(data, "s", ranges)
+    cuts = _even_cuts(data, "s", ranges) if ranges > 1 else []
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
         data = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(data)
@@ -121,12 +128,13 @@ def classification_metrics(
     label: str = "label",
     prediction: str = "prediction",
     probability: str = "probability",
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per group with the four confusion counts and all five metrics, unrounded."""
     groups = list(by) or ["__all"]
     data = df if by else df.withColumn("__all", F.lit(0))
     counted = confusion(data, groups, label, prediction)
-    auc = roc_auc(data, groups, label, probability)
+    auc = roc_auc(data, groups, label, probability, ranges)
     shares = rates(*[F.col(c) for c in _COUNTS])
     return counted.join(auc, groups, "left").select(
         *by, *_COUNTS, *[shares[m].alias(m) for m in METRICS[:-1]], "roc_auc"
@@ -169,24 +177,20 @@ def threshold_sweep(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
 
-    def at_or_above(counter: str, i: int) -> Column:
-        return F.sum(F.when(F.col("band") > i, F.col(counter)).otherwise(0))
+    def at_or_above(counter: str, i: int) -> str:
+        return f"sum(CASE WHEN band > {i} THEN {counter} ELSE 0 END)"
 
+    # As text: building this many column objects one by one costs more than running them.
+    cells = [
+        f"named_struct('position', {position}, 'threshold', CAST('{t!r}' AS DOUBLE), "
+        f"'tp', {at_or_above('pos', ordered.index(t))}, "
+        f"'fp', {at_or_above('neg', ordered.index(t))})"
+        for position, t in enumerate(grid)
+    ]
     totals = bands.groupBy(*by).agg(
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(ordered.index(t)).alias("rank"),
-                    F.lit(i).alias("position"),
-                    F.lit(t).alias("threshold"),
-                    at_or_above("pos", ordered.index(t)).alias("tp"),
-                    at_or_above("neg", ordered.index(t)).alias("fp"),
-                )
-                for i, t in enumerate(grid)
-            ]
-        ).alias("cells"),
+        F.expr(f"array({', '.join(cells)})").alias("cells"),
     )
     counted = totals.select(*by, "pos", "neg", F.explode("cells").alias("c")).select(
         *by,

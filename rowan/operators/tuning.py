@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowan.operators.cv import PARALLELISM, fold_frame, in_parallel, labelled
+from rowan.operators.cv import PARALLELISM, fold_frame, in_parallel, labelled, over_folds
 from rowan.operators.learners import LABEL, PREDICTION, build_estimator
 from rowan.operators.metrics import confusion, rates
 from rowan.operators.split import Folds
@@ -56,22 +56,24 @@ def run_trials(
     trials = {f: sample_trials(f, num_samples, seed) for f in families}
     # Forests first: they run longest, the short fits fill the gaps.
     queue = [(f, i) for f in sorted(trials, reverse=True) for i in range(num_samples)]
-    scores: list[tuple[str, int, int, float]] = []
     f1 = rates(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])["f1"]
-    for fold in range(folds.k):
+
+    def fold_scores(fold: int) -> list[tuple[str, int, int, float]]:
         with fold_frame(train, spec, folds, fold, columns) as (fitting, held_out, n):
             data = labelled(fitting)
             # Fill the cache once, before the trials start side by side.
             data.count()
 
-            def score(item: tuple[str, int], n: int = n) -> tuple[str, int, int, float]:
+            def score(item: tuple[str, int]) -> tuple[str, int, int, float]:
                 family, i = item
                 settings = {**trials[family][i], "max_iter": TRIAL_ITERATIONS}
                 model = build_estimator(family, settings, n, seed).fit(data)
                 counted = confusion(model.transform(held_out), (), LABEL, PREDICTION)
                 return family, i, fold, counted.select(f1.alias("f1")).first()["f1"]
 
-            scores += in_parallel(score, queue, parallelism)
+            return in_parallel(score, queue, parallelism)
+
+    scores = [row for part in over_folds(fold_scores, folds) for row in part]
     spark = train.sparkSession
     per_fold = spark.createDataFrame(scores, "model string, trial int, fold int, f1 double")
     per_trial = per_fold.groupBy("model", "trial").agg(

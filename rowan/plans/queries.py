@@ -156,7 +156,8 @@ def drift_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = _yearly_reports(spark, sf_dir)
+    # A few rows per year, used by every comparison.
+    reports = _yearly_reports(spark, sf_dir).persist()
     return drift.drift_report(reports, drift.consecutive_pairs(reports), views.LINES)
 
 

@@ -25,6 +25,7 @@ from rowan.operators.metrics import (
     best_trial,
     classification_metrics,
     default_threshold,
+    ranges_for,
     score_summary,
     select_best,
     threshold_sweep,
@@ -169,7 +170,9 @@ def train_models(
             fitted, preprocessor.transform(test).select(FEATURES, LABEL), [LABEL]
         ).persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(scored)
-        test_metrics = _local(classification_metrics(scored, ["model"], label=LABEL))
+        ranges = ranges_for(sum(split.held_out.values()) * len(fitted))
+        measured = classification_metrics(scored, ["model"], label=LABEL, ranges=ranges)
+        test_metrics = _local(measured)
         selected = select_best(test_metrics, settings.selection_metric, list(fitted)).first()[0]
         sweep = _local(threshold_sweep(scored.filter(F.col("model") == selected), label=LABEL))
 

@@ -5,9 +5,10 @@ Each view is a ``DatasetSpec`` and a lazily derived DataFrame over whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowan.functions.scores import at_least
 from rowan.functions.text import normalise_na
 from rowan.spec import DatasetSpec
 
@@ -119,10 +120,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and style measures over each whole text."""
-    words = F.filter(F.split("text", "[ \\t\\n\\r]+"), lambda w: w != "")
+    words = F.array_remove(F.split("text", "[ \\t\\n\\r]+"), "")
     bare = F.regexp_replace("text", "[A-Za-z0-9 \\t\\n\\r]", "")
 
-    def share(part, whole):
+    def share(part: Column, whole: Column) -> Column:
         return F.try_divide(part.cast("double"), whole.cast("double"))
 
     measured = table(spark, sf_dir, "documents").select(
@@ -163,21 +164,19 @@ def scored_orders(spark: SparkSession, sf_dir: str, variants: int = 1) -> DataFr
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", (F.col("o_orderkey") % 5).cast("int").alias("fold"), label.alias("label")
     )
-    scorers = [(m, step, lift) for m, step, lift in (("a", 7919, 250), ("b", 6101, 500), ("c", 4603, 500))]
+
+    def scorer(name: str, trial: int, step: int, lift: int) -> Column:
+        points = F.col("o_orderkey") * (step + 2 * trial) % 1000 + lift * F.col("label")
+        return F.struct(
+            F.lit(name).alias("model"),
+            F.lit(trial).alias("trial"),
+            (points / F.lit(1000.0 + lift)).alias("probability"),
+        )
+
+    scorers = (("a", 7919, 250), ("b", 6101, 500), ("c", 4603, 500))
     cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("model"),
-                F.lit(t).alias("trial"),
-                (
-                    (F.pmod(F.col("o_orderkey") * F.lit(step + 2 * t), F.lit(1000)) + lift * F.col("label"))
-                    / F.lit(1000.0 + lift)
-                ).alias("probability"),
-            )
-            for name, step, lift in scorers
-            for t in range(variants)
-        ]
-    )
-    return orders.select("o_orderkey", "fold", "label", F.explode(cells).alias("s")).select(
-        "o_orderkey", "fold", "label", "s.*", (F.col("s.probability") >= 0.5).cast("int").alias("prediction")
+        *[scorer(name, t, step, lift) for name, step, lift in scorers for t in range(variants)]
     )
+    scored = orders.select("o_orderkey", "fold", "label", F.explode(cells).alias("s"))
+    prediction = at_least(F.col("s.probability")).alias("prediction")
+    return scored.select("o_orderkey", "fold", "label", "s.*", prediction)
