@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
+
+from rowan.operators.features import FEATURES
+from rowan.operators.learners import (
+    LABEL,
+    PROBABILITY,
+    WEIGHT,
+    balanced_weights,
+    build_estimator,
+    candidates,
+    class_weights,
+    positive_weight,
+    weight_column,
+)
+from rowan.operators.tuning import C_RANGE, FOREST_SPACE, apply_tuned, sample_trials
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3)) * [1.0, 2.0, 0.5]
+    y = (x @ [1.0, -0.5, 0.3] + rng.logistic(size=300) > 0.8).astype(float)
+    sizes = {"0.0": int((y == 0).sum()), "1.0": int((y == 1).sum())}
+    df = spark.createDataFrame(
+        [(Vectors.dense(a), float(b)) for a, b in zip(x, y, strict=True)], [FEATURES, LABEL]
+    )
+    return x, y, sizes, df.withColumn(WEIGHT, weight_column(sizes)).coalesce(1).persist()
+
+
+def test_balanced_weights_add_up_to_the_rows(data):
+    _, y, sizes, df = data
+    assert balanced_weights({"0": 30, "1": 10}) == {"0": 40 / 60, "1": 2.0}
+    assert df.groupBy().sum(WEIGHT).first()[0] == pytest.approx(len(y))
+    rows = {r[LABEL]: r["weight"] for r in class_weights(df).collect()}
+    assert rows[1.0] == pytest.approx(len(y) / (2 * sizes["1.0"]))
+    assert positive_weight(df).first()[0] == pytest.approx(sizes["0.0"] / sizes["1.0"])
+
+
+def test_positive_weight_without_positives(spark):
+    df = spark.createDataFrame([(0.0,), (0.0,)], [LABEL])
+    assert positive_weight(df).first()[0] == 1.0
+
+
+@pytest.mark.parametrize("strength", [0.03, 1.0])
+def test_logistic_regression_minimises_its_objective(data, strength):
+    """Newton's method on ``|w|^2 / 2 + C * sum(weight * loss)`` with a free intercept."""
+    x, y, sizes, df = data
+    weights = balanced_weights(sizes)
+    s = np.where(y == 1, weights["1.0"], weights["0.0"])
+    a = np.column_stack([x, np.ones(len(y))])
+    ridge = np.diag([1.0, 1.0, 1.0, 0.0])
+    w = np.zeros(4)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-a @ w))
+        grad = ridge @ w + strength * a.T @ (s * (p - y))
+        hess = ridge + strength * (a.T * (s * p * (1 - p))) @ a
+        w -= np.linalg.solve(hess, grad)
+    model = build_estimator("logistic_regression", {"C": strength}, len(y), 1).fit(df)
+    got = [*model.coefficients.toArray(), model.intercept]
+    assert got == pytest.approx(w, abs=2e-4)
+
+
+def test_forest_is_reproducible_and_respects_leaf_size(data):
+    _, y, _, df = data
+    params = {"n_estimators": 5, "max_depth": None, "min_samples_leaf": 8}
+
+    def fitted():
+        model = build_estimator("random_forest", params, len(y), 7).fit(df)
+        return model, [r[0][1] for r in model.transform(df).select(PROBABILITY).collect()]
+
+    (model, a), (_, b) = fitted(), fitted()
+    assert a == b
+    assert model.getNumTrees == 5
+    assert model.getOrDefault("maxDepth") == 30
+    assert max(t.depth for t in model.trees) < 20
+
+
+def test_candidates_and_unknown_family():
+    assert list(candidates()) == ["logistic_regression", "random_forest"]
+    assert list(candidates({"logistic_regression": {"enabled": False}})) == ["random_forest"]
+    assert candidates({"random_forest": {"max_depth": 3}})["random_forest"]["max_depth"] == 3
+    with pytest.raises(ValueError, match="Unknown model"):
+        build_estimator("svm", {}, 1, 1)
+
+
+def test_samples_stay_in_the_search_space():
+    draws = sample_trials("logistic_regression", 200, 42)
+    assert all(C_RANGE[0] <= d["C"] <= C_RANGE[1] for d in draws)
+    assert 0.35 < np.mean([d["C"] < 10**-0.5 for d in draws]) < 0.65
+    for d in sample_trials("random_forest", 50, 42):
+        assert all(d[name] in options for name, options in FOREST_SPACE.items())
+    assert sample_trials("random_forest", 5, 1) == sample_trials("random_forest", 5, 1)
+    tuned = apply_tuned(candidates(), {"logistic_regression": {"C": 0.5}})
+    assert tuned["logistic_regression"]["C"] == 0.5
+    assert candidates()["logistic_regression"]["C"] == 1.0
