@@ -1,0 +1,55 @@
+"""Every query runs; those with a SQL twin agree with a second engine."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as contract
+
+DATA = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not mounted")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in DATA.glob("*.parquet"):
+        con.execute(f"create view {path.stem} as select * from read_parquet('{path}')")
+    return con
+
+
+def canonical(frame: pd.DataFrame) -> list[tuple]:
+    columns = [frame[c].astype(object).where(frame[c].notna(), None) for c in sorted(frame.columns)]
+    rows = zip(*columns, strict=True)
+    return sorted((tuple(v + 0.0 if isinstance(v, float) else v for v in r) for r in rows), key=repr)
+
+
+def test_every_oracle_has_a_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_agrees_with_sql(spark, duck, name):
+    got = contract.queries()[name](spark, str(DATA)).toPandas()
+    want = duck.execute(contract.oracle_sql()[name]).fetchdf()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert canonical(got) == canonical(want)
+
+
+def test_learner_queries(spark):
+    queries = contract.queries()
+    logistic = {r["metric"]: r["value"] for r in queries["train_logistic"](spark, str(DATA)).collect()}
+    assert logistic["roc_auc"] > 0.7
+    history = queries["train_network"](spark, str(DATA)).collect()
+    assert [r["epoch"] for r in history] == list(range(1, len(history) + 1))
+
+
+def test_entry_scores_every_document(spark):
+    scored = contract.entry(spark)
+    assert scored.columns == ["doc_id", "positive_probability", "predicted_label"]
+    documents = spark.read.parquet(str(DATA / "documents.parquet"))
+    assert scored.count() == documents.count()
