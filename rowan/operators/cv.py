@@ -45,8 +45,9 @@ def fold_frame(
     """
     marked = train.withColumn(FOLD, folds.fold)
     fitting = marked.filter(F.col(FOLD) != fold)
-    preprocessor = TabularPreprocessor(spec, columns).fit(fitting)
     sizes = folds.training_sizes(fold)
+    rows = sum(sizes.values())
+    preprocessor = TabularPreprocessor(spec, columns, rows=rows).fit(fitting)
     frame = (
         preprocessor.transform(marked)
         .select(FEATURES, LABEL, FOLD, weight_column(sizes).alias(WEIGHT))
@@ -54,7 +55,7 @@ def fold_frame(
     )
     try:
         held_out = F.col(FOLD) == fold
-        yield frame.filter(~held_out), frame.filter(held_out), sum(sizes.values())
+        yield frame.filter(~held_out), frame.filter(held_out), rows
     finally:
         frame.unpersist()
 

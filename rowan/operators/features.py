@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowan.functions.text import column, number_sql, quoted
-from rowan.operators.order_stats import EXACT_ROWS, medians
+from rowan.operators.order_stats import EXACT_ROWS, collected_median, median_bracket, medians
 from rowan.spec import DatasetSpec
 
 FEATURES = "__features"
@@ -50,15 +50,17 @@ class CategoryStats:
 
 
 def fit_numeric(
-    df: DataFrame, columns: list[str], exact_rows: int = EXACT_ROWS
+    df: DataFrame, columns: list[str], exact_rows: int = EXACT_ROWS, rows: int | None = None
 ) -> list[NumericStats]:
     """Medians and moments; columns without a single value are left out.
 
     Moments after imputation follow from the moments before it: the missing rows are so many
-    copies of the median, so no second pass over the imputed column is needed.
+    copies of the median, so no second pass over the imputed column is needed. A table known to
+    have few ``rows`` takes one pass; otherwise the moments pass also brackets the medians.
     """
     if not columns:
         return []
+    small = rows is not None and rows <= exact_rows
     # Parsed once per row; the passes below use each value several times.
     parsed = df.select(
         *[
@@ -73,23 +75,23 @@ def fit_numeric(
             F.count(v).alias(f"n{i}"),
             F.avg(v).alias(f"mean{i}"),
             F.var_pop(v).alias(f"var{i}"),
+            (collected_median(v) if small else median_bracket(v)).alias(f"middle{i}"),
         ]
     row = parsed.agg(*aggregates).first()
-    fitted = medians(parsed, values, [row[f"n{i}"] for i in range(len(columns))], exact_rows)
+    places = range(len(columns))
+    middles = [row[f"middle{i}"] for i in places]
+    if not small:
+        counts = [row[f"n{i}"] for i in places]
+        middles = medians(parsed, values, counts, exact_rows, middles)
     stats = []
-    for i, (name, median) in enumerate(zip(columns, fitted, strict=True)):
+    for i, (name, median) in enumerate(zip(columns, middles, strict=True)):
         if median is None:
             continue
-        n, mean, var, rows = row[f"n{i}"], row[f"mean{i}"], row[f"var{i}"], row["rows"]
-        share = n / rows
+        mean, var, share = row[f"mean{i}"], row[f"var{i}"], row[f"n{i}"] / row["rows"]
         gap = mean - median
+        spread = share * var + share * (1.0 - share) * gap * gap
         stats.append(
-            NumericStats(
-                name,
-                median,
-                median + share * gap,
-                math.sqrt(max(0.0, share * var + share * (1.0 - share) * gap * gap)),
-            )
+            NumericStats(name, median, median + share * gap, math.sqrt(max(0.0, spread)))
         )
     return stats
 
@@ -201,20 +203,23 @@ def transformation(
 
 
 class TabularPreprocessor(Estimator):
-    """Median + standard scaling for declared numbers, mode + one-hot for the other features."""
+    """Median + standard scaling for declared numbers, mode + one-hot for the other features.
+
+    ``rows`` is the table's size where the caller knows it.
+    """
 
     def __init__(
         self,
         spec: DatasetSpec,
         columns: list[str] | None = None,
         output: str = FEATURES,
-        exact_rows: int = EXACT_ROWS,
+        rows: int | None = None,
     ) -> None:
         super().__init__()
         self.spec = spec
         self.columns = columns
         self.output = output
-        self.exact_rows = exact_rows
+        self.rows = rows
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         columns = self.columns if self.columns is not None else dataset.columns
@@ -224,7 +229,7 @@ class TabularPreprocessor(Estimator):
         # Two independent sets of passes over different columns.
         with ThreadPool(2) as pool:
             pending = pool.apply_async(fit_categories, (dataset, texts))
-            numeric = fit_numeric(dataset, numbers, self.exact_rows)
+            numeric = fit_numeric(dataset, numbers, rows=self.rows)
             categorical = pending.get()
         if not numeric and not categorical:
             raise ValueError("No feature column has a value.")

@@ -1,10 +1,11 @@
 """Data-parallel multilayer perceptron with early stopping.
 
-The training rows are dealt round-robin to shards of bounded size. Per epoch one Spark job runs
+The training rows are dealt round-robin to shards of equal size. Per epoch one Spark job runs
 mini-batch Adam inside every shard, starting from the common state, and the shards' parameters
 and moments are averaged by row count (local steps with periodic averaging). A table of one
 shard therefore trains by plain sequential mini-batches, and a large one needs one job per
-epoch however many batches that is.
+epoch however many batches that is. A shard is read in chunks that fit a task's memory, each
+shuffled anew per epoch.
 """
 
 from __future__ import annotations
@@ -187,8 +188,28 @@ def _state_batch(shard: int, n: int, loss: float, steps: int, state: np.ndarray)
     )
 
 
+def _chunks(
+    batches: Iterator[pa.RecordBatch], chunk_rows: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Group a shard's batches into chunks of at least ``chunk_rows`` rows, the last excepted."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(_features_of(batch))
+        if sum(len(y) for _, y in held) >= chunk_rows:
+            yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+            held = []
+    if held:
+        yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+
+
 def _shard_epoch(
-    state: AdamState, dims: Sequence[int], settings: NetworkSettings, pos_weight: float, seed: int
+    state: AdamState,
+    dims: Sequence[int],
+    settings: NetworkSettings,
+    pos_weight: float,
+    seed: int,
+    chunk_rows: int,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One epoch over a shard: shuffle, mini-batches (the last may be short), Adam steps."""
     packed = np.stack([state.flat, state.m, state.v])
@@ -197,25 +218,23 @@ def _shard_epoch(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        parts = [_features_of(b) for b in batches if b.num_rows]
-        if not parts:
-            return
-        x = np.concatenate([p[0] for p in parts])
-        y = np.concatenate([p[1] for p in parts])
         shard = TaskContext.get().partitionId()
         rng = np.random.default_rng([seed, start, shard])
         local = AdamState(packed[0].copy(), packed[1].copy(), packed[2].copy(), start)
-        order = rng.permutation(len(y))
-        total = 0.0
-        for at in range(0, len(y), settings.batch_size):
-            rows = order[at : at + settings.batch_size]
-            loss, grad = gradient(
-                local.flat, dims, x[rows], y[rows], pos_weight, settings.dropout, rng
-            )
-            local.step(grad, settings.learning_rate, settings.weight_decay)
-            total += loss * len(rows)
-        weighted = np.stack([local.flat, local.m, local.v]).astype(np.float64) * len(y)
-        yield _state_batch(shard, len(y), total, local.steps, weighted)
+        n, total = 0, 0.0
+        for x, y in _chunks(batches, chunk_rows):
+            order = rng.permutation(len(y))
+            for at in range(0, len(y), settings.batch_size):
+                rows = order[at : at + settings.batch_size]
+                loss, grad = gradient(
+                    local.flat, dims, x[rows], y[rows], pos_weight, settings.dropout, rng
+                )
+                local.step(grad, settings.learning_rate, settings.weight_decay)
+                total += loss * len(rows)
+            n += len(y)
+        if n:
+            weighted = np.stack([local.flat, local.m, local.v]).astype(np.float64) * n
+            yield _state_batch(shard, n, total, local.steps, weighted)
 
     return run
 
@@ -311,13 +330,14 @@ def train_mlp(
     settings: NetworkSettings = NetworkSettings(),
     seed: int = 42,
     rows_per_shard: int = 50_000,
+    most_shards: int = 4096,
 ) -> MLPModel:
     """Train on assembled rows; ``rows`` are the known sizes of the two parts.
 
     Round-robin shards are equal whatever the keys look like, and the order inside a shard is
     fixed by the rows' own hash, so a recomputed shard repeats its steps.
     """
-    shards = max(1, math.ceil(rows[0] / rows_per_shard))
+    shards = min(max(1, math.ceil(rows[0] / rows_per_shard)), most_shards)
     data = _network_input(train, FEATURES, LABEL)
     data = data.repartition(shards).sortWithinPartitions(F.xxhash64("x", "y"))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -332,7 +352,7 @@ def train_mlp(
         rule = EarlyStopping(settings.early_stopping_patience, settings.min_delta)
         summary = TrainingSummary(rows[0], rows[1], used_validation_split=held is not None)
         for epoch in range(1, settings.epochs + 1):
-            step = _shard_epoch(state, dims, settings, pos_weight, seed)
+            step = _shard_epoch(state, dims, settings, pos_weight, seed, rows_per_shard)
             # One state per group of shards: a few network-sized rows.
             states = _combine(data.mapInArrow(step, _STATE_SCHEMA), shards).collect()
             # Always added up in shard order.

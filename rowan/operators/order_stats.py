@@ -21,85 +21,122 @@ _MARGIN = 2.0 / _ACCURACY
 
 @dataclass
 class _Search:
-    """One rank of one column: the values strictly between ``low`` and ``high`` are left."""
+    """Neighbouring ranks of one column among the ``n`` values between ``low`` and ``high``."""
 
-    value: Column
-    rank: int
+    column: int
+    ranks: list[int]
     n: int
     low: float | None = None
     high: float | None = None
 
-    def inside(self) -> Column:
-        condition = self.value.isNotNull()
+    def inside(self, value: Column) -> Column:
+        condition = value.isNotNull()
         if self.low is not None:
-            condition &= self.value > F.lit(self.low)
+            condition &= value > F.lit(self.low)
         if self.high is not None:
-            condition &= self.value < F.lit(self.high)
-        return F.when(condition, self.value)
-
-
-def _select(df: DataFrame, searches: list[_Search], exact_rows: int) -> list[float]:
-    found: dict[int, float] = {}
-    left = dict(enumerate(searches))
-    while left:
-        small = {i: s for i, s in left.items() if s.n <= exact_rows}
-        large = {i: s for i, s in left.items() if s.n > exact_rows}
-        aggregates = [
-            F.sort_array(F.collect_list(s.inside()))[s.rank].alias(f"v{i}")
-            for i, s in small.items()
-        ]
-        for i, s in large.items():
-            middle = (s.rank + 0.5) / s.n
-            ends = [max(0.0, middle - _MARGIN), min(1.0, middle + _MARGIN)]
-            aggregates.append(F.percentile_approx(s.inside(), ends, _ACCURACY).alias(f"b{i}"))
-        row = df.agg(*aggregates).first()
-        found.update({i: row[f"v{i}"] for i in small})
+            condition &= value < F.lit(self.high)
+        return F.when(condition, value)
+
+    def ends(self) -> list[float]:
+        """Shares of the bracket: beyond the sketch's error on both sides of the ranks."""
+        first, last = (self.ranks[0] + 0.5) / self.n, (self.ranks[-1] + 0.5) / self.n
+        return [max(0.0, first - _MARGIN), min(1.0, last + _MARGIN)]
+
+
+def median_bracket(value: Column) -> Column:
+    """Sketch of the values around the middle, for a caller that scans the table anyway."""
+    return F.percentile_approx(value, [0.5 - _MARGIN, 0.5 + _MARGIN], _ACCURACY)
+
+
+def collected_median(value: Column) -> Column:
+    """Exact median from one sorted buffer: only for tables known to be small."""
+    ordered = F.sort_array(F.collect_list(value))
+    n = F.size(ordered)
+    middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")), F.get(ordered, F.floor(n / 2).cast("int")))
+    return (middle[0] + middle[1]) / 2
+
+
+def _narrow(s: _Search, low: float, high: float, counts: dict[str, int]) -> tuple[
+    list[tuple[int, float]], list[_Search]
+]:
+    """Place each rank: below, on or between the bracket's ends, or above them."""
+    found: list[tuple[int, float]] = []
+    parts = {
+        "below": _Search(s.column, [], counts["below"], s.low, low),
+        "between": _Search(s.column, [], counts["between"], low, high),
+        "above": _Search(s.column, [], 0, high, s.high),
+    }
+    edges = [counts["below"], counts["low"], counts["between"], counts["high"]]
+    parts["above"].n = s.n - sum(edges)
+    for rank in s.ranks:
+        left = rank
+        for name, size in zip(("below", "low", "between", "high"), edges, strict=True):
+            if left < size:
+                if name in parts:
+                    parts[name].ranks.append(left)
+                else:
+                    found.append((rank, low if name == "low" else high))
+                break
+            left -= size
+        else:
+            parts["above"].ranks.append(left)
+    return found, [p for p in parts.values() if p.ranks]
+
+
+def medians(
+    df: DataFrame,
+    values: list[Column],
+    counts: list[int],
+    exact_rows: int = EXACT_ROWS,
+    brackets: list[list[float] | None] | None = None,
+) -> list[float | None]:
+    """Exact median per value column (mean of the middle two), None where nothing is present.
+
+    ``counts`` are the present values per column, ``brackets`` optional first ``median_bracket``
+    results; both come from a pass the caller makes anyway.
+    """
+    middles: dict[int, list[float]] = {i: [] for i in range(len(values))}
+    searches = [
+        _Search(i, sorted({(n - 1) // 2, n // 2}), n) for i, n in enumerate(counts) if n
+    ]
+    known = {i: b for i, b in enumerate(brackets or []) if b}
+    while searches:
+        small = [s for s in searches if s.n <= exact_rows]
+        large = [s for s in searches if s.n > exact_rows]
+        aggregates = []
+        for i, s in enumerate(small):
+            ordered = F.sort_array(F.collect_list(s.inside(values[s.column])))
+            picked = F.array(*[F.get(ordered, F.lit(r)) for r in s.ranks])
+            aggregates.append(picked.alias(f"v{i}"))
+        sketched = [i for i, s in enumerate(large) if s.column not in known]
+        for i in sketched:
+            inside = large[i].inside(values[large[i].column])
+            sketch = F.percentile_approx(inside, large[i].ends(), _ACCURACY)
+            aggregates.append(sketch.alias(f"b{i}"))
+        row = df.agg(*aggregates).first() if aggregates else None
+        for i, s in enumerate(small):
+            middles[s.column] += row[f"v{i}"]
         if not large:
             break
-        brackets = {i: row[f"b{i}"] for i in large}
+        ends = [
+            row[f"b{i}"] if i in sketched else known[s.column] for i, s in enumerate(large)
+        ]
+        known = {}
         counters = []
-        for i, s in large.items():
-            low, high = (F.lit(b) for b in brackets[i])
-            v = s.inside()
+        for i, s in enumerate(large):
+            low, high = (F.lit(e) for e in ends[i])
+            v = s.inside(values[s.column])
             counters += [
                 F.count_if(v < low).alias(f"below{i}"),
                 F.count_if(v == low).alias(f"low{i}"),
                 F.count_if((v > low) & (v < high)).alias(f"between{i}"),
                 F.count_if((v == high) & (high > low)).alias(f"high{i}"),
             ]
-        counts = df.agg(*counters).first()
-        left = {}
-        for i, s in large.items():
-            low, high = brackets[i]
-            rank = s.rank - counts[f"below{i}"]
-            if rank < 0:
-                left[i] = _Search(s.value, s.rank, counts[f"below{i}"], s.low, low)
-            elif rank < counts[f"low{i}"]:
-                found[i] = low
-            elif (rank := rank - counts[f"low{i}"]) < counts[f"between{i}"]:
-                left[i] = _Search(s.value, rank, counts[f"between{i}"], low, high)
-            elif (rank := rank - counts[f"between{i}"]) < counts[f"high{i}"]:
-                found[i] = high
-            else:
-                rank -= counts[f"high{i}"]
-                above = s.n - counts[f"below{i}"] - counts[f"low{i}"]
-                above -= counts[f"between{i}"] + counts[f"high{i}"]
-                left[i] = _Search(s.value, rank, above, high, s.high)
-    return [found[i] for i in range(len(searches))]
-
-
-def medians(
-    df: DataFrame, values: list[Column], counts: list[int], exact_rows: int = EXACT_ROWS
-) -> list[float | None]:
-    """Exact median per value column (mean of the middle two), None where nothing is present.
-
-    ``counts`` are the present values per column, known from the moments pass.
-    """
-    searches: list[_Search] = []
-    for value, n in zip(values, counts, strict=True):
-        if n:
-            searches += [_Search(value, (n - 1) // 2, n), _Search(value, n // 2, n)]
-    if not searches:
-        return [None] * len(values)
-    middle = iter(_select(df, searches, exact_rows))
-    return [(next(middle) + next(middle)) / 2.0 if n else None for n in counts]
+        counted = df.agg(*counters).first()
+        searches = []
+        for i, s in enumerate(large):
+            sizes = {k: counted[f"{k}{i}"] for k in ("below", "low", "between", "high")}
+            found, rest = _narrow(s, *ends[i], sizes)
+            middles[s.column] += [v for _, v in found]
+            searches += rest
+    return [sum(m) / len(m) if m else None for m in middles.values()]

@@ -104,6 +104,16 @@ def duplicate_keys(df: DataFrame, key: str | list[str], by: str | None = None) -
     return counted.select(run, "duplicates")
 
 
+def _duplicate_fact(df: DataFrame, spec: DatasetSpec, by: str | None = None) -> DataFrame:
+    return duplicate_keys(df, spec.key, by).select(
+        "run_id",
+        F.lit("table").alias("section"),
+        F.lit(None).cast("string").alias("column"),
+        F.lit("duplicate_keys").alias("metric"),
+        F.col("duplicates").cast("double").alias("value"),
+    )
+
+
 def target_distribution(df: DataFrame, target: str, by: str | None = None) -> DataFrame:
     """Rows per target value; null is a value."""
     return df.groupBy(_grouping(by), column(target).cast("string").alias("value")).agg(
@@ -141,15 +151,7 @@ def quality_report(
     data_columns = [c for c in df.columns if c != by]
     parts = [column_profile(df, spec, by=by)]
     if spec.key in data_columns:
-        parts.append(
-            duplicate_keys(df, spec.key, by).select(
-                "run_id",
-                F.lit("table").alias("section"),
-                F.lit(None).cast("string").alias("column"),
-                F.lit("duplicate_keys").alias("metric"),
-                F.col("duplicates").cast("double").alias("value"),
-            )
-        )
+        parts.append(_duplicate_fact(df, spec, by))
     if spec.target in data_columns:
         parts.append(
             target_distribution(df, spec.target, by).select(
@@ -168,61 +170,66 @@ def missing_columns(df: DataFrame, spec: DatasetSpec) -> list[str]:
     return [c for c in spec.required if c not in df.columns]
 
 
+def _rules(spec: DatasetSpec) -> list[tuple[str, str | None, str, int, int, str, str]]:
+    """Facts that must be zero: (section, column, metric) and the rule each one checks."""
+    rules = [
+        ("table", None, "duplicate_keys", 2, 0, "unique_key", spec.key),
+        ("missing", spec.target, "count", 3, 0, "target_present", spec.target),
+    ]
+    rules += [
+        ("numeric", c, "invalid", 4, i, "clean_number", c) for i, c in enumerate(spec.numeric)
+    ]
+    rules += [
+        ("category", c, "unexpected", 5, i, "allowed_category", c)
+        for i, c in enumerate(spec.allowed)
+    ]
+    return rules
+
+
+def report_violations(report: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Broken rules of a profiled table: (step, position, check, column, n)."""
+    # One row per declared rule.
+    rules = report.sparkSession.createDataFrame(
+        _rules(spec),
+        "section string, `column` string, metric string, "
+        "step int, position int, check string, subject string",
+    )
+    facts = report.filter("value > 0").alias("f")
+    same = (
+        (F.col("f.section") == F.col("r.section"))
+        & (F.col("f.metric") == F.col("r.metric"))
+        & F.col("f.column").eqNullSafe(F.col("r.column"))
+    )
+    return facts.join(rules.alias("r"), same).select(
+        "r.step",
+        "r.position",
+        "r.check",
+        F.col("r.subject").alias("column"),
+        F.col("f.value").cast("bigint").alias("n"),
+    )
+
+
 def violations(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Broken rules as rows ``(step, position, check, column, n)``; empty when the table passes."""
-    spark = df.sparkSession
-    schema = "step int, position int, check string, `column` string, n bigint"
     absent = missing_columns(df, spec)
     if absent:
         rows = [(1, i, "required_column", c, 1) for i, c in enumerate(absent)]
-        return spark.createDataFrame(rows, schema)
+        schema = "step int, position int, check string, `column` string, n bigint"
+        return df.sparkSession.createDataFrame(rows, schema)
+    ruled = [c for c in df.columns if c in {spec.target, *spec.numeric, *spec.allowed}]
+    profile = column_profile(df.select(*map(column, ruled)), spec)
+    return report_violations(profile.unionByName(_duplicate_fact(df, spec)), spec)
 
-    steps: list[tuple[int, int, str, str, Column]] = [
-        (3, 0, "target_present", spec.target, _missing(spec.target))
-    ]
-    steps += [
-        (4, i, "clean_number", c, F.count_if(is_invalid_number(df, c)))
-        for i, c in enumerate(spec.numeric)
-    ]
-    steps += [
-        (5, i, "allowed_category", c, F.count_if(is_unexpected(column(c), allowed)))
-        for i, (c, allowed) in enumerate(spec.allowed.items())
-    ]
-
-    def pass_over(part: list[tuple[int, int, str, str, Column]]) -> DataFrame:
-        measured = df.agg(*[s[4].alias(f"m{i}") for i, s in enumerate(part)])
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(step).alias("step"),
-                    F.lit(position).alias("position"),
-                    F.lit(check).alias("check"),
-                    F.lit(name).alias("column"),
-                    F.col(f"m{i}").cast("bigint").alias("n"),
-                )
-                for i, (step, position, check, name, _) in enumerate(part)
-            ]
-        )
-        return measured.select(F.explode(rows).alias("v")).select("v.*")
-
-    duplicates = duplicate_keys(df, spec.key).select(
-        F.lit(2).alias("step"),
-        F.lit(0).alias("position"),
-        F.lit("unique_key").alias("check"),
-        F.lit(spec.key).alias("column"),
-        F.col("duplicates").alias("n"),
-    )
-    passes = [
-        pass_over(steps[i : i + _AGGREGATES_PER_PASS])
-        for i in range(0, len(steps), _AGGREGATES_PER_PASS)
-    ]
-    return reduce(DataFrame.unionByName, [duplicates, *passes]).filter("n > 0")
 
+def gate(df: DataFrame, spec: DatasetSpec, report: DataFrame | None = None) -> None:
+    """Raise on the first broken rule, rules taken in their declared order.
 
-def gate(df: DataFrame, spec: DatasetSpec) -> None:
-    """Raise on the first broken rule, rules taken in their declared order."""
+    A quality report of the same table saves the gate its own passes.
+    """
+    checked = report is not None and not missing_columns(df, spec)
+    broken = report_violations(report, spec) if checked else violations(df, spec)
     # At most one row per declared rule comes back.
-    found = violations(df, spec).orderBy("step", "position").collect()
+    found = broken.orderBy("step", "position").collect()
     if not found:
         return
     first = found[0]["step"]

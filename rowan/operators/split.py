@@ -20,8 +20,10 @@ from rowan.functions.scores import first_match
 from rowan.functions.text import column
 
 HASH_DIGITS = 32
-_FIRST_DIGITS = 3
-_MORE_DIGITS = 3
+# Digits per pass: at most 16**3 counters per class or open cut come back. A prefix holding no
+# more rows than that is resolved to the last digit at once.
+_DIGITS = 3
+_FEW_ROWS = 16**_DIGITS
 
 Cuts = dict[str, list[str]]
 
@@ -58,7 +60,7 @@ def hash_cuts(
     """
     hashed = df.select(column(label).cast("string").alias("c"), key_hash(key, seed).alias("h"))
     hashed = hashed.filter("c is not null")
-    digits = _FIRST_DIGITS
+    digits = _DIGITS
     counted = _count_prefixes(hashed, digits)
     sizes = {c: sum(n for _, n in buckets) for c, buckets in counted.items()}
     cuts: dict[tuple[str, int], str] = {}
@@ -70,6 +72,7 @@ def hash_cuts(
     }
     while True:
         still_open: dict[tuple[str, int], tuple[str, int]] = {}
+        largest = 0
         for cut, (prefix, rank) in open_cuts.items():
             if rank <= 0:
                 cuts[cut] = prefix
@@ -83,6 +86,7 @@ def hash_cuts(
                     break
                 if below + n > rank:
                     still_open[cut] = (p, rank - below)
+                    largest = max(largest, n)
                     break
                 below += n
             else:
@@ -93,7 +97,7 @@ def hash_cuts(
             raise ValueError(f"Cannot split exactly: values of {key} repeat.")
         under = sorted({c + "|" + p for (c, _), (p, _) in still_open.items()})
         marker = F.concat_ws("|", "c", F.substring("h", 1, digits))
-        digits = min(HASH_DIGITS, digits + _MORE_DIGITS)
+        digits = HASH_DIGITS if largest <= _FEW_ROWS else min(HASH_DIGITS, digits + _DIGITS)
         counted = _count_prefixes(hashed.filter(marker.isin(under)), digits)
         open_cuts = still_open
     by_class: Cuts = {}

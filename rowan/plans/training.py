@@ -31,7 +31,7 @@ from rowan.operators.metrics import (
     threshold_sweep,
 )
 from rowan.operators.mlp import MLPModel, NetworkSettings, train_mlp
-from rowan.operators.quality import gate, quality_report
+from rowan.operators.quality import gate, missing_columns, quality_report
 from rowan.operators.scoring import Scorer, with_scores
 from rowan.operators.split import clamp_folds, inner_split, stratified_folds, stratified_split
 from rowan.operators.tuning import apply_tuned, run_trials
@@ -138,7 +138,7 @@ def train_models(
                     SCHEMAS["tuning"].removesuffix(", run_id string"),
                 )
 
-        preprocessor = TabularPreprocessor(spec, columns).fit(train)
+        preprocessor = TabularPreprocessor(spec, columns, rows=rows).fit(train)
         network = settings.network
         inner = None
         if network.enabled:
@@ -252,12 +252,19 @@ def run_training(
     store.start(run_id)
     dataset = write_snapshot(read_raw(spark, source, fmt), store.root, run_id)
     raw = spark.read.parquet(dataset)
-    gate(raw, spec)
 
     def record(table: str, rows: DataFrame) -> None:
         store.append(table, rows.withColumn("run_id", F.lit(run_id)))
 
-    record("quality", quality_report(raw, spec, run_id))
+    if missing_columns(raw, spec):
+        gate(raw, spec)
+    # One row per fact: computed once for the gate and the record.
+    report = quality_report(raw, spec, run_id).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        gate(raw, spec, report)
+        record("quality", report)
+    finally:
+        report.unpersist()
     drift = drift_report(store.read("quality"), store.previous_pair(run_id), spec)
     record("drift", drift)
     verdict = drift_verdict(store.read("drift").filter(F.col("run_id") == run_id)).first()

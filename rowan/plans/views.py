@@ -121,7 +121,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and style measures over each whole text."""
     words = F.array_remove(F.split("text", "[ \\t\\n\\r]+"), "")
-    bare = F.regexp_replace("text", "[A-Za-z0-9 \\t\\n\\r]", "")
+    bare = F.regexp_replace("text", "[A-Za-z0-9 \\t\\n\\r]+", "")
 
     def share(part: Column, whole: Column) -> Column:
         return F.try_divide(part.cast("double"), whole.cast("double"))

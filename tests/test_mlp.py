@@ -136,3 +136,25 @@ def test_many_shards_are_combined_in_a_tree(data, monkeypatch):
     monkeypatch.setattr(mlp, "_FAN_IN", 2)
     tree = train(data, 5, early_stopping_patience=1)
     assert tree.flat == pytest.approx(whole.flat, abs=1e-4)
+
+
+def test_shards_are_read_in_bounded_chunks(data):
+    import pyarrow as pa
+
+    from rowan.operators.mlp import _chunks
+
+    def batch(n):
+        return pa.RecordBatch.from_pydict(
+            {"y": pa.array([1.0] * n), "x": pa.array([[0.5, 1.0]] * n, pa.list_(pa.float32()))}
+        )
+
+    sizes = [len(y) for _, y in _chunks(iter([batch(n) for n in (4, 4, 0, 4, 3)]), 7)]
+    assert sizes == [8, 7]
+    whole = train(data, 1, early_stopping_patience=1)
+    options = NetworkSettings(
+        epochs=3, batch_size=16, learning_rate=0.01, hidden_dims=(16, 8), dropout=0.0
+    )
+    capped = train_mlp(
+        *data, PipelineModel([]), (480, data[1].count()), 1.0, options, 5, 100, most_shards=1
+    )
+    assert capped.summary.history[0] == whole.summary.history[0]
