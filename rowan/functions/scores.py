@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,12 +47,19 @@ def report_round(c: Column, digits: int = 4) -> Column:
     """Round the binary value half-to-even, as reports do.
 
     Neither ``round`` nor ``bround`` does this (both start from the shortest decimal text), and
-    decisions hang on it: ties between rounded scores, flags on rounded rates. It is meant for
-    report rows (one per metric or column), after all data-sized work is aggregated away.
+    decisions hang on it: ties between rounded scores, flags on rounded rates. The double is
+    compared with the midpoint of its two candidates in whole numbers, both times 2**74.
     """
-
-    @F.pandas_udf("double")
-    def _round(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: round(float(v), digits), na_action="ignore").astype("float64")
-
-    return _round(c.cast("double"))
+    x = F.abs(c.cast("double"))
+    unit = 10**digits
+    whole = F.floor(x * float(2**30))
+    rest = F.floor((x * float(2**30) - whole) * float(2**44))
+    value = whole.cast("decimal(20,0)") * F.lit(Decimal(2**44)) + rest.cast("decimal(20,0)")
+    lower = F.floor(x * float(unit))
+    middle = (2 * lower + 1).cast("decimal(20,0)") * F.lit(Decimal(2**73))
+    scaled = value * F.lit(Decimal(unit))
+    up = (scaled > middle) | ((scaled == middle) & (lower % 2 == 1))
+    rounded = (lower + up.cast("int")) / F.lit(float(unit))
+    # Beyond these sizes the digits asked for are at the end of a double's precision.
+    rounded = F.when(x < float(2**20), rounded).otherwise(F.round(x, digits))
+    return F.when(c < 0, -rounded).otherwise(rounded)

@@ -59,17 +59,18 @@ def is_blank(c: Column) -> Column:
 def number_sql(name: str, dtype: T.DataType) -> str:
     """SQL for a column's value as a double, NULL where it is not a number.
 
-    Plain decimals take the first branch; only odd values pay for the stripping regex. The
-    second pattern keeps out what Spark would accept beyond that (``1d``, ``1f``, ``nan``).
+    Plain decimals take the first branch; only odd values pay for trimming and the second
+    pattern, which keeps out what Spark would accept beyond it (``1d``, ``1f``, ``nan``). Around
+    a number only ASCII blanks are allowed.
     """
     ref = quoted(name)
     if isinstance(dtype, T.NumericType):
         return f"nanvl(try_cast({ref} AS DOUBLE), CAST(NULL AS DOUBLE))"
     text = f"CAST({ref} AS STRING)"
-    stripped = f"regexp_replace({text}, r'(?U)^{_BLANK}+|{_BLANK}+$', '')"
+    trimmed = f"trim(BOTH ' \\t\\n\\u000b\\u000c\\r' FROM {text})"
     return (
         f"CASE WHEN {text} RLIKE r'{_PLAIN_NUMBER}' THEN try_cast({text} AS DOUBLE) "
-        f"WHEN {stripped} RLIKE r'{_ANY_NUMBER}' THEN try_cast({stripped} AS DOUBLE) END"
+        f"WHEN {trimmed} RLIKE r'{_ANY_NUMBER}' THEN try_cast({trimmed} AS DOUBLE) END"
     )
 
 
@@ -77,10 +78,9 @@ def to_number(df: DataFrame, name: str) -> Column:
     return F.expr(number_sql(name, df.schema[name].dataType))
 
 
-def is_invalid_number(df: DataFrame, name: str) -> Column:
+def is_invalid_number(raw: Column, number: Column) -> Column:
     """Present, not blank, and still not a number."""
-    raw = column(name)
-    return to_number(df, name).isNull() & raw.isNotNull() & ~is_blank(raw)
+    return number.isNull() & raw.isNotNull() & ~is_blank(raw)
 
 
 def is_unexpected(c: Column, allowed: tuple[str, ...]) -> Column:

@@ -26,21 +26,32 @@ def _missing(name: str) -> Column:
     return F.count_if(column(name).isNull())
 
 
+def _number_name(name: str) -> str:
+    return f"__number_{name}"
+
+
+def _with_numbers(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Parse each declared number once; several facts look at the result."""
+    present = [c for c in spec.numeric if c in df.columns]
+    return df.withColumns({_number_name(c): to_number(df, c) for c in present}) if present else df
+
+
 def _column_facts(df: DataFrame, spec: DatasetSpec, sections: tuple[str, ...]) -> list[_Fact]:
+    rows = F.count(F.lit(1))
     facts: list[_Fact] = []
     if "table" in sections:
-        facts.append(("table", None, "row_count", F.count(F.lit(1))))
+        facts.append(("table", None, "row_count", rows))
         facts.append(("table", None, "column_count", F.first(F.lit(len(df.columns)))))
     if "missing" in sections:
         for c in df.columns:
             facts.append(("missing", c, "count", _missing(c)))
-            facts.append(("missing", c, "rate", F.avg(column(c).isNull().cast("double"))))
+            facts.append(("missing", c, "rate", F.try_divide(_missing(c).cast("double"), rows)))
     if "numeric" in sections:
         for c in (c for c in spec.numeric if c in df.columns):
-            facts.append(("numeric", c, "invalid", F.count_if(is_invalid_number(df, c))))
-            facts.append(
-                ("numeric", c, "missing_after_coercion", F.count_if(to_number(df, c).isNull()))
-            )
+            number = column(_number_name(c))
+            invalid = is_invalid_number(column(c), number)
+            facts.append(("numeric", c, "invalid", F.count_if(invalid)))
+            facts.append(("numeric", c, "missing_after_coercion", F.count_if(number.isNull())))
     if "category" in sections:
         for c, allowed in spec.allowed.items():
             if c in df.columns:
@@ -81,8 +92,9 @@ def column_profile(
     """Row and column counts, missing counts and rates, number and category checks."""
     data = df.drop(by) if by else df
     facts = _column_facts(data, spec, sections)
+    parsed = _with_numbers(df, spec) if "numeric" in sections else df
     passes = [
-        _long(df, facts[i : i + _AGGREGATES_PER_PASS], by)
+        _long(parsed, facts[i : i + _AGGREGATES_PER_PASS], by)
         for i in range(0, len(facts), _AGGREGATES_PER_PASS)
     ]
     return reduce(DataFrame.unionByName, passes)

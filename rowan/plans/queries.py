@@ -36,12 +36,13 @@ def na_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = views.clean_lines(spark, sf_dir)
-    return df.select(
+    raw, price = F.col("raw_price"), F.col("price")
+    return df.withColumn("price", to_number(df, "raw_price")).select(
         "l_orderkey",
         "l_linenumber",
-        to_number(df, "raw_price").alias("price"),
-        F.coalesce(is_blank(F.col("raw_price")), F.lit(False)).cast("int").alias("blank"),
-        is_invalid_number(df, "raw_price").cast("int").alias("invalid"),
+        "price",
+        F.coalesce(is_blank(raw), F.lit(False)).cast("int").alias("blank"),
+        is_invalid_number(raw, price).cast("int").alias("invalid"),
     )
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pandas as pd
 import pytest
 from pandas._libs.parsers import STR_NA_VALUES
@@ -28,7 +30,7 @@ def test_numbers_parse_as_in_pandas(spark):
     got = df.select("i", to_number(df, "t").alias("v")).orderBy("i").collect()
     for text, (_, value) in zip(NUMBERS, got, strict=True):
         want = pd.to_numeric(pd.Series([text]), errors="coerce").iloc[0]
-        assert (value is None) if pd.isna(want) else (value == want), repr(text)
+        assert (value is None) if pd.isna(want) else (value == pytest.approx(want, rel=1e-14)), repr(text)
 
 
 def test_typed_numbers_and_nan(spark):
@@ -47,7 +49,7 @@ def test_strip_and_blank_know_unicode(spark):
 def test_invalid_numbers_are_present_and_not_blank(spark):
     cases = [("12x", True), ("1d", True), ("1,000", True), (" ", False), (None, False), ("3", False)]
     df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
-    got = [r[0] for r in df.select(is_invalid_number(df, "t")).collect()]
+    got = [r[0] for r in df.select(is_invalid_number(F.col("t"), to_number(df, "t"))).collect()]
     assert got == [want for _, want in cases]
 
 
@@ -78,7 +80,11 @@ def test_labels_thresholds_and_rounding(spark):
         encode_label(F.col("t"), "Yes", "No"), at_least(F.col("p")), argmax_class(F.col("p"))
     ).collect()
     assert [tuple(r) for r in got] == [(1.0, 1, 0), (0.0, 0, 0), (None, 1, 1)]
-    values = [0.03125, 0.00015, 0.63245, 0.12345, 2.5e-5, -0.03125, None]
+    rng = random.Random(1)
+    values = [0.03125, 0.00015, 0.63245, 0.12345, 2.5e-5, -0.03125, 0.0, 1.0, 1234.56785, None]
+    values += [rng.uniform(-2, 2) for _ in range(300)]
+    values += [rng.randrange(20_000) / 2e4 for _ in range(2000)]
+    values += [rng.randrange(4096) / 4096 for _ in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     rounded = [r[0] for r in df.select(report_round(F.col("v"))).collect()]
     assert rounded == [None if v is None else round(v, 4) for v in values]
