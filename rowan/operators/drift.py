@@ -1,14 +1,15 @@
 """Run-to-run comparison of quality reports.
 
 Reports are the long fact tables of ``quality``; ``pairs`` says which run is compared with which
-(``run_id``, ``previous_run_id``). A run without a previous report simply has no rows here.
+(``run_id``, ``previous_run_id``). A run without a previous report simply has no rows here. All
+checks share one join of the runs' facts, which are a few rows per run whatever the data's size.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -20,6 +21,9 @@ ROW_CHANGE = 0.1
 TARGET_CHANGE = 0.05
 MISSING_CHANGE = 0.01
 
+ROWS, TARGET, MISSING = "row_count", "target_distribution", "missing_rate"
+CHECKS = (ROWS, TARGET, MISSING)
+
 
 def consecutive_pairs(reports: DataFrame) -> DataFrame:
     """Each run with the one before it; one row per run, whatever the size of the data."""
@@ -30,112 +34,75 @@ def consecutive_pairs(reports: DataFrame) -> DataFrame:
     )
 
 
-def _compare(pairs: DataFrame, facts: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join facts of the current and the previous run of each pair."""
-    current = facts.withColumnRenamed("value", "current")
-    previous = facts.withColumnsRenamed({"run_id": "previous_run_id", "value": "previous"})
-    return pairs.join(current, "run_id").join(previous, ["previous_run_id", *on], how)
-
-
-def _row(
-    check: str,
-    name: Column,
-    current: Column,
-    previous: Column,
-    delta: Column,
-    change: Column,
-    flagged: Column,
-) -> list[Column]:
-    return [
-        F.col("run_id"),
-        F.col("previous_run_id"),
-        F.lit(check).alias("check"),
-        name.cast("string").alias("column"),
-        current.cast("double").alias("current"),
-        previous.cast("double").alias("previous"),
-        delta.cast("double").alias("delta"),
-        change.cast("double").alias("pct_change"),
-        flagged.alias("flagged"),
-    ]
-
-
-def row_drift(reports: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Relative change of the row count, flagged on the rounded share."""
-    counts = reports.filter("section = 'table' and metric = 'row_count'").select("run_id", "value")
-    delta = F.col("current") - F.col("previous")
-    rounded = report_round(F.try_divide(delta, F.col("previous")))
-    change = F.when(F.col("previous") > 0, rounded).otherwise(F.lit(0.0))
-    compared = _compare(pairs, counts, []).withColumn("change", change)
-    return compared.select(
-        *_row(
-            "row_count",
-            F.lit(None),
-            F.col("current"),
-            F.col("previous"),
-            delta,
-            F.col("change"),
-            F.abs("change") > ROW_CHANGE,
-        )
-    )
-
-
-def target_drift(reports: DataFrame, pairs: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Change of the positive rate, flagged before rounding; nothing if a side is empty."""
+def _measure(reports: DataFrame, spec: DatasetSpec, check: str) -> DataFrame:
+    """What a check compares: (run_id, check, column, value)."""
+    named = F.lit(check).alias("check")
+    nothing = F.lit(None).cast("string").alias("column")
+    if check == ROWS:
+        counts = reports.filter("section = 'table' and metric = 'row_count'")
+        return counts.select("run_id", named, nothing, "value")
+    if check == MISSING:
+        rates = reports.filter("section = 'missing' and metric = 'rate'")
+        return rates.select("run_id", named, "column", report_round(F.col("value")).alias("value"))
     positives = F.sum(F.when(F.col("column") == spec.positive, F.col("value")).otherwise(0.0))
-    rates = (
-        reports.filter("section = 'target'")
-        .groupBy("run_id")
-        .agg(F.sum("value").alias("total"), positives.alias("positives"))
-        .filter("total > 0")
-        .select("run_id", (F.col("positives") / F.col("total")).alias("value"))
+    totals = reports.filter("section = 'target'").groupBy("run_id").agg(
+        F.sum("value").alias("total"), positives.alias("positives")
     )
-    delta = F.col("current") - F.col("previous")
-    return _compare(pairs, rates, []).select(
-        *_row(
-            "target_distribution",
-            F.lit(None),
-            report_round(F.col("current")),
-            report_round(F.col("previous")),
-            report_round(delta),
-            F.lit(None),
-            F.abs(delta) > TARGET_CHANGE,
-        )
+    rate = (F.col("positives") / F.col("total")).alias("value")
+    return totals.filter("total > 0").select("run_id", named, nothing, rate)
+
+
+def drift_report(
+    reports: DataFrame, pairs: DataFrame, spec: DatasetSpec, checks: tuple[str, ...] = CHECKS
+) -> DataFrame:
+    """Rows (run_id, previous_run_id, check, column, current, previous, delta, pct_change, flagged).
+
+    Row counts: the relative change counts, after rounding; none against an empty run. Target:
+    the change of the positive rate counts before rounding; no row if a side is empty. Missing:
+    only moved columns are listed; one that is new starts from 0, a vanished one is not looked at.
+    """
+    measures = reduce(DataFrame.unionByName, [_measure(reports, spec, c) for c in checks])
+    current = pairs.join(measures, "run_id").withColumnRenamed("value", "current").alias("c")
+    previous = measures.withColumnRenamed("value", "previous").alias("p")
+    same = (
+        (F.col("c.previous_run_id") == F.col("p.run_id"))
+        & (F.col("c.check") == F.col("p.check"))
+        & F.col("c.column").eqNullSafe(F.col("p.column"))
     )
-
-
-def missing_drift(reports: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Columns of the current run whose missing rate moved; a new column starts from 0."""
-    rates = reports.filter("section = 'missing' and metric = 'rate'").select(
-        "run_id", "column", report_round(F.col("value")).alias("value")
+    check, now, before = F.col("check"), F.col("current"), F.col("previous")
+    rows, target, missing = (check == name for name in CHECKS)
+    delta = now - before
+    share = F.when(before > 0, report_round(F.try_divide(delta, before))).otherwise(0.0)
+    compared = (
+        current.join(previous, same, "left")
+        .select("c.*", "p.previous")
+        .withColumn("previous", F.when(missing, F.coalesce(before, F.lit(0.0))).otherwise(before))
+        .filter(before.isNotNull())
+        .withColumn("change", delta)
+        .withColumn("pct_change", F.when(rows, share))
     )
-    compared = _compare(pairs, rates, ["column"], "left").withColumn(
-        "previous", F.coalesce("previous", F.lit(0.0))
+    moved = (
+        F.when(rows, F.abs("pct_change") > ROW_CHANGE)
+        .when(target, F.abs("change") > TARGET_CHANGE)
+        .otherwise(F.abs("change") > MISSING_CHANGE)
     )
-    delta = F.col("current") - F.col("previous")
-    return compared.filter(F.abs(delta) > MISSING_CHANGE).select(
-        *_row(
-            "missing_rate",
-            F.col("column"),
-            F.col("current"),
-            F.col("previous"),
-            report_round(delta),
-            F.lit(None),
-            F.lit(True),
+    return (
+        compared.withColumn("flagged", moved)
+        .filter(~missing | F.col("flagged"))
+        .select(
+            "run_id",
+            "previous_run_id",
+            "check",
+            "column",
+            F.when(target, report_round(now)).otherwise(now).alias("current"),
+            F.when(target, report_round(before)).otherwise(before).alias("previous"),
+            F.when(rows, F.col("change")).otherwise(report_round(F.col("change"))).alias("delta"),
+            "pct_change",
+            "flagged",
         )
     )
 
 
-def drift_report(reports: DataFrame, pairs: DataFrame, spec: DatasetSpec) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
-        [
-            row_drift(reports, pairs),
-            target_drift(reports, pairs, spec),
-            missing_drift(reports, pairs),
-        ],
-    )
-
-
 def drift_verdict(report: DataFrame) -> DataFrame:
     """One row per compared run: did anything move?"""
     return report.groupBy("run_id").agg(F.bool_or("flagged").alias("has_drift"))

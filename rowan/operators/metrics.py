@@ -87,8 +87,9 @@ def roc_auc(
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
         data = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(data)
+        data = data.withColumn("r", F.col("r").cast("int"))
     else:
-        data = data.withColumn("r", F.lit(0.0))
+        data = data.withColumn("r", F.lit(0))
     per_score = data.groupBy(*by, "r", "s").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )

@@ -135,7 +135,8 @@ def _facts(spark: SparkSession, sf_dir: str, section: str) -> DataFrame:
 
 def drift_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _facts(spark, sf_dir, "table")
-    return drift.row_drift(facts, drift.consecutive_pairs(facts)).drop("column")
+    pairs = drift.consecutive_pairs(facts)
+    return drift.drift_report(facts, pairs, views.LINES, (drift.ROWS,)).drop("column")
 
 
 def drift_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,12 +149,15 @@ def drift_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n").cast("double").alias("value"),
     )
     pairs = drift.consecutive_pairs(facts)
-    return drift.target_drift(facts, pairs, views.LINES).drop("column", "pct_change")
+    found = drift.drift_report(facts, pairs, views.LINES, (drift.TARGET,))
+    return found.drop("column", "pct_change")
 
 
 def drift_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _facts(spark, sf_dir, "missing")
-    return drift.missing_drift(facts, drift.consecutive_pairs(facts)).drop("pct_change")
+    pairs = drift.consecutive_pairs(facts)
+    found = drift.drift_report(facts, pairs, views.LINES, (drift.MISSING,))
+    return found.drop("pct_change")
 
 
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
