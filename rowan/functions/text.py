@@ -31,17 +31,22 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def na_to_null(c: Column) -> Column:
-    return F.when(c.isin(*NA_TOKENS), None).otherwise(c)
+def text_literal(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{escaped}'"
 
 
 def normalise_na(df: DataFrame) -> DataFrame:
     """Turn the missing-value tokens of every text column into nulls."""
-    return df.select(
-        [
-            na_to_null(column(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else column(f.name)
+    tokens = ", ".join(map(text_literal, NA_TOKENS))
+
+    def cleaned(name: str) -> str:
+        ref = quoted(name)
+        return f"CASE WHEN {ref} NOT IN ({tokens}) THEN {ref} END AS {ref}"
+
+    return df.selectExpr(
+        *[
+            cleaned(f.name) if isinstance(f.dataType, T.StringType) else quoted(f.name)
             for f in df.schema.fields
         ]
     )

@@ -43,7 +43,7 @@ def _measure(reports: DataFrame, spec: DatasetSpec, check: str) -> DataFrame:
         return counts.select("run_id", named, nothing, "value")
     if check == MISSING:
         rates = reports.filter("section = 'missing' and metric = 'rate'")
-        return rates.select("run_id", named, "column", report_round(F.col("value")).alias("value"))
+        return rates.select("run_id", named, "column", report_round("value").alias("value"))
     positives = F.sum(F.when(F.col("column") == spec.positive, F.col("value")).otherwise(0.0))
     totals = reports.filter("section = 'target'").groupBy("run_id").agg(
         F.sum("value").alias("total"), positives.alias("positives")
@@ -72,7 +72,7 @@ def drift_report(
     check, now, before = F.col("check"), F.col("current"), F.col("previous")
     rows, target, missing = (check == name for name in CHECKS)
     delta = now - before
-    share = F.when(before > 0, report_round(F.try_divide(delta, before))).otherwise(0.0)
+    share = F.when(before > 0, report_round("try_divide(current - previous, previous)")).otherwise(0.0)
     compared = (
         current.join(previous, same, "left")
         .select("c.*", "p.previous")
@@ -94,9 +94,9 @@ def drift_report(
             "previous_run_id",
             "check",
             "column",
-            F.when(target, report_round(now)).otherwise(now).alias("current"),
-            F.when(target, report_round(before)).otherwise(before).alias("previous"),
-            F.when(rows, F.col("change")).otherwise(report_round(F.col("change"))).alias("delta"),
+            F.when(target, report_round("current")).otherwise(now).alias("current"),
+            F.when(target, report_round("previous")).otherwise(before).alias("previous"),
+            F.when(rows, F.col("change")).otherwise(report_round("change")).alias("delta"),
             "pct_change",
             "flagged",
         )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowan.functions.text import column, number_sql, quoted
+from rowan.functions.text import column, number_sql, quoted, text_literal
 from rowan.operators.order_stats import EXACT_ROWS, collected_median, median_bracket, medians
 from rowan.spec import DatasetSpec
 
@@ -140,11 +140,6 @@ def fit_categories(
     ]
 
 
-def _text_literal(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
-    return f"'{escaped}'"
-
-
 def _double_literal(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 
@@ -159,7 +154,7 @@ def scaled_sql(stats: NumericStats, dtype: T.DataType) -> str:
 
 
 def category_sql(stats: CategoryStats) -> str:
-    return f"coalesce(CAST({quoted(stats.column)} AS STRING), {_text_literal(stats.mode)})"
+    return f"coalesce(CAST({quoted(stats.column)} AS STRING), {text_literal(stats.mode)})"
 
 
 def transformation(

@@ -220,7 +220,7 @@ def _first_row(sweep: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
 
 def best_threshold(sweep: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """First maximum of the F1 as reported (rounded), in grid order."""
-    rounded = sweep.withColumn("f1_reported", report_round(F.col("f1")))
+    rounded = sweep.withColumn("f1_reported", report_round("f1"))
     order = F.struct(-F.col("f1_reported"), F.col("position"))
     return _first_row(rounded, by, order).drop("f1_reported")
 
@@ -237,7 +237,7 @@ def select_best(scores: DataFrame, metric: str, names: Sequence[str]) -> DataFra
     ``scores`` has one row per model with a column per metric.
     """
     place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("model"))
-    ranked = scores.withColumn("reported", report_round(F.col(metric)))
+    ranked = scores.withColumn("reported", report_round(metric))
     return ranked.orderBy(F.desc("reported"), place).limit(1).select("model", metric)
 
 

@@ -12,7 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowan.functions.text import column, is_invalid_number, is_unexpected, to_number
+from rowan.functions.text import (
+    column,
+    is_invalid_number,
+    is_unexpected,
+    text_literal,
+    to_number,
+)
 from rowan.spec import DatasetSpec
 
 # Aggregates per pass: keeps generated code small on very wide tables. Each pass reads only
@@ -68,17 +74,14 @@ def _grouping(by: str | None) -> Column:
 def _long(df: DataFrame, facts: list[_Fact], by: str | None) -> DataFrame:
     grouping = [_grouping(by)] if by else []
     measured = df.groupBy(*grouping).agg(*[f[3].alias(f"m{i}") for i, f in enumerate(facts)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(section).alias("section"),
-                F.lit(name).cast("string").alias("column"),
-                F.lit(metric).alias("metric"),
-                F.col(f"m{i}").cast("double").alias("value"),
-            )
-            for i, (section, name, metric, _) in enumerate(facts)
-        ]
-    )
+    # As text: one parsed string instead of a column object per cell.
+    cells = [
+        f"named_struct('section', {text_literal(section)}, "
+        f"'column', {text_literal(name) if name else 'CAST(NULL AS STRING)'}, "
+        f"'metric', {text_literal(metric)}, 'value', CAST(m{i} AS DOUBLE))"
+        for i, (section, name, metric, _) in enumerate(facts)
+    ]
+    rows = F.expr(f"array({', '.join(cells)})")
     run = F.col("run_id") if by else F.lit(None).cast("string").alias("run_id")
     return measured.select(run, F.explode(rows).alias("f")).select("run_id", "f.*")
 

@@ -328,7 +328,7 @@ def round_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg((F.sum(F.col("c_acctbal").cast("decimal(14,2)")).cast("double")).alias("total"))
     )
     shares = means.select("c_nationkey", F.col("total") / F.lit(1e6))
-    return shares.toDF("c_nationkey", "x").select("c_nationkey", report_round(F.col("x")).alias("share"))
+    return shares.toDF("c_nationkey", "x").select("c_nationkey", report_round("x").alias("share"))
 
 
 def confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

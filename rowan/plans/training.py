@@ -207,7 +207,7 @@ def train_models(
 def metric_report(result: TrainingResult) -> DataFrame:
     """All models' numbers as rows (model, section, metric, value), rounded for the report."""
     parts = result.test_metrics.unpivot("model", list(METRICS), "metric", "value").select(
-        "model", F.lit("test").alias("section"), "metric", report_round(F.col("value")).alias("value")
+        "model", F.lit("test").alias("section"), "metric", report_round("value").alias("value")
     )
     if result.cross_validation is not None:
         summary = score_summary(result.cross_validation)
@@ -217,7 +217,7 @@ def metric_report(result: TrainingResult) -> DataFrame:
                 "model",
                 F.concat(F.lit("cross_validation_"), "statistic").alias("section"),
                 "metric",
-                report_round(F.col("value")).alias("value"),
+                report_round("value").alias("value"),
             )
         )
     network = result.models.get(NETWORK)
@@ -290,7 +290,7 @@ def run_training(
     sweep = result.thresholds.select(F.lit("grid").alias("kind"), *shown).unionByName(chosen)
     record(
         "thresholds",
-        sweep.select("kind", "threshold", *[report_round(F.col(c)).alias(c) for c in shown[1:]]),
+        sweep.select("kind", "threshold", *[report_round(c).alias(c) for c in shown[1:]]),
     )
 
     rows, train_rows = sum(result.sizes.values()), sum(result.train_sizes.values())

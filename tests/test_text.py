@@ -86,5 +86,5 @@ def test_labels_thresholds_and_rounding(spark):
     values += [rng.randrange(20_000) / 2e4 for _ in range(2000)]
     values += [rng.randrange(4096) / 4096 for _ in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rounded = [r[0] for r in df.select(report_round(F.col("v"))).collect()]
+    rounded = [r[0] for r in df.select(report_round("v")).collect()]
     assert rounded == [None if v is None else round(v, 4) for v in values]
