@@ -491,6 +491,18 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "positive_probability", "predicted_label")
 
 
+def score_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train the network on the labelled documents, then score every document with it."""
+    model = _train(spark, sf_dir, TrainingSettings(cv_enabled=False, models=_only())).model
+    scored = score(model, views.document_features(spark, sf_dir), views.DOCUMENTS)
+    return scored.select("doc_id", "positive_probability", "predicted_label")
+
+
+def train_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three families with default settings: test, cross-validation and training numbers."""
+    return _test_report(spark, sf_dir, TrainingSettings())
+
+
 QUERIES: dict[str, Query] = {
     "na_normalise": na_normalise,
     "coerce_numeric": coerce_numeric,
@@ -542,4 +554,6 @@ QUERIES: dict[str, Query] = {
     "cross_validate": cross_validate,
     "random_search": random_search,
     "train_and_score": train_and_score,
+    "score_network": score_network,
+    "train_compare": train_compare,
 }
