@@ -68,10 +68,18 @@ def in_parallel(work: Callable[[Any], Any], items: list[Any], parallelism: int)
         return pool.map(work, items, chunksize=1)
 
 
-def over_folds(work: Callable[[int], Any], folds: Folds) -> list[Any]:
-    """Run a fold's work for every fold, in fold order."""
+def over_folds(
+    work: Callable[[int, int], list[Any]], folds: Folds, parallelism: int
+) -> list[Any]:
+    """Rows of every fold's work, in fold order; the jobs in flight are shared out to the folds.
+
+    ``work`` takes the fold and the number of jobs it may keep in flight.
+    """
     small = sum(folds.sizes.values()) <= SIDE_BY_SIDE_ROWS
-    return in_parallel(work, list(range(folds.k)), folds.k if small else 1)
+    at_once = min(folds.k, parallelism) if small else 1
+    each = max(1, -(-parallelism // at_once))
+    parts = in_parallel(lambda fold: work(fold, each), list(range(folds.k)), at_once)
+    return [row for part in parts for row in part]
 
 
 def fit_families(
@@ -100,9 +108,9 @@ def cross_validate(
 ) -> DataFrame:
     """Held-out scores as rows (model, fold, metric, value), unrounded."""
 
-    def scores(fold: int) -> list[tuple[str, int, str, float]]:
+    def scores(fold: int, jobs: int) -> list[tuple[str, int, str, float]]:
         with fold_frame(train, spec, folds, fold, columns) as (fitting, held_out, n):
-            models = fit_families(fitting, families, n, seed, parallelism)
+            models = fit_families(fitting, families, n, seed, jobs)
             scored = with_scores(models, held_out, [LABEL])
             measured = classification_metrics(
                 scored, ["model"], label=LABEL, ranges=ranges_for(n * len(families))
@@ -110,7 +118,7 @@ def cross_validate(
             # One row per family.
             return [(r["model"], fold, m, r[m]) for r in measured.collect() for m in METRICS]
 
-    rows = [row for part in over_folds(scores, folds) for row in part]
+    rows = over_folds(scores, folds, parallelism)
     return train.sparkSession.createDataFrame(
         rows, "model string, fold int, metric string, value double"
     )

@@ -58,7 +58,7 @@ def run_trials(
     queue = [(f, i) for f in sorted(trials, reverse=True) for i in range(num_samples)]
     f1 = rates(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])["f1"]
 
-    def fold_scores(fold: int) -> list[tuple[str, int, int, float]]:
+    def fold_scores(fold: int, jobs: int) -> list[tuple[str, int, int, float]]:
         with fold_frame(train, spec, folds, fold, columns) as (fitting, held_out, n):
             data = labelled(fitting)
             # Fill the cache once, before the trials start side by side.
@@ -71,9 +71,9 @@ def run_trials(
                 counted = confusion(model.transform(held_out), (), LABEL, PREDICTION)
                 return family, i, fold, counted.select(f1.alias("f1")).first()["f1"]
 
-            return in_parallel(score, queue, parallelism)
+            return in_parallel(score, queue, jobs)
 
-    scores = [row for part in over_folds(fold_scores, folds) for row in part]
+    scores = over_folds(fold_scores, folds, parallelism)
     spark = train.sparkSession
     per_fold = spark.createDataFrame(scores, "model string, trial int, fold int, f1 double")
     per_trial = per_fold.groupBy("model", "trial").agg(
