@@ -72,7 +72,8 @@ def drift_report(
     check, now, before = F.col("check"), F.col("current"), F.col("previous")
     rows, target, missing = (check == name for name in CHECKS)
     delta = now - before
-    share = F.when(before > 0, report_round("try_divide(current - previous, previous)")).otherwise(0.0)
+    relative = report_round("try_divide(current - previous, previous)")
+    share = F.when(before > 0, relative).otherwise(0.0)
     compared = (
         current.join(previous, same, "left")
         .select("c.*", "p.previous")

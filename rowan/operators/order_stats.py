@@ -52,15 +52,16 @@ def collected_median(value: Column) -> Column:
     """Exact median from one sorted buffer: only for tables known to be small."""
     ordered = F.sort_array(F.collect_list(value))
     n = F.size(ordered)
-    middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")), F.get(ordered, F.floor(n / 2).cast("int")))
-    return (middle[0] + middle[1]) / 2
+    lower = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
+    upper = F.get(ordered, F.floor(n / 2).cast("int"))
+    return (lower + upper) / 2
 
 
-def _narrow(s: _Search, low: float, high: float, counts: dict[str, int]) -> tuple[
-    list[tuple[int, float]], list[_Search]
-]:
-    """Place each rank: below, on or between the bracket's ends, or above them."""
-    found: list[tuple[int, float]] = []
+def _narrow(
+    s: _Search, low: float, high: float, counts: dict[str, int]
+) -> tuple[list[float], list[_Search]]:
+    """Place each rank: settled on a bracket end, or still open below, between or above them."""
+    found: list[float] = []
     parts = {
         "below": _Search(s.column, [], counts["below"], s.low, low),
         "between": _Search(s.column, [], counts["between"], low, high),
@@ -75,7 +76,7 @@ def _narrow(s: _Search, low: float, high: float, counts: dict[str, int]) -> tupl
                 if name in parts:
                     parts[name].ranks.append(left)
                 else:
-                    found.append((rank, low if name == "low" else high))
+                    found.append(low if name == "low" else high)
                 break
             left -= size
         else:
@@ -137,6 +138,6 @@ def medians(
         for i, s in enumerate(large):
             sizes = {k: counted[f"{k}{i}"] for k in ("below", "low", "between", "high")}
             found, rest = _narrow(s, *ends[i], sizes)
-            middles[s.column] += [v for _, v in found]
+            middles[s.column] += found
             searches += rest
     return [sum(m) / len(m) if m else None for m in middles.values()]
