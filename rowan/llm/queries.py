@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from rowan.llm.line_dedup import dedup_lines
 from rowan.llm.quality_rules import rule_verdicts
+from rowan.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and verdict of every document."""
     return rule_verdicts(_table(spark, sf_dir, "documents"))
@@ -27,6 +33,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_line_dedup": op6_line_dedup,
 }
