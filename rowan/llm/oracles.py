@@ -48,4 +48,20 @@ FROM (
 ) GROUP BY r
 """
 
-ORACLES: dict[str, str] = {"op4_quality_rules": OP4, "op6_line_dedup": OP6}
+OP8 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id, {_WORDS} AS w FROM documents
+), windows AS (
+  SELECT r, id, i, array_to_string(w[i:i + 12], ' ') AS s FROM d, unnest(range(1, len(w) - 11)) AS x(i)
+), late AS (
+  SELECT r, i FROM (SELECT r, i, id, min(id) OVER (PARTITION BY s) AS least FROM windows) WHERE id > least
+), gone AS (SELECT DISTINCT r, i + k AS i FROM late, unnest(range(13)) AS y(k)),
+tokens AS (SELECT r, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS x(i)),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS s FROM tokens ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op4_quality_rules": OP4, "op6_line_dedup": OP6, "op8_substring_dedup": OP8}

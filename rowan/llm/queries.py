@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowan.llm.line_dedup import dedup_lines
 from rowan.llm.quality_rules import rule_verdicts
 from rowan.llm.simhash import near_duplicates
+from rowan.llm.substring_dedup import dedup_substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +33,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What windows of earlier documents take from every document."""
+    done = dedup_substrings(_table(spark, sf_dir, "documents"))
+    return done.select(
+        "row.doc_id", "n_words", "n_removed", F.sha2(F.array_join("kept", " "), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
 }
