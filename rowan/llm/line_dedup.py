@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowan.llm.common import BLANKS, LEAST_ID, ascii_lower, hash_pair, let, whole_text
+from rowan.llm.common import BLANKS, LEAST_ID, ascii_lower, hash_pair, let, whole_text, written
 
 LEAST_LENGTH = 40
 LEAST_DOCUMENTS = 5
@@ -51,7 +51,8 @@ def dropped_positions(
     ).where("line IS NOT NULL")
     found = rows.select("id", "body", "place", "line.a", "line.b")
     counted = found.groupBy("a", "b").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
-    common = counted.where(F.col("n") >= least_documents).select("a", "b", "keeper")
+    # Written, so that the join below deals both sides out itself and may split a very common line.
+    common = written(counted.where(F.col("n") >= least_documents).select("a", "b", "keeper"))
     gone = found.join(common, ["a", "b"]).where("id <> keeper")
     return gone.groupBy("id", "body").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
