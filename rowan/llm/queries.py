@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowan.llm.bpe import digests, encode_texts
 from rowan.llm.line_dedup import dedup_lines
 from rowan.llm.quality_rules import rule_verdicts
 from rowan.llm.simhash import near_duplicates
@@ -17,6 +18,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> tuple[str, str]:
+    """Rank file and pattern of the tokenizer that the queries count and encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again."""
+    coded = encode_texts(_table(spark, sf_dir, "documents"), ["doc_id"], *tokenizer(), decode=True)
+    return coded.select("row.doc_id", *digests())
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -42,6 +56,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_line_dedup": op6_line_dedup,
