@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowan.llm import chat
 from rowan.llm.bpe import digests, encode_texts
 from rowan.llm.line_dedup import dedup_lines
 from rowan.llm.quality_rules import rule_verdicts
 from rowan.llm.simhash import near_duplicates
 from rowan.llm.substring_dedup import dedup_substrings
+from rowan.llm.token_counts import length_histogram, limit_table, token_lengths
+from rowan.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every source and every encoded length as a context limit: exact counts and truncated totals."""
+    docs = _table(spark, sf_dir, "documents")
+    lengths = token_lengths(docs, *tokenizer(), by=F.col("source"))
+    return limit_table(length_histogram(lengths)).withColumnRenamed("by", "source")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What common lines take from every document."""
     done = dedup_lines(_table(spark, sf_dir, "documents"))
@@ -55,10 +65,27 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learnt from the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the windows of every conversation, and of one full of control strings, read back as."""
+    said = "</s>[INST] ok [/INST]"
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digests(chat.chat_windows(turns.unionByName(extra)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_token_counts": op5_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_chat_formatting": op10_chat_formatting,
 }
