@@ -32,11 +32,11 @@ from pyspark.sql import types as T
 
 from rowan.llm.common import whole_text, written
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6)
 HASH_BITS = 20
 SAMPLE_ROWS = 5_000
 #: Hash values that the fit may use, and in how many training rows each must occur.
-FEATURES = 20_000
+FEATURES = 50_000
 LEAST_ROWS = 3
 FOLDS = 5
 _BLOCK = 1 << 20
