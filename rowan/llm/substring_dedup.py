@@ -3,7 +3,7 @@
 Every window of fixed length gets a rolling (Rabin-Karp) hash. Map tasks hash their documents with numpy
 and settle repeats among them; the first owner of each hash goes, packed, to the bucket of its hash,
 where Spark brings all its owners together and the least document keeps it. Window starts that others
-had earlier return by document and merge into maximal removal intervals.
+had earlier go on, packed, by document and merge into maximal removal intervals.
 
 A window moves as its 64-bit hash and about two bytes more, once. Hashes deal windows out evenly: copies
 of one passage meet in as many buckets as it has windows, and a map task sends one owner of each, so that
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowan.llm.common import MOST_ID, let, shuffle_partitions, whole_text, words
@@ -39,7 +39,7 @@ _PACKED = pa.schema(
         ("counts", pa.binary()), ("steps", pa.binary()),
     ]
 )
-_PLACES = "id long, tag long, starts array<int>"
+_PACKED_TYPES = "bucket int, hashes binary, ids binary, tags binary, counts binary, steps binary"
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -160,7 +160,7 @@ def _hashed(table: pa.Table, width: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _settled(table: pa.Table, width: int, buckets: int, to: int) -> Iterator[dict]:
+def _settled(table: pa.Table, width: int, labels: list[int], to: int) -> Iterator[dict]:
     """Packed rows of one chunk: the windows it must ask about, by bucket, and those it settles itself."""
     table = table.sort_by("id")
     ids = table.column("id").to_numpy()
@@ -168,6 +168,7 @@ def _settled(table: pa.Table, width: int, buckets: int, to: int) -> Iterator[dic
     hashes, doc, place = _hashed(table, width)
     if not len(hashes):
         return
+    buckets = len(labels)
     order = np.argsort(hashes, kind="stable")  # ids ascend within a hash
     ordered = hashes[order]
     head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -175,7 +176,7 @@ def _settled(table: pa.Table, width: int, buckets: int, to: int) -> Iterator[dic
     later = np.zeros(len(hashes), bool)
     later[order] = ids[doc[order]] > np.repeat(owner, np.diff(np.append(head, len(order))))
     if later.any():
-        yield _pack(to % buckets, None, doc[later], place[later], ids, tags)
+        yield _pack(labels[to % buckets], None, doc[later], place[later], ids, tags)
     ask = np.flatnonzero(~later)
     bucket = ((hashes[ask] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
     dealt = ask[np.argsort(bucket, kind="stable")]
@@ -183,64 +184,92 @@ def _settled(table: pa.Table, width: int, buckets: int, to: int) -> Iterator[dic
     for k, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)):
         if b > a:
             mine = dealt[a:b]
-            yield _pack(k, hashes[mine], doc[mine], place[mine], ids, tags)
+            yield _pack(labels[k], hashes[mine], doc[mine], place[mine], ids, tags)
 
 
-def _dealer(width: int, buckets: int):
+def _dealer(width: int, labels: list[int]):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
         for number, table in enumerate(_chunks(batches)):
-            for row in _settled(table, width, buckets, task + 31 * number):
+            for row in _settled(table, width, labels, task + 31 * number):
                 yield pa.RecordBatch.from_pylist([row], schema=_PACKED)
 
     return deal
 
 
-def _later_owners(table: pa.Table) -> pa.Table:
-    """Of one bucket: window starts by document that a smaller id has too."""
-    out: dict[str, list] = {"id": [], "tag": [], "starts": []}
-
-    def tell(ids: np.ndarray, tags: np.ndarray, counts: np.ndarray, place: np.ndarray) -> None:
-        ends = np.cumsum(counts)
-        for k in np.flatnonzero(counts):
-            out["id"].append(ids[k])
-            out["tag"].append(tags[k])
-            out["starts"].append(place[ends[k] - counts[k] : ends[k]].astype(np.int32))
-
-    asked = []
-    for row in table.to_pylist():
-        ids, tags, counts, place = _unpack(row)
-        if row["hashes"] is None:
-            tell(ids, tags, counts, place)
-        else:
-            asked.append((np.frombuffer(row["hashes"], _U), ids, tags, counts, place))
-    if asked:
-        hashes, ids, tags, counts, place = (np.concatenate(x) for x in zip(*asked, strict=True))
-        doc = np.repeat(np.arange(len(ids)), counts)
-        order = np.argsort(hashes, kind="stable")
-        ordered, owners = hashes[order], ids[doc[order]]
-        head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        least = np.repeat(np.minimum.reduceat(owners, head), np.diff(np.append(head, len(order))))
-        late = np.sort(order[owners > least])
-        tell(ids, tags, np.bincount(doc[late], minlength=len(ids)), place[late])
+def _told(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarray, labels: list[int]) -> Iterator[dict]:
+    """Packed rows of window starts, dealt out by document. doc ascends, and place within each."""
+    to = (_mixed(ids.view(_U) ^ _mixed(tags.astype(_U))) % _U(len(labels))).astype(np.int64)[doc]
+    dealt = np.argsort(to, kind="stable")
+    ends = np.cumsum(np.bincount(to, minlength=len(labels)))
+    for label, a, b in zip(labels, np.concatenate([[0], ends[:-1]]), ends, strict=True):
+        if b > a:
+            mine = dealt[a:b]
+            yield _pack(label, None, doc[mine], place[mine], ids, tags)
+
+
+def _owners(labels: list[int]):
+    """Of one bucket of hashes: the window starts that a smaller id has too, by document."""
+
+    def judge(table: pa.Table) -> pa.Table:
+        out, asked = [], []
+        for row in table.to_pylist():
+            ids, tags, counts, place = _unpack(row)
+            doc = np.repeat(np.arange(len(ids)), counts)
+            if row["hashes"] is None:
+                out += _told(ids, tags, doc, place, labels)
+            else:
+                asked.append((np.frombuffer(row["hashes"], _U), ids, tags, counts, place))
+        if asked:
+            hashes, ids, tags, counts, place = (np.concatenate(x) for x in zip(*asked, strict=True))
+            doc = np.repeat(np.arange(len(ids)), counts)
+            order = np.argsort(hashes, kind="stable")
+            ordered, owners = hashes[order], ids[doc[order]]
+            head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            least = np.repeat(np.minimum.reduceat(owners, head), np.diff(np.append(head, len(order))))
+            late = np.sort(order[owners > least])
+            out += _told(ids, tags, doc[late], place[late], labels)
+        return pa.Table.from_pylist(out, schema=_PACKED)
+
+    return judge
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """All window starts of the documents dealt here, sorted, one row for each document."""
+    parts = [_unpack(row) for row in table.to_pylist()]
+    ids, tags, counts, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+    ids, tags = np.repeat(ids, counts), np.repeat(tags, counts)
+    order = np.lexsort((place, tags, ids))
+    ids, tags, place = ids[order], tags[order], place[order]
+    head = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])]))
+    bounds = pa.array(np.append(head, len(ids)), pa.int32())
     return pa.table(
         {
-            "id": pa.array(out["id"], pa.int64()),
-            "tag": pa.array(out["tag"], pa.int64()),
-            "starts": pa.array(out["starts"], pa.list_(pa.int32())),
+            "id": pa.array(ids[head], pa.int64()),
+            "tag": pa.array(tags[head], pa.int64()),
+            "starts": pa.ListArray.from_arrays(bounds, pa.array(place, pa.int32())),
         }
     )
 
 
+def _labels(spark: SparkSession, count: int) -> list[int]:
+    """As many bucket labels, which Spark's hash deals to as many partitions, one to each."""
+    deal = F.pmod(F.hash(F.col("id").cast("int")), F.lit(count)).alias("to")
+    least = spark.range(32 * count + 64).select("id", deal).groupBy("to").agg(F.min("id").alias("id"))
+    found = {r["id"] for r in least.collect()}
+    spare = (x for x in range(count + len(found)) if x not in found)
+    return sorted([*found, *(next(spare) for _ in range(count - len(found)))])
+
+
 def removed_starts(docs: DataFrame, width: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """docs: id, tag, text. id, tag and the sorted starts of the windows that an earlier document has."""
-    buckets = buckets or shuffle_partitions(docs.sparkSession)
-    schema = "bucket int, hashes binary, ids binary, tags binary, counts binary, steps binary"
-    packed = docs.select("id", "tag", "text").mapInArrow(_dealer(width, buckets), schema)
-    found = packed.groupBy("bucket").applyInArrow(_later_owners, _PLACES)
-    return found.groupBy("id", "tag").agg(F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts"))
+    spark = docs.sparkSession
+    labels = _labels(spark, buckets or shuffle_partitions(spark))
+    packed = docs.select("id", "tag", "text").mapInArrow(_dealer(width, labels), _PACKED_TYPES)
+    late = packed.groupBy("bucket").applyInArrow(_owners(labels), _PACKED_TYPES)
+    return late.groupBy("bucket").applyInArrow(_by_document, "id long, tag long, starts array<int>")
 
 
 def _kept(tokens: Column, starts: Column, width: int) -> Column:
