@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowan.llm import chat
+from rowan.llm.ann import build_index, nearest
 from rowan.llm.bpe import digests, encode_texts
+from rowan.llm.common import written
 from rowan.llm.line_dedup import dedup_lines
 from rowan.llm.quality_rules import rule_verdicts
 from rowan.llm.simhash import near_duplicates
@@ -57,6 +59,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    index = written(build_index(vectors, 20))
+    return nearest(index, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What windows of earlier documents take from every document."""
     done = dedup_substrings(_table(spark, sf_dir, "documents"))
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_line_dedup": op6_line_dedup,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_chat_formatting": op10_chat_formatting,
