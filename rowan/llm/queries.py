@@ -12,6 +12,7 @@ from rowan.llm.ann import build_index, nearest
 from rowan.llm.bpe import digests, encode_texts
 from rowan.llm.common import written
 from rowan.llm.line_dedup import dedup_lines
+from rowan.llm.mixing import mixed_rates
 from rowan.llm.quality_rules import rule_verdicts
 from rowan.llm.simhash import near_duplicates
 from rowan.llm.substring_dedup import dedup_substrings
@@ -30,6 +31,18 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id and domain: the language of the documents in the labelled table."""
+    known = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(known, "doc_id")
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and copies of every document, so that languages reach weights of their sizes to the 0.7."""
+    docs = _table(spark, sf_dir, "documents")
+    return mixed_rates(docs, labelled_languages(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again."""
     coded = encode_texts(_table(spark, sf_dir, "documents"), ["doc_id"], *tokenizer(), decode=True)
@@ -89,6 +102,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
