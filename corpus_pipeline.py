@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rowan.llm.bpe import digests, encode_texts
 from rowan.llm.common import written
 from rowan.llm.line_dedup import drop_common_lines
+from rowan.llm.mixing import mix_documents
 from rowan.llm.quality_rules import keep_good
+from rowan.llm.queries import labelled_languages, tokenizer
+from rowan.llm.simhash import keep_one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,12 +23,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that many documents share."""
-    return drop_common_lines(docs)
+    cut = drop_common_lines(docs)
+    return cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one_of_each(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A share of every language's documents, so that token totals follow their sizes to the 0.7.
+
+    Nothing is repeated: rates are at most one.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mix_documents(docs, labelled_languages(docs, labels), repeat=False)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the hash of what they decode to."""
+    coded = encode_texts(docs, ["doc_id", "lang", "source"], *tokenizer(), decode=True)
+    return coded.select("row.*", "ids", *digests())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("source_mixing", source_mixing),
+    ("byte_bpe", byte_bpe),
 ]
 
 #: Fingerprints, fitted rates and token ids are beyond SQL; the tests compare with plain loops.
