@@ -264,9 +264,12 @@ def _labels(spark: SparkSession, count: int) -> list[int]:
 
 
 def removed_starts(docs: DataFrame, width: int = WINDOW, buckets: int | None = None) -> DataFrame:
-    """docs: id, tag, text. id, tag and the sorted starts of the windows that an earlier document has."""
+    """docs: id, tag, text. id, tag and the sorted starts of the windows that an earlier document has.
+
+    buckets: two for each shuffle partition unless given; a bucket's hashes must fit a task's memory.
+    """
     spark = docs.sparkSession
-    labels = _labels(spark, buckets or shuffle_partitions(spark))
+    labels = _labels(spark, buckets or 2 * shuffle_partitions(spark))
     packed = docs.select("id", "tag", "text").mapInArrow(_dealer(width, labels), _PACKED_TYPES)
     late = packed.groupBy("bucket").applyInArrow(_owners(labels), _PACKED_TYPES)
     return late.groupBy("bucket").applyInArrow(_by_document, "id long, tag long, starts array<int>")
