@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from rowan.llm import substring_dedup
+from rowan.llm.substring_dedup import dedup_substrings, window_hashes
+from tests.llm.plain import AWKWARD, WORD, awkward, ordered
+from tests.llm.plain import substring_dedup as plain
+
+
+def found(docs, **how):
+    done = dedup_substrings(docs, **how)
+    return ordered(
+        done.select("row.doc_id", "n_words", "n_removed", F.sha2(F.array_join("kept", " "), 256)).collect()
+    )
+
+
+def test_awkward_rows(spark):
+    assert found(awkward(spark)) == ordered(plain(AWKWARD))
+
+
+def test_overlaps_copies_and_few_words(spark):
+    draw = random.Random(1)
+    pool = [" ".join(draw.choice("abc") for _ in range(draw.randrange(40))) for _ in range(25)]
+    rows = [(draw.randrange(30), " ".join(draw.choices(pool, k=3))) for _ in range(60)]
+    for buckets in (1, 7):
+        assert found(awkward(spark, rows), buckets=buckets) == ordered(plain(rows))
+
+
+def test_small_chunks_settle_alike(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 100)
+    rows = [r for r in AWKWARD if r[1] is None or len(r[1]) < 10_000]
+    assert found(awkward(spark, rows), width=4) == ordered(plain(rows, 4))
+
+
+def test_equal_windows_have_equal_hashes_and_only_they():
+    draw = random.Random(2)
+    texts = [" ".join(draw.choice(["a", "b", "ab", "ba", "aa"]) for _ in range(60)) for _ in range(20)]
+    texts = [t.replace(" ", draw.choice([" ", "\t\n", "  "])).encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, texts)])
+    hashes, doc, place = window_hashes(np.frombuffer(b"".join(texts), np.uint8), offsets, 5)
+    words = [WORD.findall(t.decode()) for t in texts]
+    by_hash: dict[int, set] = {}
+    for h, d, p in zip(hashes, doc, place, strict=True):
+        by_hash.setdefault(int(h), set()).add(tuple(words[d][p : p + 5]))
+    assert all(len(x) == 1 for x in by_hash.values())
+    assert len(by_hash) == len({tuple(w[k : k + 5]) for w in words for k in range(len(w) - 4)})
+
+
+def test_empty_table(spark):
+    assert found(awkward(spark).limit(0)) == []
