@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -128,7 +129,9 @@ def _vectors(rows: DataFrame, values: np.ndarray, ratios: np.ndarray) -> DataFra
         place = np.full(1 << HASH_BITS, -1, np.int32)
         place[values] = np.arange(len(values), dtype=np.int32)
         for batch in batches:
-            found = [place[np.array(x, np.int32)] for x in batch.column(1).to_pylist()]
+            lists = batch.column(1)
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            found = np.split(place[lists.flatten().to_numpy(zero_copy_only=False)], ends[:-1])
             found = [x[x >= 0] for x in found]
             parts = {
                 "type": pa.array([0] * len(found), pa.int8()),
