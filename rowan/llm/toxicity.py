@@ -128,7 +128,7 @@ def _vectors(rows: DataFrame, values: np.ndarray, ratios: np.ndarray) -> DataFra
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << HASH_BITS, -1, np.int32)
         place[values] = np.arange(len(values), dtype=np.int32)
-        for batch in batches:
+        for batch in (b for b in batches if b.num_rows):
             lists = batch.column(1)
             ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             found = np.split(place[lists.flatten().to_numpy(zero_copy_only=False)], ends[:-1])
