@@ -1,11 +1,11 @@
 """Data-parallel multilayer perceptron with early stopping.
 
-The training rows are dealt round-robin to shards of equal size. Per epoch one Spark job runs
-mini-batch Adam inside every shard, starting from the common state, and the shards' parameters
-and moments are averaged by row count (local steps with periodic averaging). A table of one
-shard therefore trains by plain sequential mini-batches, and a large one needs one job per
-epoch however many batches that is. A shard is read in chunks that fit a task's memory, each
-shuffled anew per epoch.
+The training rows are dealt by a hash of their key to a fixed number of shards, a setting. Per epoch
+one Spark job sorts every shard by a hash of key and epoch and runs mini-batch Adam over it, starting
+from the common state; the shards' parameters and moments are averaged by row count (local steps with
+periodic averaging). The algorithm is the same at every table size, and which rows form a shard or a
+mini-batch follows from keys, seed and epoch alone. A shard is streamed through its task: memory
+holds one Arrow batch, one mini-batch and the network. Feature vectors stay sparse.
 """
 
 from __future__ import annotations
@@ -13,21 +13,25 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, field
+from itertools import chain
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowan.functions.text import column
 from rowan.operators.features import FEATURES
 from rowan.operators.learners import LABEL
 
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
+PLACE = "__place"
 
 
 # The default settings.
@@ -43,6 +47,8 @@ class NetworkSettings:
     validation_split: float = 0.2
     early_stopping_patience: int = 4
     min_delta: float = 0.0005
+    # Parts that take their steps side by side; more suit larger tables and clusters.
+    shards: int = 4
 
 
 @dataclass
@@ -70,6 +76,77 @@ class EarlyStopping:
 Layers = list[tuple[np.ndarray, np.ndarray]]
 
 
+@dataclass
+class SparseRows:
+    """Feature vectors as a matrix of rows, only the stored slots held."""
+
+    starts: np.ndarray
+    slots: np.ndarray
+    values: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, vectors: pa.StructArray, width: int) -> SparseRows:
+        """From the storage form of Spark ML's vectors, sparse or dense."""
+        lists = vectors.field("values")
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        slots = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
+        sparse = vectors.field("type").to_numpy(zero_copy_only=False) == 0
+        given = vectors.field("indices").flatten().to_numpy(zero_copy_only=False)
+        slots[np.repeat(sparse, sizes)] = given
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+        return cls(starts, slots, values, width)
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def __getitem__(self, rows: slice) -> SparseRows:
+        at, to, _ = rows.indices(len(self))
+        first, last = self.starts[at], self.starts[to]
+        starts = self.starts[at : to + 1] - first
+        return SparseRows(starts, self.slots[first:last], self.values[first:last], self.width)
+
+    @classmethod
+    def joined(cls, parts: Sequence[SparseRows]) -> SparseRows:
+        sizes = np.concatenate([np.diff(p.starts) for p in parts])
+        return cls(
+            np.concatenate([[0], np.cumsum(sizes)]),
+            np.concatenate([p.slots for p in parts]),
+            np.concatenate([p.values for p in parts]),
+            parts[0].width,
+        )
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self), w.shape[1]), w.dtype)
+        filled = np.diff(self.starts) > 0
+        if filled.any():
+            terms = w[self.slots] * self.values[:, None]
+            out[filled] = np.add.reduceat(terms, self.starts[:-1][filled], axis=0)
+        return out
+
+    @property
+    def T(self) -> _Transposed:  # noqa: N802  (as numpy names it)
+        return _Transposed(self)
+
+
+@dataclass
+class _Transposed:
+    rows: SparseRows
+
+    def __matmul__(self, delta: np.ndarray) -> np.ndarray:
+        x = self.rows
+        out = np.zeros((x.width, delta.shape[1]), delta.dtype)
+        if len(x.slots):
+            row = np.repeat(np.arange(len(x)), np.diff(x.starts))
+            order = np.argsort(x.slots, kind="stable")
+            slots = x.slots[order]
+            first = np.flatnonzero(np.diff(slots, prepend=-1))
+            terms = delta[row[order]] * x.values[order, None]
+            out[slots[first]] = np.add.reduceat(terms, first, axis=0)
+        return out
+
+
 def parameter_count(dims: Sequence[int]) -> int:
     return sum(a * b + b for a, b in zip(dims[:-1], dims[1:], strict=True))
 
@@ -96,7 +173,7 @@ def initial_parameters(dims: Sequence[int], seed: int) -> np.ndarray:
     return flat
 
 
-def logits(flat: np.ndarray, dims: Sequence[int], x: np.ndarray) -> np.ndarray:
+def logits(flat: np.ndarray, dims: Sequence[int], x: np.ndarray | SparseRows) -> np.ndarray:
     layers = layers_of(flat, dims)
     for w, b in layers[:-1]:
         x = np.maximum(x @ w + b, 0.0)
@@ -112,7 +189,7 @@ def weighted_loss(z: np.ndarray, y: np.ndarray, pos_weight: float) -> np.ndarray
 def gradient(
     flat: np.ndarray,
     dims: Sequence[int],
-    x: np.ndarray,
+    x: np.ndarray | SparseRows,
     y: np.ndarray,
     pos_weight: float,
     dropout: float = 0.0,
@@ -167,10 +244,9 @@ class AdamState:
         self.flat -= rate * self.m / (np.sqrt(self.v) / scale + EPSILON)
 
 
-def _features_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _rows_of(batch: pa.RecordBatch, width: int) -> tuple[SparseRows, np.ndarray]:
     y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.float32)
-    x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-    return x.astype(np.float32, copy=False).reshape(len(y), -1), y
+    return SparseRows.of(batch.column("x"), width), y
 
 
 _STATE_SCHEMA = "shard int, n bigint, loss double, steps bigint, state binary"
@@ -188,19 +264,29 @@ def _state_batch(shard: int, n: int, loss: float, steps: int, state: np.ndarray)
     )
 
 
-def _chunks(
-    batches: Iterator[pa.RecordBatch], chunk_rows: int
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Group a shard's batches into chunks of at least ``chunk_rows`` rows, the last excepted."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _mini_batches(
+    batches: Iterator[pa.RecordBatch], width: int, size: int
+) -> Iterator[tuple[SparseRows, np.ndarray]]:
+    """A shard's rows in order, ``size`` at a time; the last mini-batch may be short."""
+    parts: list[tuple[SparseRows, np.ndarray]] = []
+    held = 0
+
+    def joined() -> tuple[SparseRows, np.ndarray]:
+        return SparseRows.joined([x for x, _ in parts]), np.concatenate([y for _, y in parts])
+
     for batch in batches:
-        if batch.num_rows:
-            held.append(_features_of(batch))
-        if sum(len(y) for _, y in held) >= chunk_rows:
-            yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
-            held = []
+        x, y = _rows_of(batch, width)
+        at = 0
+        while at < len(y):
+            to = min(len(y), at + size - held)
+            parts.append((x[at:to], y[at:to]))
+            held += to - at
+            at = to
+            if held == size:
+                yield joined()
+                parts, held = [], 0
     if held:
-        yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+        yield joined()
 
 
 def _shard_epoch(
@@ -209,47 +295,42 @@ def _shard_epoch(
     settings: NetworkSettings,
     pos_weight: float,
     seed: int,
-    chunk_rows: int,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One epoch over a shard: shuffle, mini-batches (the last may be short), Adam steps."""
+    """One epoch over a shard in its given order: mini-batches and Adam steps."""
     packed = np.stack([state.flat, state.m, state.v])
     start = state.steps
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard = TaskContext.get().partitionId()
+        batches = (b for b in batches if b.num_rows)
+        opening = next(batches, None)
+        if opening is None:
+            return
+        shard = opening.column("shard")[0].as_py()
         rng = np.random.default_rng([seed, start, shard])
         local = AdamState(packed[0].copy(), packed[1].copy(), packed[2].copy(), start)
         n, total = 0, 0.0
-        for x, y in _chunks(batches, chunk_rows):
-            order = rng.permutation(len(y))
-            for at in range(0, len(y), settings.batch_size):
-                rows = order[at : at + settings.batch_size]
-                loss, grad = gradient(
-                    local.flat, dims, x[rows], y[rows], pos_weight, settings.dropout, rng
-                )
-                local.step(grad, settings.learning_rate, settings.weight_decay)
-                total += loss * len(rows)
+        for x, y in _mini_batches(chain([opening], batches), dims[0], settings.batch_size):
+            loss, grad = gradient(local.flat, dims, x, y, pos_weight, settings.dropout, rng)
+            local.step(grad, settings.learning_rate, settings.weight_decay)
+            total += loss * len(y)
             n += len(y)
-        if n:
-            weighted = np.stack([local.flat, local.m, local.v]).astype(np.float64) * n
-            yield _state_batch(shard, n, total, local.steps, weighted)
+        weighted = np.stack([local.flat, local.m, local.v]).astype(np.float64) * n
+        yield _state_batch(shard, n, total, local.steps, weighted)
 
     return run
 
 
 def _merge_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up row-weighted states, one at a time."""
-    n, loss, steps, state = 0, 0.0, 0, None
+    """Add up row-weighted states in the order of their shards, one at a time."""
+    shard, n, loss, steps, state = 0, 0, 0.0, 0, None
     for batch in batches:
         for row in batch.to_pylist():
             part = np.frombuffer(row["state"], dtype=np.float64)
             state = part.copy() if state is None else state + part
             n, loss = n + row["n"], loss + row["loss"]
-            steps = max(steps, row["steps"])
+            shard, steps = row["shard"] // _FAN_IN, max(steps, row["steps"])
     if state is not None:
-        yield _state_batch(0, n, loss, steps, state)
+        yield _state_batch(shard, n, loss, steps, state)
 
 
 # So many states of a small network may meet in one task.
@@ -260,7 +341,9 @@ def _combine(states: DataFrame, shards: int) -> DataFrame:
     """Tree-reduce the shards' states until few enough are left for the driver."""
     while shards > _FAN_IN:
         shards = math.ceil(shards / _FAN_IN)
-        states = states.repartition(shards).mapInArrow(_merge_states, _STATE_SCHEMA)
+        group = F.floor(F.col("shard") / _FAN_IN).cast("int")
+        dealt = states.repartitionById(shards, group).sortWithinPartitions("shard")
+        states = dealt.mapInArrow(_merge_states, _STATE_SCHEMA)
     return states
 
 
@@ -270,17 +353,15 @@ def _loss_sum(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = _features_of(batch)
-                loss = float(weighted_loss(logits(flat, dims, x), y, pos_weight).sum())
-                yield pa.RecordBatch.from_pydict({"loss": [loss], "n": [len(y)]})
+                x, y = _rows_of(batch, dims[0])
+                losses = weighted_loss(logits(flat, dims, x).astype(np.float64), y, pos_weight)
+                yield pa.RecordBatch.from_pydict({"loss": [math.fsum(losses)], "n": [len(y)]})
 
     return run
 
 
-def _network_input(df: DataFrame, features: str, label: str) -> DataFrame:
-    return df.select(
-        F.col(label).cast("float").alias("y"), vector_to_array(features, "float32").alias("x")
-    )
+def _network_input(df: DataFrame, *more: Column) -> DataFrame:
+    return df.select(F.col(LABEL).cast("float").alias("y"), F.col(FEATURES).alias("x"), *more)
 
 
 @dataclass
@@ -314,13 +395,22 @@ class MLPModel:
 
         @F.pandas_udf("double")
         def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for x in parts:
-                z = logits(flat, dims, np.stack(x.to_numpy())) if len(x) else np.empty(0)
-                yield pd.Series(np.exp(-np.logaddexp(0.0, -z.astype(np.float64))))
+            for part in parts:
+                rows = part.to_numpy()
+                # A few rows at a time: wide vectors are dense here.
+                blocks = (rows[at : at + 256] for at in range(0, len(rows), 256))
+                z = [logits(flat, dims, np.stack(block)) for block in blocks]
+                flat_z = np.concatenate([*z, np.empty(0)]).astype(np.float64)
+                yield pd.Series(np.exp(-np.logaddexp(0.0, -flat_z)))
 
         return features.withColumn(output, score(vector_to_array(column, "float32")))
 
 
+def place_of(key: str, seed: int) -> Column:
+    """A row's place among all rows: a hash of seed and key."""
+    return F.xxhash64(F.lit(seed), column(key).cast("string")).alias(PLACE)
+
+
 def train_mlp(
     train: DataFrame,
     validation: DataFrame | None,
@@ -329,34 +419,34 @@ def train_mlp(
     pos_weight: float,
     settings: NetworkSettings = NetworkSettings(),
     seed: int = 42,
-    rows_per_shard: int = 50_000,
-    most_shards: int = 4096,
 ) -> MLPModel:
     """Train on assembled rows; ``rows`` are the known sizes of the two parts.
 
-    Round-robin shards are equal whatever the keys look like, and the order inside a shard is
-    fixed by the rows' own hash, so a recomputed shard repeats its steps.
+    Training rows carry ``place_of`` their key, which deals them to shards and, with the epoch,
+    orders them: neither the partitions they come in nor a recomputed task changes a step.
     """
-    shards = min(max(1, math.ceil(rows[0] / rows_per_shard)), most_shards)
-    data = _network_input(train, FEATURES, LABEL)
-    data = data.repartition(shards).sortWithinPartitions(F.xxhash64("x", "y"))
+    shard = F.pmod(F.col(PLACE), F.lit(settings.shards)).cast("int")
+    data = _network_input(train, F.col(PLACE).alias("place"), shard.alias("shard"))
+    data = data.repartitionById(settings.shards, F.col("shard"))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     held = None
     if validation is not None:
-        held = _network_input(validation, FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+        held = _network_input(validation).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        width = len(data.select("x").first()["x"])
+        width = data.select("x").first()["x"].size
         dims = [width, *settings.hidden_dims, 1]
         state = AdamState.start(initial_parameters(dims, seed))
         best = state.flat.copy()
         rule = EarlyStopping(settings.early_stopping_patience, settings.min_delta)
         summary = TrainingSummary(rows[0], rows[1], used_validation_split=held is not None)
         for epoch in range(1, settings.epochs + 1):
-            step = _shard_epoch(state, dims, settings, pos_weight, seed, rows_per_shard)
+            step = _shard_epoch(state, dims, settings, pos_weight, seed)
+            order = F.xxhash64("place", F.lit(seed), F.lit(epoch))
+            shuffled = data.sortWithinPartitions(order, "place", "y")
             # One state per group of shards: a few network-sized rows.
-            states = _combine(data.mapInArrow(step, _STATE_SCHEMA), shards).collect()
+            states = _combine(shuffled.mapInArrow(step, _STATE_SCHEMA), settings.shards).collect()
             # Always added up in shard order.
-            states = sorted(states, key=lambda r: (r["shard"], r["n"], r["loss"]))
+            states = sorted(states, key=lambda r: r["shard"])
             n = sum(r["n"] for r in states)
             packed = sum(np.frombuffer(r["state"], dtype=np.float64) for r in states) / n
             flat, m, v = packed.reshape(3, -1).astype(np.float32)
@@ -368,10 +458,11 @@ def train_mlp(
                 continue
             sums = (
                 held.mapInArrow(_loss_sum(state.flat, dims, pos_weight), "loss double, n bigint")
-                .agg(F.sum("loss").alias("loss"), F.sum("n").alias("n"))
+                # Decimals add up alike in any order.
+                .agg(F.sum(F.col("loss").cast("decimal(38,10)")).alias("loss"), F.sum("n").alias("n"))
                 .first()
             )
-            loss = sums["loss"] / sums["n"]
+            loss = float(sums["loss"]) / sums["n"]
             record["val_loss"] = round(loss, 6)
             if rule.improved(epoch, loss):
                 best = state.flat.copy()

@@ -30,7 +30,7 @@ from rowan.operators.metrics import (
     select_best,
     threshold_sweep,
 )
-from rowan.operators.mlp import MLPModel, NetworkSettings, train_mlp
+from rowan.operators.mlp import MLPModel, NetworkSettings, place_of, train_mlp
 from rowan.operators.quality import gate, missing_columns, quality_report
 from rowan.operators.scoring import Scorer, with_scores
 from rowan.operators.split import clamp_folds, inner_split, stratified_folds, stratified_split
@@ -146,7 +146,9 @@ def train_models(
         held = inner.is_held_out if inner else F.lit(False)
         fitting = (
             preprocessor.transform(train.withColumn(_INNER, held))
-            .select(FEATURES, LABEL, _INNER, weight_column(kept).alias(WEIGHT))
+            .select(
+                FEATURES, LABEL, _INNER, weight_column(kept).alias(WEIGHT), place_of(spec.key, seed)
+            )
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         persisted.append(fitting)

@@ -11,11 +11,13 @@ from rowan.operators.mlp import (
     AdamState,
     EarlyStopping,
     NetworkSettings,
+    SparseRows,
     gradient,
     initial_parameters,
     layers_of,
     logits,
     parameter_count,
+    place_of,
     train_mlp,
     weighted_loss,
 )
@@ -77,15 +79,36 @@ def test_initial_weights_are_bounded_by_fan_in():
         assert abs(w).max() <= bound and abs(b).max() <= bound
 
 
-@pytest.fixture(scope="module")
-def data(spark):
+def test_sparse_rows_multiply_like_dense_ones(spark):
+    rng = np.random.default_rng(4)
+    dense = rng.normal(size=(30, 7)) * (rng.random((30, 7)) < 0.3)
+    dense[5] = 0
+    mixed = [
+        Vectors.dense(r) if i % 3 == 0 else Vectors.sparse(7, {int(k): r[k] for k in np.flatnonzero(r)})
+        for i, r in enumerate(dense)
+    ]
+    rows = spark.createDataFrame([(v,) for v in mixed], ["x"]).coalesce(1)
+    sparse = SparseRows.of(rows.toArrow().combine_chunks().column("x").chunk(0), 7)
+    w, delta = rng.normal(size=(7, 4)), rng.normal(size=(30, 2))
+    assert sparse @ w == pytest.approx(dense @ w, abs=1e-6)
+    assert sparse.T @ delta == pytest.approx(dense.T @ delta, abs=1e-6)
+    part = SparseRows.joined([sparse[3:9], sparse[20:21]])
+    assert part @ w == pytest.approx(dense[[*range(3, 9), 20]] @ w, abs=1e-6)
+
+
+def rows_of(spark, n, partitions):
     rng = np.random.default_rng(11)
     x = rng.normal(size=(600, 3))
     y = (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float)
-    df = spark.createDataFrame(
-        [(Vectors.dense(a), float(b)) for a, b in zip(x, y, strict=True)], [FEATURES, LABEL]
-    ).coalesce(1)
-    return df.limit(480).persist(), df.exceptAll(df.limit(480)).persist()
+    rows = [(k, Vectors.dense(a), float(b)) for k, (a, b) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, ["k", FEATURES, LABEL]).repartition(partitions)
+    df = df.select("*", place_of("k", 5))
+    return df.filter(f"k < {n}"), df.filter("k >= 480")
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    return tuple(part.persist() for part in rows_of(spark, 480, 1))
 
 
 def accuracy(model, df):
@@ -93,15 +116,14 @@ def accuracy(model, df):
     return np.mean([(r["probability"] >= 0.5) == (r[LABEL] == 1) for r in rows])
 
 
-def train(data, shards, **settings):
+def train(data, shards, epochs=25, **settings):
     train_rows, held = data
     options = NetworkSettings(
-        epochs=25, batch_size=16, learning_rate=0.01, hidden_dims=(16, 8), dropout=0.0, **settings
-    )
-    rows = 480 // shards
-    return train_mlp(
-        train_rows, held, PipelineModel([]), (480, held.count()), 1.0, options, 5, rows
-    )
+        epochs=epochs, batch_size=16, learning_rate=0.01, hidden_dims=(16, 8), dropout=0.0,
+        shards=shards, **settings,
+    )
+    sizes = (train_rows.count(), held.count())
+    return train_mlp(train_rows, held, PipelineModel([]), sizes, 1.0, options, 5)
 
 
 @pytest.mark.parametrize("shards", [1, 3])
@@ -115,10 +137,24 @@ def test_training_learns_and_restores_the_best_epoch(data, shards):
     assert accuracy(model, data[1]) > 0.8
 
 
-def test_training_is_reproducible(data):
-    a, b = (train(data, 2, early_stopping_patience=1) for _ in range(2))
-    assert a.summary.history == b.summary.history
-    assert np.array_equal(a.flat, b.flat)
+@pytest.mark.parametrize("shards", [1, 4])
+def test_training_does_not_depend_on_input_partitions(spark, shards):
+    one, *more = (train(rows_of(spark, 480, p), shards, epochs=3) for p in (1, 7, 8))
+    for other in more:
+        assert other.summary.history == one.summary.history
+        assert np.array_equal(other.flat, one.flat)
+
+
+def test_rows_are_dealt_by_key(spark):
+    a, b = (train(rows_of(spark, n, 3), 4, epochs=1) for n in (480, 479))
+    first, second = (m.summary.history[0]["train_loss"] for m in (a, b))
+    assert first != second and abs(first - second) < 0.01
+
+
+def test_more_shards_than_rows(spark):
+    rows, held = rows_of(spark, 5, 2)
+    model = train((rows, held), 16, epochs=2)
+    assert model.summary.epochs_completed == 2
 
 
 def test_without_validation_the_last_epoch_is_kept(data):
@@ -132,29 +168,22 @@ def test_without_validation_the_last_epoch_is_kept(data):
 def test_many_shards_are_combined_in_a_tree(data, monkeypatch):
     from rowan.operators import mlp
 
-    whole = train(data, 5, early_stopping_patience=1)
+    whole = train(data, 5, epochs=3)
     monkeypatch.setattr(mlp, "_FAN_IN", 2)
-    tree = train(data, 5, early_stopping_patience=1)
+    tree = train(data, 5, epochs=3)
     assert tree.flat == pytest.approx(whole.flat, abs=1e-4)
 
 
-def test_shards_are_read_in_bounded_chunks(data):
+def test_mini_batches_pass_arrow_batches(spark):
     import pyarrow as pa
 
-    from rowan.operators.mlp import _chunks
-
-    def batch(n):
-        return pa.RecordBatch.from_pydict(
-            {"y": pa.array([1.0] * n), "x": pa.array([[0.5, 1.0]] * n, pa.list_(pa.float32()))}
-        )
+    from rowan.operators.mlp import _mini_batches
 
-    sizes = [len(y) for _, y in _chunks(iter([batch(n) for n in (4, 4, 0, 4, 3)]), 7)]
-    assert sizes == [8, 7]
-    whole = train(data, 1, early_stopping_patience=1)
-    options = NetworkSettings(
-        epochs=3, batch_size=16, learning_rate=0.01, hidden_dims=(16, 8), dropout=0.0
-    )
-    capped = train_mlp(
-        *data, PipelineModel([]), (480, data[1].count()), 1.0, options, 5, 100, most_shards=1
-    )
-    assert capped.summary.history[0] == whole.summary.history[0]
+    x = spark.createDataFrame([(Vectors.sparse(2, [1], [float(k)]),) for k in range(15)], ["x"])
+    x = x.coalesce(1).toArrow().combine_chunks().column("x").chunk(0)
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(15.0)), x], ["y", "x"])
+    cut = [whole.slice(at, n) for at, n in ((0, 4), (4, 0), (4, 9), (13, 2))]
+    parts = list(_mini_batches(iter(cut), 2, 7))
+    assert [len(y) for _, y in parts] == [7, 7, 1]
+    assert np.concatenate([y for _, y in parts]).tolist() == list(range(15))
+    assert np.concatenate([(m @ np.eye(2))[:, 1] for m, _ in parts]).tolist() == list(range(15))
