@@ -19,16 +19,15 @@ from rowan.operators.learners import (
     build_estimator,
     weight_column,
 )
-from rowan.operators.metrics import METRICS, classification_metrics, ranges_for
+from rowan.operators.metrics import METRICS, classification_metrics
 from rowan.operators.scoring import with_scores
 from rowan.operators.split import Folds
 from rowan.spec import DatasetSpec
 
 FOLD = "__fold"
-# Folds of a table up to this size are held side by side; of a larger one, one at a time.
-SIDE_BY_SIDE_ROWS = 2_000_000
 # Jobs a driver keeps in flight at once; the executors share the persisted fold.
 PARALLELISM = 8
+FOLDS_AT_ONCE = 5
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -37,17 +36,24 @@ def labelled(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def fold_frame(
-    train: DataFrame, spec: DatasetSpec, folds: Folds, fold: int, columns: list[str]
+    train: DataFrame,
+    spec: DatasetSpec,
+    folds: Folds,
+    fold: int,
+    columns: list[str],
+    max_categories: int | None = None,
 ) -> Iterator[tuple[DataFrame, DataFrame, int]]:
     """The fold's fitting and held-out rows, transformed by statistics of the fitting rows only.
 
-    Both come from one persisted table; one fold is held at a time.
+    Both come from one persisted table.
     """
     marked = train.withColumn(FOLD, folds.fold)
     fitting = marked.filter(F.col(FOLD) != fold)
     sizes = folds.training_sizes(fold)
     rows = sum(sizes.values())
-    preprocessor = TabularPreprocessor(spec, columns, rows=rows).fit(fitting)
+    preprocessor = TabularPreprocessor(
+        spec, columns, rows=rows, max_categories=max_categories
+    ).fit(fitting)
     frame = (
         preprocessor.transform(marked)
         .select(FEATURES, LABEL, FOLD, weight_column(sizes).alias(WEIGHT))
@@ -69,14 +75,14 @@ def in_parallel(work: Callable[[Any], Any], items: list[Any], parallelism: int)
 
 
 def over_folds(
-    work: Callable[[int, int], list[Any]], folds: Folds, parallelism: int
+    work: Callable[[int, int], list[Any]], folds: Folds, parallelism: int, at_once: int
 ) -> list[Any]:
     """Rows of every fold's work, in fold order; the jobs in flight are shared out to the folds.
 
-    ``work`` takes the fold and the number of jobs it may keep in flight.
+    ``work`` takes the fold and the number of jobs it may keep in flight. ``at_once`` folds are
+    held side by side: each takes the storage of a transformed table.
     """
-    small = sum(folds.sizes.values()) <= SIDE_BY_SIDE_ROWS
-    at_once = min(folds.k, parallelism) if small else 1
+    at_once = max(1, min(folds.k, parallelism, at_once))
     each = max(1, -(-parallelism // at_once))
     parts = in_parallel(lambda fold: work(fold, each), list(range(folds.k)), at_once)
     return [row for part in parts for row in part]
@@ -105,20 +111,21 @@ def cross_validate(
     columns: list[str],
     seed: int,
     parallelism: int = PARALLELISM,
+    folds_at_once: int = FOLDS_AT_ONCE,
+    max_categories: int | None = None,
 ) -> DataFrame:
     """Held-out scores as rows (model, fold, metric, value), unrounded."""
 
     def scores(fold: int, jobs: int) -> list[tuple[str, int, str, float]]:
-        with fold_frame(train, spec, folds, fold, columns) as (fitting, held_out, n):
+        framed = fold_frame(train, spec, folds, fold, columns, max_categories)
+        with framed as (fitting, held_out, n):
             models = fit_families(fitting, families, n, seed, jobs)
             scored = with_scores(models, held_out, [LABEL])
-            measured = classification_metrics(
-                scored, ["model"], label=LABEL, ranges=ranges_for(n * len(families))
-            )
+            measured = classification_metrics(scored, ["model"], label=LABEL)
             # One row per family.
             return [(r["model"], fold, m, r[m]) for r in measured.collect() for m in METRICS]
 
-    rows = over_folds(scores, folds, parallelism)
+    rows = over_folds(scores, folds, parallelism, folds_at_once)
     return train.sparkSession.createDataFrame(
         rows, "model string, fold int, metric string, value double"
     )

@@ -22,8 +22,6 @@ from rowan.operators.order_stats import EXACT_ROWS, collected_median, median_bra
 from rowan.spec import DatasetSpec
 
 FEATURES = "__features"
-# A one-hot block is a slot per category and every model holds a weight per slot on the driver.
-MAX_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -87,6 +85,8 @@ def fit_numeric(
     for i, (name, median) in enumerate(zip(columns, middles, strict=True)):
         if median is None:
             continue
+        if not (math.isfinite(row[f"mean{i}"]) and math.isfinite(row[f"var{i}"])):
+            raise ValueError(f"Infinite values found in column: {name!r}")
         mean, var, share = row[f"mean{i}"], row[f"var{i}"], row[f"n{i}"] / row["rows"]
         gap = mean - median
         spread = share * var + share * (1.0 - share) * gap * gap
@@ -118,21 +118,44 @@ def modes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(best.alias("mode"))
 
 
+def fit_modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """Most frequent value per column, however many values there are: a row per column comes back."""
+    return {r["column"]: r["mode"] for r in modes(category_counts(df, columns)).collect()}
+
+
+def _refuse_wide(df: DataFrame, columns: list[str], limit: int) -> None:
+    """Raise if a column has more values than the limit; nothing but sketches is shuffled."""
+    error = 0.02
+    sketches = [F.approx_count_distinct(column(c), error) for c in columns]
+    found = df.agg(*[s.alias(f"n{i}") for i, s in enumerate(sketches)]).first()
+    wide = [c for c, n in zip(columns, found, strict=True) if n > limit * (1 + 5 * error)]
+    if wide:
+        raise ValueError(f"More than {limit} categories in {wide}: {_ADVICE}")
+
+
+_ADVICE = "declare identifier-like columns as the key or leave them out."
+
+
 def fit_categories(
-    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: list[str], max_categories: int | None = None
 ) -> list[CategoryStats]:
-    """Mode and sorted categories per column; columns without a single value are left out."""
+    """Mode and sorted categories per column; columns without a single value are left out.
+
+    A model has a slot and a weight for every category, so the lists are as large as the model.
+    ``max_categories`` refuses columns with more values, before they are shuffled where a sketch
+    tells.
+    """
     if not columns:
         return []
-    rows = category_counts(df, columns).limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise ValueError(
-            f"More than {max_categories} categories in {columns}: "
-            "declare identifier-like columns as the key or leave them out."
-        )
+    if max_categories is not None:
+        _refuse_wide(df, columns, max_categories)
+    rows = category_counts(df, columns).collect()
     seen: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
         seen.setdefault(r["column"], []).append((-r["n"], r["value"]))
+    wide = [c for c in columns if max_categories is not None and len(seen.get(c, ())) > max_categories]
+    if wide:
+        raise ValueError(f"More than {max_categories} categories in {wide}: {_ADVICE}")
     return [
         CategoryStats(c, min(seen[c])[1], tuple(sorted(v for _, v in seen[c])))
         for c in columns
@@ -153,8 +176,12 @@ def scaled_sql(stats: NumericStats, dtype: T.DataType) -> str:
     return f"({value} - {_double_literal(stats.mean)}) / {_double_literal(stats.scale)}"
 
 
+def mode_sql(name: str, mode: str) -> str:
+    return f"coalesce(CAST({quoted(name)} AS STRING), {text_literal(mode)})"
+
+
 def category_sql(stats: CategoryStats) -> str:
-    return f"coalesce(CAST({quoted(stats.column)} AS STRING), {text_literal(stats.mode)})"
+    return mode_sql(stats.column, stats.mode)
 
 
 def transformation(
@@ -200,7 +227,8 @@ def transformation(
 class TabularPreprocessor(Estimator):
     """Median + standard scaling for declared numbers, mode + one-hot for the other features.
 
-    ``rows`` is the table's size where the caller knows it.
+    ``rows`` is the table's size where the caller knows it, ``max_categories`` an optional limit
+    to the values of a one-hot column.
     """
 
     def __init__(
@@ -209,21 +237,23 @@ class TabularPreprocessor(Estimator):
         columns: list[str] | None = None,
         output: str = FEATURES,
         rows: int | None = None,
+        max_categories: int | None = None,
     ) -> None:
         super().__init__()
         self.spec = spec
         self.columns = columns
         self.output = output
         self.rows = rows
+        self.max_categories = max_categories
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         columns = self.columns if self.columns is not None else dataset.columns
         columns = [c for c in columns if not c.startswith("__")]
-        numbers = self.spec.numeric_features(columns)
-        texts = self.spec.categorical_features(columns)
+        numbers = self.spec.numeric_features(dataset.schema, columns)
+        texts = self.spec.categorical_features(dataset.schema, columns)
         # Two independent sets of passes over different columns.
         with ThreadPool(2) as pool:
-            pending = pool.apply_async(fit_categories, (dataset, texts))
+            pending = pool.apply_async(fit_categories, (dataset, texts, self.max_categories))
             numeric = fit_numeric(dataset, numbers, rows=self.rows)
             categorical = pending.get()
         if not numeric and not categorical:

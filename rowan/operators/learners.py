@@ -90,10 +90,12 @@ def logistic_regression(params: Mapping[str, Any], rows: int, tol: float = 1e-6)
 
 def random_forest(params: Mapping[str, Any], seed: int) -> Estimator:
     depth = params.get("max_depth", 8)
+    if depth is not None and int(depth) > DEEPEST:
+        raise ValueError(f"max_depth {depth}: trees grow no deeper than {DEEPEST}.")
     return RandomForestClassifier(
         **_columns(),
         numTrees=int(params.get("n_estimators", 200)),
-        maxDepth=DEEPEST if depth is None else min(int(depth), DEEPEST),
+        maxDepth=DEEPEST if depth is None else int(depth),
         minInstancesPerNode=int(params.get("min_samples_leaf", 2)),
         impurity="gini",
         featureSubsetStrategy="sqrt",

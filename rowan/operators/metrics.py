@@ -23,12 +23,6 @@ THRESHOLDS = (
 )
 
 _COUNTS = ("tp", "fp", "fn", "tn")
-# Below this many scored rows one sorted range is fine.
-SMALL_ROWS = 1_000_000
-
-
-def ranges_for(rows: int) -> int | None:
-    return 1 if rows <= SMALL_ROWS else None
 
 
 def rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
@@ -45,99 +39,95 @@ def rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
     }
 
 
-def confusion(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction"
-) -> DataFrame:
+def _confusion(label: str, prediction: str) -> list[Column]:
     y, p = F.col(label), F.col(prediction)
-    return df.groupBy(*by).agg(
+    return [
         F.count_if((y == 1) & (p == 1)).alias("tp"),
         F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.count_if((y == 0) & (p == 0)).alias("tn"),
-    )
+    ]
 
 
-def _even_cuts(df: DataFrame, score: str, ranges: int) -> list[float]:
-    """Score values that cut the table into ranges of similar size (a bounded sketch)."""
-    shares = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(score, shares, ranges * 20).alias("q")).first()
-    return sorted(set(row["q"] or []))
+def confusion(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    return df.groupBy(*by).agg(*_confusion(label, prediction))
 
 
-def roc_auc(
-    df: DataFrame,
-    by: Sequence[str] = (),
-    label: str = "label",
-    score: str = "probability",
-    ranges: int | None = None,
-) -> DataFrame:
-    """Share of (positive, negative) pairs ranked right, ties half; NULL for a single class.
+def _ranked_right(per_score: DataFrame, by: list[str], carried: Sequence[str]) -> DataFrame:
+    """From rows (by..., __s, pos, neg, carried...) per distinct score: sums of the carried counts
+    and ``roc_auc`` per group.
 
-    Rows with equal scores collapse before the first shuffle. The running count of negatives is
-    taken inside score ranges of similar size, and the ranges' totals are chained afterwards, so
-    no class or group is ever sorted in one task. Pair counts are kept as exact decimals.
-    A caller that knows the table to be small saves the sketch with ``ranges=1``.
+    Scores are dealt out in ranges, as many as shuffle partitions and merged where small. Running
+    counts of negatives are taken inside a range and the ranges' totals chained afterwards, so no
+    class or group is sorted in one task. Pair counts are exact decimals.
     """
-    spark = df.sparkSession
-    ranges = ranges or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    by = list(by)
-    data = df.select(*by, F.col(label).alias("y"), F.col(score).cast("double").alias("s"))
-    data = data.filter("y is not null and s is not null")
-    cuts = _even_cuts(data, "s", ranges) if ranges > 1 else []
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        data = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(data)
-        data = data.withColumn("r", F.col("r").cast("int"))
-    else:
-        data = data.withColumn("r", F.lit(0))
-    per_score = data.groupBy(*by, "r", "s").agg(
-        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
-    )
-    inside = W.partitionBy(*by, "r").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
     exact = "decimal(19,0)"
+    ranged = per_score.repartitionByRange(*by, "__s").withColumn("__r", F.spark_partition_id())
+    inside = W.partitionBy(*by, "__r").orderBy("__s").rowsBetween(W.unboundedPreceding, -1)
     below = F.coalesce(F.sum("neg").over(inside), F.lit(0)).alias("below")
+    won = F.col("pos").cast(exact) * (2 * F.col("below") + F.col("neg")).cast(exact)
+    sums = [F.sum(c).alias(c) for c in ("pos", "neg", *carried)]
     per_range = (
-        per_score.select(*by, "r", "pos", "neg", below)
-        .groupBy(*by, "r")
-        .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.sum(
-                F.col("pos").cast(exact) * (2 * F.col("below") + F.col("neg")).cast(exact)
-            ).alias("won"),
-        )
+        ranged.select(*by, "__r", "pos", "neg", *carried, below)
+        .groupBy(*by, "__r")
+        .agg(*sums, F.sum(won).alias("won"))
     )
     # From here on there is one row per group and range.
-    before = W.partitionBy(*by).orderBy("r").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*by).orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
     chained = per_range.withColumn("below", F.coalesce(F.sum("neg").over(before), F.lit(0)))
     won = F.col("won") + F.col("pos").cast(exact) * (2 * F.col("below")).cast(exact)
-    pairs = 2 * F.col("positives").cast("double") * F.col("negatives").cast("double")
+    pairs = 2 * F.col("pos").cast("double") * F.col("neg").cast("double")
+    summed = chained.groupBy(*by).agg(*sums, F.sum(won).alias("won"))
+    area = F.try_divide(F.col("won").cast("double"), pairs).alias("roc_auc")
+    return summed.select(*by, *carried, area)
+
+
+def _per_score(
+    df: DataFrame, by: list[str], label: str, score: str, counts: list[Column]
+) -> DataFrame:
+    """One row per group and distinct score, combined before the shuffle. Rows without a score
+    rank nowhere, but keep their other counts."""
+    scored = F.col("__s").isNotNull()
     return (
-        chained.groupBy(*by)
+        df.withColumn("__s", F.col(score).cast("double"))
+        .groupBy(*by, "__s")
         .agg(
-            F.sum(won).alias("won"),
-            F.sum("pos").alias("positives"),
-            F.sum("neg").alias("negatives"),
+            F.count_if(scored & (F.col(label) == 1)).alias("pos"),
+            F.count_if(scored & (F.col(label) == 0)).alias("neg"),
+            *counts,
         )
-        .select(*by, F.try_divide(F.col("won").cast("double"), pairs).alias("roc_auc"))
     )
 
 
+def roc_auc(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "probability"
+) -> DataFrame:
+    """Share of (positive, negative) pairs ranked right, ties half; NULL for a single class."""
+    by = list(by)
+    data = df.select(*by, F.col(label), F.col(score))
+    return _ranked_right(_per_score(data, by, label, score, []), by, [])
+
+
 def classification_metrics(
     df: DataFrame,
     by: Sequence[str] = (),
     label: str = "label",
     prediction: str = "prediction",
     probability: str = "probability",
-    ranges: int | None = None,
 ) -> DataFrame:
-    """One row per group with the four confusion counts and all five metrics, unrounded."""
+    """One row per group with the four confusion counts and all five metrics, unrounded.
+
+    One scan: confusion counts ride along with the scores. A null group is a group.
+    """
     groups = list(by) or ["__all"]
     data = df if by else df.withColumn("__all", F.lit(0))
-    counted = confusion(data, groups, label, prediction)
-    auc = roc_auc(data, groups, label, probability, ranges)
+    data = data.select(*groups, F.col(label), F.col(prediction), F.col(probability))
+    per_score = _per_score(data, groups, label, probability, _confusion(label, prediction))
+    measured = _ranked_right(per_score, groups, _COUNTS)
     shares = rates(*[F.col(c) for c in _COUNTS])
-    return counted.join(auc, groups, "left").select(
+    return measured.select(
         *by, *_COUNTS, *[shares[m].alias(m) for m in METRICS[:-1]], "roc_auc"
     )
 

@@ -10,7 +10,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowan.operators.cv import PARALLELISM, fold_frame, in_parallel, labelled, over_folds
+from rowan.operators.cv import (
+    FOLDS_AT_ONCE,
+    PARALLELISM,
+    fold_frame,
+    in_parallel,
+    labelled,
+    over_folds,
+)
 from rowan.operators.learners import LABEL, PREDICTION, build_estimator
 from rowan.operators.metrics import confusion, rates
 from rowan.operators.split import Folds
@@ -50,6 +57,8 @@ def run_trials(
     num_samples: int,
     seed: int,
     parallelism: int = PARALLELISM,
+    folds_at_once: int = FOLDS_AT_ONCE,
+    max_categories: int | None = None,
 ) -> tuple[DataFrame, dict[str, list[dict[str, Any]]]]:
     """Mean and population deviation of F1 per trial: (model, trial, f1_mean, f1_std), and the
     sampled settings. A fold is prepared once and shared by all trials."""
@@ -59,7 +68,8 @@ def run_trials(
     f1 = rates(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])["f1"]
 
     def fold_scores(fold: int, jobs: int) -> list[tuple[str, int, int, float]]:
-        with fold_frame(train, spec, folds, fold, columns) as (fitting, held_out, n):
+        framed = fold_frame(train, spec, folds, fold, columns, max_categories)
+        with framed as (fitting, held_out, n):
             data = labelled(fitting)
             # Fill the cache once, before the trials start side by side.
             data.count()
@@ -73,7 +83,7 @@ def run_trials(
 
             return in_parallel(score, queue, jobs)
 
-    scores = over_folds(fold_scores, folds, parallelism)
+    scores = over_folds(fold_scores, folds, parallelism, folds_at_once)
     spark = train.sparkSession
     per_fold = spark.createDataFrame(scores, "model string, trial int, fold int, f1 double")
     per_trial = per_fold.groupBy("model", "trial").agg(

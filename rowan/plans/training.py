@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rowan.functions.scores import encode_label, report_round
 from rowan.functions.text import column
-from rowan.operators.cv import PARALLELISM, cross_validate, fit_families
+from rowan.operators.cv import FOLDS_AT_ONCE, PARALLELISM, cross_validate, fit_families
 from rowan.operators.drift import drift_report, drift_verdict
 from rowan.operators.features import FEATURES, TabularPreprocessor
 from rowan.operators.learners import LABEL, NETWORK, WEIGHT, candidates, weight_column
@@ -25,7 +25,6 @@ from rowan.operators.metrics import (
     best_trial,
     classification_metrics,
     default_threshold,
-    ranges_for,
     score_summary,
     select_best,
     threshold_sweep,
@@ -57,6 +56,8 @@ class TrainingSettings:
     network: NetworkSettings = NetworkSettings()
     models: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
     parallelism: int = PARALLELISM
+    folds_at_once: int = FOLDS_AT_ONCE
+    max_categories: int | None = None
 
 
 @dataclass
@@ -123,6 +124,7 @@ def train_models(
                 trials, sampled = run_trials(
                     train, spec, families, folds, columns,
                     settings.tuning_samples, seed, settings.parallelism,
+                    settings.folds_at_once, settings.max_categories,
                 )
                 winners = best_trial(trials).collect()
                 tuned = {r["model"]: sampled[r["model"]][r["trial"]] for r in winners}
@@ -138,7 +140,9 @@ def train_models(
                     SCHEMAS["tuning"].removesuffix(", run_id string"),
                 )
 
-        preprocessor = TabularPreprocessor(spec, columns, rows=rows).fit(train)
+        preprocessor = TabularPreprocessor(
+            spec, columns, rows=rows, max_categories=settings.max_categories
+        ).fit(train)
         network = settings.network
         inner = None
         if network.enabled:
@@ -172,8 +176,7 @@ def train_models(
             fitted, preprocessor.transform(test).select(FEATURES, LABEL), [LABEL]
         ).persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(scored)
-        ranges = ranges_for(sum(split.held_out.values()) * len(fitted))
-        measured = classification_metrics(scored, ["model"], label=LABEL, ranges=ranges)
+        measured = classification_metrics(scored, ["model"], label=LABEL)
         test_metrics = _local(measured)
         selected = select_best(test_metrics, settings.selection_metric, list(fitted)).first()[0]
         sweep = _local(threshold_sweep(scored.filter(F.col("model") == selected), label=LABEL))
@@ -183,8 +186,9 @@ def train_models(
         if k and families:
             folds = stratified_folds(train, LABEL, spec.key, k, seed)
             cross_validation = cross_validate(
-                train, spec, families, folds, columns, seed, settings.parallelism
-            )
+                train, spec, families, folds, columns, seed, settings.parallelism,
+                settings.folds_at_once, settings.max_categories,
+            )
 
         mlp = fitted.get(NETWORK)
         epochs = mlp.summary.history if isinstance(mlp, MLPModel) and mlp.summary else []

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 
 @dataclass(frozen=True)
 class DatasetSpec:
     """Column roles and rules of one table.
 
     ``required`` fixes the order in which missing columns are reported, ``numeric`` and
-    ``allowed`` the order in which bad columns are. Columns that are neither key, target nor
-    numeric are categorical features, declared or not.
+    ``allowed`` the order in which bad columns are. A feature is numeric if declared so, or if its
+    type is and no allowed values are declared for it; all others are categorical.
     """
 
     key: str
@@ -28,11 +30,15 @@ class DatasetSpec:
     def feature_columns(self, columns: Iterable[str]) -> list[str]:
         return [c for c in columns if c not in (self.key, self.target)]
 
-    def numeric_features(self, columns: Iterable[str]) -> list[str]:
-        return [c for c in self.feature_columns(columns) if c in self.numeric]
+    def _is_numeric(self, name: str, schema: T.StructType) -> bool:
+        typed = isinstance(schema[name].dataType, T.NumericType)
+        return name in self.numeric or (typed and name not in self.allowed)
+
+    def numeric_features(self, schema: T.StructType, columns: Iterable[str]) -> list[str]:
+        return [c for c in self.feature_columns(columns) if self._is_numeric(c, schema)]
 
-    def categorical_features(self, columns: Iterable[str]) -> list[str]:
-        return [c for c in self.feature_columns(columns) if c not in self.numeric]
+    def categorical_features(self, schema: T.StructType, columns: Iterable[str]) -> list[str]:
+        return [c for c in self.feature_columns(columns) if not self._is_numeric(c, schema)]
 
 
 # The customer table's column names, allowed values and score column names.

@@ -13,6 +13,7 @@ from rowan.operators.features import (
     FEATURES,
     TabularPreprocessor,
     fit_categories,
+    fit_modes,
     fit_numeric,
     modes,
     category_counts,
@@ -145,3 +146,33 @@ def test_transformation_keeps_raw_columns_and_persists(spark, tmp_path):
     assert vectors(again, df) == vectors(model, df)
     plan = model.transform(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_modes_and_limits_of_identifier_like_columns(spark):
+    df = spark.range(200_000).selectExpr("cast(id as string) AS name", "'x' AS same", "id % 3 AS third")
+    assert fit_modes(df.union(df.limit(1)), ["name", "same"]) == {"name": "0", "same": "x"}
+    (stats,) = fit_categories(df, ["name"])
+    assert len(stats.categories) == 200_000
+    with pytest.raises(ValueError, match=r"More than 100 categories in \['name'\]"):
+        fit_categories(df, ["same", "name"], max_categories=100)
+    assert [s.column for s in fit_categories(df, ["same"], max_categories=1)] == ["same"]
+    with pytest.raises(ValueError, match="More than 2 categories"):
+        fit_categories(df.select(F.col("third").cast("string")), ["third"], max_categories=2)
+
+
+def test_infinite_values_are_named(spark):
+    df = spark.createDataFrame([("1",), ("inf",), ("2",)], "price string")
+    with pytest.raises(ValueError, match="Infinite values found in column: 'price'"):
+        fit_numeric(df, ["price"])
+
+
+def test_numbers_are_told_by_their_type(spark):
+    spec = DatasetSpec("k", "y", "1", "0", numeric=("text",), allowed={"code": ("1", "2")})
+    df = spark.createDataFrame(
+        [(k, "1", float(k), k % 2 + 1, str(k), k > 2, "a") for k in range(5)],
+        "k long, y string, amount double, code int, text string, flag boolean, word string",
+    )
+    assert spec.numeric_features(df.schema, df.columns) == ["amount", "text"]
+    assert spec.categorical_features(df.schema, df.columns) == ["code", "flag", "word"]
+    model = TabularPreprocessor(spec, spec.feature_columns(df.columns)).fit(df)
+    assert model.transform(df).first()[FEATURES].size == 2 + 2 + 2 + 1

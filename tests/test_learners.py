@@ -97,3 +97,8 @@ def test_samples_stay_in_the_search_space():
     tuned = apply_tuned(candidates(), {"logistic_regression": {"C": 0.5}})
     assert tuned["logistic_regression"]["C"] == 0.5
     assert candidates()["logistic_regression"]["C"] == 1.0
+
+
+def test_deeper_trees_than_can_grow_are_refused():
+    with pytest.raises(ValueError, match="no deeper than 30"):
+        build_estimator("random_forest", {"max_depth": 40}, 1, 1)

@@ -70,14 +70,22 @@ def mann_whitney(y, p):
     return ((pos > neg).sum() + 0.5 * (pos == neg).sum()) / (pos.size * neg.size)
 
 
-@pytest.mark.parametrize("ranges", [1, 7, None])
-def test_auc_is_exact_with_ties(spark, ranges):
+@pytest.fixture(params=["true", "false"])
+def merged_ranges(spark, request):
+    """Small ranges of scores merged into one, or not."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.unset(name)
+
+
+def test_auc_is_exact_with_ties(spark, merged_ranges):
     rng = np.random.default_rng(5)
     y = rng.integers(0, 2, 2000)
     p = np.round((rng.random(2000) + 0.2 * y) / 1.2, 2)
     p[: 700] = 0.5
     df = spark.createDataFrame(list(zip(y.tolist(), p.tolist())), "label int, probability double")
-    got = roc_auc(df, ranges=ranges).first()["roc_auc"]
+    got = roc_auc(df).first()["roc_auc"]
     assert got == pytest.approx(mann_whitney(y, p), abs=1e-12)
 
 
@@ -136,3 +144,15 @@ def test_summary_selection_and_trials(spark):
     )
     best = best_trial(trials).first()
     assert (best["trial"], best["num_trials"]) == (1, 3)
+
+
+def test_null_group_and_null_scores_in_one_scan(spark, merged_ranges):
+    rows = [(g, k % 2, None if k == 7 else k / 40, int(k > 20)) for g in (None, "a") for k in range(40)]
+    df = spark.createDataFrame(rows, "model string, label int, probability double, prediction int")
+    measured = classification_metrics(df, ["model"])
+    a, b = sorted(measured.collect(), key=lambda r: r["model"] is None)
+    assert (a["model"], b["model"]) == ("a", None)
+    assert a["roc_auc"] == b["roc_auc"] == pytest.approx(roc_auc(df, ["model"]).first()["roc_auc"])
+    assert a["tp"] + a["fp"] + a["fn"] + a["tn"] == 40
+    plan = measured._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 1
