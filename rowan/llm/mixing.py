@@ -100,11 +100,13 @@ def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", tex
     Words are never shuffled: each task adds up its documents' evidence, and the sums meet by document.
     """
     body = whole_text(F.col(text))
-    spread = docs.select(
+    keyed = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST_ID)).alias("id"),
         F.xxhash64(body).alias("body"),
-        F.posexplode(F.split(body, BLANK_RUN)).alias("place", "word"),
+        F.split(body, BLANK_RUN).alias("words"),
     )
+    # Apart from the step above, or the hash of the text would be taken anew for every word.
+    spread = keyed.select("id", "body", F.posexplode("words").alias("place", "word"))
     held = F.col("word") != ""
     valued = spread.select("id", "body", "place", F.when(held, _word_value(F.col("word"))).alias("value"))
     evidence = [F.sum(F.get(_constant(t), F.col("value"))).alias(f"e{k}") for k, t in enumerate(model.tables)]
