@@ -50,11 +50,13 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     Rows that repeat id and text only multiply the counts, which leaves the majority as it is.
     """
     body = whole_text(F.col(text))
-    spread = docs.select(
+    keyed = docs.select(
         F.col(doc_id).cast("long").alias("id"),
         F.xxhash64(body).alias("body"),
-        F.posexplode_outer(shingle_hashes(body, width)).alias("place", "h"),
+        shingle_hashes(body, width).alias("hashes"),
     )
+    # Apart from the step above, or the hash of the text would be taken anew for every shingle.
+    spread = keyed.select("id", "body", F.posexplode_outer("hashes").alias("place", "h"))
     counts = [
         F.coalesce(F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LOW))), F.lit(0)).alias(f"c{k}")
         for k in range(_BITS // 2)
