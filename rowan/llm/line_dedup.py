@@ -44,11 +44,13 @@ def dropped_positions(
     docs: DataFrame, doc_id: str, text: str, least_length: int = LEAST_LENGTH, least_documents: int = LEAST_DOCUMENTS
 ) -> DataFrame:
     """id, body (hash of the text) and the sorted positions of the lines that go, where any go."""
-    rows = docs.select(
+    keyed = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST_ID)).alias("id"),
         F.xxhash64(text).alias("body"),
-        F.posexplode(_long_line_hashes(F.col(text), least_length)).alias("place", "line"),
-    ).where("line IS NOT NULL")
+        _long_line_hashes(F.col(text), least_length).alias("hashes"),
+    )
+    # Apart from the step above, or the hash of the text would be taken anew for every line.
+    rows = keyed.select("id", "body", F.posexplode("hashes").alias("place", "line")).where("line IS NOT NULL")
     found = rows.select("id", "body", "place", "line.a", "line.b")
     counted = found.groupBy("a", "b").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
     # Written, so that the join below deals both sides out itself and may split a very common line.
