@@ -31,7 +31,10 @@ Cuts = dict[str, list[str]]
 def key_hash(key: str | Sequence[str], seed: int | str) -> Column:
     """Hexadecimal position of a row; the key has to be unique for exact sizes."""
     keys = [key] if isinstance(key, str) else list(key)
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[column(k).cast("string") for k in keys]))
+    parts = [column(k).cast("string") for k in keys]
+    # As JSON, so that neither nulls nor separators inside make two composite keys look alike.
+    place = parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), place))
 
 
 def _count_prefixes(hashed: DataFrame, digits: int) -> dict[str, list[tuple[str, int]]]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 from rowan.operators.scoring import score
@@ -19,8 +21,9 @@ def run_scoring(
     source_fmt: str | None = None,
     target_fmt: str = "parquet",
     threshold: float | None = None,
+    reader: Mapping[str, str] | None = None,
 ) -> str:
     """Score the table at ``source`` into ``target``; one map stage between the two."""
     model = load_model(spark, model_path)
-    rows = read_raw(spark, source, source_fmt)
+    rows = read_raw(spark, source, source_fmt, reader)
     return write_predictions(score(model, rows, spec, threshold), target, target_fmt)

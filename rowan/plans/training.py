@@ -30,13 +30,13 @@ from rowan.operators.metrics import (
     threshold_sweep,
 )
 from rowan.operators.mlp import MLPModel, NetworkSettings, place_of, train_mlp
-from rowan.operators.quality import gate, missing_columns, quality_report
+from rowan.operators.quality import gate, missing_columns, quality_report, unexpected_values
 from rowan.operators.scoring import Scorer, with_scores
 from rowan.operators.split import clamp_folds, inner_split, stratified_folds, stratified_split
 from rowan.operators.tuning import apply_tuned, run_trials
 from rowan.sources.models import save_model
 from rowan.sources.runs import SCHEMAS, RunStore, new_run_id
-from rowan.sources.tables import read_raw, write_snapshot
+from rowan.sources.tables import choose_source, read_raw, write_snapshot
 from rowan.spec import DatasetSpec
 
 _INNER = "__inner"
@@ -247,16 +247,20 @@ def metric_report(result: TrainingResult) -> DataFrame:
 
 def run_training(
     spark: SparkSession,
-    source: str,
+    source: str | None,
     spec: DatasetSpec,
     root: str,
     settings: TrainingSettings = TrainingSettings(),
     fmt: str | None = None,
+    reader: Mapping[str, str] | None = None,
+    fallback: str | None = None,
 ) -> dict[str, Any]:
-    """One recorded training run over the table at ``source``; returns its summary."""
+    """One recorded training run over the table at ``source``, or else at ``fallback``; returns its
+    summary. ``reader`` goes to Spark's reader."""
     store, run_id = RunStore(spark, root), new_run_id()
     store.start(run_id)
-    dataset = write_snapshot(read_raw(spark, source, fmt), store.root, run_id)
+    raw = read_raw(spark, choose_source(source, fallback), fmt, reader)
+    dataset = write_snapshot(raw, store.root, run_id)
     raw = spark.read.parquet(dataset)
 
     def record(table: str, rows: DataFrame) -> None:
@@ -264,6 +268,8 @@ def run_training(
 
     if missing_columns(raw, spec):
         gate(raw, spec)
+    # Kept whether or not the gate passes.
+    record("unexpected", unexpected_values(raw, spec).drop("run_id"))
     # One row per fact: computed once for the gate and the record.
     report = quality_report(raw, spec, run_id).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -271,9 +277,10 @@ def run_training(
         record("quality", report)
     finally:
         report.unpersist()
-    drift = drift_report(store.read("quality"), store.previous_pair(run_id), spec)
-    record("drift", drift)
-    verdict = drift_verdict(store.read("drift").filter(F.col("run_id") == run_id)).first()
+    previous = store.previous_id(run_id)
+    compared = store.of_run("quality", run_id, *([previous] if previous else []))
+    record("drift", drift_report(compared, store.previous_pair(run_id), spec))
+    verdict = drift_verdict(store.of_run("drift", run_id)).first()
 
     result = train_models(raw, spec, settings)
     artifact = save_model(spark, result.model, f"{store.root}/models/run_id={run_id}/best_model")

@@ -1,13 +1,15 @@
 """Queryable record of every run.
 
 Reports are JSON tables under one root, partitioned by ``run_id``: a run is a partition, the
-newest run is ``max(run_id)``, and reading one run touches only its own files.
+newest run is ``max(run_id)``, and reading one run touches only its own files: ids are taken from the
+listing of a table's files and then filter by literals, which prunes partitions.
 """
 
 from __future__ import annotations
 
 import uuid
 from datetime import UTC, datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 SCHEMAS = {
     "runs": "started_at string, run_id string",
     "quality": "section string, `column` string, metric string, value double, run_id string",
+    "unexpected": "`column` string, value string, n bigint, run_id string",
     "drift": (
         "previous_run_id string, `check` string, `column` string, current double, "
         "previous double, delta double, pct_change double, flagged boolean, run_id string"
@@ -84,32 +87,30 @@ class RunStore:
                 return self._empty(table)
             raise
 
+    def run_ids(self, table: str) -> list[str]:
+        """The runs with rows in a table, oldest first, from the names of its files."""
+        paths = self.read(table).inputFiles()
+        return sorted({unquote(p.rpartition("/run_id=")[2].partition("/")[0]) for p in paths})
+
+    def of_run(self, table: str, *run_ids: str) -> DataFrame:
+        return self.read(table).filter(F.col("run_id").isin(list(run_ids)))
+
     def latest(self, table: str) -> DataFrame:
-        return latest(self.read(table))
-
-    def previous_run(self, run_id: str) -> DataFrame:
-        """The last other run by id, whether or not it got as far as a report."""
-        return (
-            self.read("runs")
-            .filter(F.col("run_id") != run_id)
-            .orderBy(F.desc("run_id"))
-            .limit(1)
-            .select(F.lit(run_id).alias("run_id"), F.col("run_id").alias("previous_run_id"))
-        )
+        return self.of_run(table, *self.run_ids(table)[-1:])
 
-    def previous_pair(self, run_id: str, skip_failed: bool = False) -> DataFrame:
-        """The run with the one to compare it with: (run_id, previous_run_id), or no row.
+    def previous_id(self, run_id: str, skip_failed: bool = False) -> str | None:
+        """The run to compare with: the last other run by id, or None if it left no report.
 
-        If the last other run left no report there is nothing to compare with, unless
-        ``skip_failed`` allows looking further back.
+        ``skip_failed`` looks further back, to the last other run that did.
         """
-        reported = self.read("quality").select(F.col("run_id").alias("previous_run_id"))
+        reported = [r for r in self.run_ids("quality") if r != run_id]
         if skip_failed:
-            return (
-                reported.filter(F.col("previous_run_id") != run_id)
-                .groupBy()
-                .agg(F.max("previous_run_id").alias("previous_run_id"))
-                .filter("previous_run_id is not null")
-                .select(F.lit(run_id).alias("run_id"), "previous_run_id")
-            )
-        return self.previous_run(run_id).join(reported, "previous_run_id", "left_semi")
+            return max(reported, default=None)
+        others = [r for r in self.run_ids("runs") if r != run_id]
+        return others[-1] if others and others[-1] in reported else None
+
+    def previous_pair(self, run_id: str, skip_failed: bool = False) -> DataFrame:
+        """The run with the one to compare it with: (run_id, previous_run_id), or no row."""
+        previous = self.previous_id(run_id, skip_failed)
+        rows = [(run_id, previous)] if previous else []
+        return self.spark.createDataFrame(rows, "run_id string, previous_run_id string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rowan.functions.text import normalise_na
@@ -14,25 +16,34 @@ def _format_of(path: str, fmt: str | None) -> str:
     return "csv" if lowered.endswith((".csv", ".csv.gz", ".tsv")) else "parquet"
 
 
+def csv_options(path: str = "") -> dict[str, str]:
+    """How CSV is read: records may hold quoted line breaks, and a record with too many or too few
+    fields stops the read instead of losing values. ``multiLine=false`` lets large files be split
+    where no field has a line break; ``mode=PERMISSIVE`` fills and cuts records."""
+    return {
+        "header": "true",
+        "escape": '"',
+        "multiLine": "true",
+        "mode": "FAILFAST",
+        "columnPruning": "false",
+        "sep": "\t" if path.lower().endswith(".tsv") else ",",
+    }
+
+
 def read_raw(
-    spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read a raw table with its text untouched and missing-value tokens as nulls.
 
-    CSV columns all come in as text (no inference pass over the file, leading zeros kept);
-    ``multi_line`` allows line breaks inside quoted fields at the price of unsplittable files.
+    CSV columns all come in as text (no inference pass over the file, leading zeros kept).
+    ``options`` go to Spark's reader, over ``csv_options``.
     """
     fmt = _format_of(path, fmt)
-    if fmt == "csv":
-        df = (
-            spark.read.option("header", True)
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("sep", "\t" if path.lower().endswith(".tsv") else ",")
-            .csv(path)
-        )
-    else:
-        df = spark.read.format(fmt).load(path)
+    defaults = csv_options(path) if fmt == "csv" else {}
+    df = spark.read.format(fmt).options(**{**defaults, **(options or {})}).load(path)
     return normalise_na(df)
 
 

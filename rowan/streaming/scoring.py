@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from rowan.functions.text import normalise_na
 from rowan.operators.scoring import Scorer, score
+from rowan.sources.tables import csv_options
 from rowan.spec import DatasetSpec
 
 
@@ -25,9 +26,8 @@ def score_new_files(
     fmt: str = "parquet",
 ) -> None:
     """Append scores for files of ``source`` that no earlier call has scored."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+    options = csv_options() if fmt == "csv" else {}
+    reader = spark.readStream.schema(schema).format(fmt).options(**options)
     scored = score(model, normalise_na(reader.load(source)), spec)
     query = (
         scored.writeStream.format("parquet")

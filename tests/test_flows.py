@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from rowan.plans.scoring import run_scoring
 from rowan.plans.training import TrainingSettings, run_training
 from rowan.sources.models import load_model, save_model
 from rowan.sources.runs import RunStore, new_run_id
-from rowan.sources.tables import write_snapshot
+from rowan.sources.tables import read_raw, write_snapshot
 from rowan.spec import CUSTOMER_SPEC
 from rowan.streaming.scoring import score_new_files
 
@@ -148,3 +149,65 @@ def test_new_files_are_scored_once(spark, first_run, tmp_path):
 
 def test_network_model_type(first_run):
     assert isinstance(first_run[2]["result"].models["torch_mlp"], MLPModel)
+
+
+def test_csv_records_are_read_whole_or_refused(spark, tmp_path):
+    whole = tmp_path / "whole.csv"
+    whole.write_text('a,b,c\n1,"line one\nline two",x\n2,"say ""hi"", then",y\n3,,z\n')
+    rows_read = read_raw(spark, str(whole)).orderBy("a").collect()
+    assert [tuple(r) for r in rows_read] == [
+        ("1", "line one\nline two", "x"), ("2", 'say "hi", then', "y"), ("3", None, "z"),
+    ]
+    surplus = tmp_path / "surplus.csv"
+    surplus.write_text("a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
+        read_raw(spark, str(surplus)).collect()
+    loose = read_raw(spark, str(surplus), options={"mode": "PERMISSIVE"})
+    assert loose.count() == 2
+
+
+def test_reader_options_pass_through_the_flows(spark, first_run, tmp_path):
+    _, source, summary = first_run
+    odd = tmp_path / "semicolons.csv"
+    odd.write_text(open(source).read().replace(",", ";"))
+    out = run_scoring(
+        spark, summary["best_model_artifact"], str(odd), str(tmp_path / "out"), CUSTOMER_SPEC,
+        reader={"sep": ";"},
+    )
+    assert spark.read.parquet(out).count() == 80
+    broken = tmp_path / "broken.csv"
+    broken.write_text(open(source).read() + "too,few\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
+        run_training(spark, None, CUSTOMER_SPEC, str(tmp_path / "runs"), SMALL, fallback=str(broken))
+
+
+def test_unexpected_values_of_a_refused_run_are_kept(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    bad = write_csv(tmp_path / "in.csv", [row(1, gender="X"), row(2, gender="X"), row(3, Churn="Maybe")])
+    with pytest.raises(ValueError, match="Unexpected categorical"):
+        run_training(spark, bad, CUSTOMER_SPEC, root, SMALL)
+    found = RunStore(spark, root).latest("unexpected").collect()
+    assert {(r["column"], r["value"], r["n"]) for r in found} == {("gender", "X", 2), ("Churn", "Maybe", 1)}
+
+
+def test_reading_a_run_prunes_the_others(spark, first_run):
+    store = RunStore(spark, first_run[0])
+    plan = store.latest("quality")._jdf.queryExecution().executedPlan().toString()
+    newest = store.run_ids("quality")[-1]
+    assert re.search(rf"PartitionFilters: \[[^]]*{newest}", plan)
+
+
+# The 12 rows by rule: two classes of six, five requested folds clamp to four.
+def test_twelve_rows_from_end_to_end(spark, tmp_path):
+    records = [row(i, Churn="Yes" if i % 2 else "No") for i in range(12)]
+    settings = TrainingSettings(
+        network=NetworkSettings(epochs=2, batch_size=4, hidden_dims=(8,), validation_split=0.25),
+        models={"random_forest": {"n_estimators": 5, "max_depth": 3}},
+    )
+    source = write_csv(tmp_path / "in.csv", records)
+    summary = run_training(spark, source, CUSTOMER_SPEC, str(tmp_path / "out"), settings)
+    assert (summary["dataset_rows"], summary["train_rows"], summary["test_rows"]) == (12, 9, 3)
+    result = summary["result"]
+    assert result.cross_validation.select("fold").distinct().count() == 4
+    training = result.models["torch_mlp"].summary
+    assert (training.train_rows, training.validation_rows) == (6, 3)

@@ -14,6 +14,7 @@ from rowan.operators.split import (
     fold_sizes,
     holdout_counts,
     inner_split,
+    key_hash,
     stratified_folds,
     stratified_split,
 )
@@ -112,3 +113,9 @@ def test_clamp_and_allocate():
     assert clamp_folds(5, {"0": 4, "1": 9}) == 4
     assert clamp_folds(5, {"0": 1, "1": 9}) == 0
     assert allocate({"a": 3, "b": 3, "c": 4}, 5) == {"a": 2, "b": 1, "c": 2}
+
+
+def test_composite_keys_do_not_collide(spark):
+    keys = [("a:b", "c"), ("a", "b:c"), (None, "x"), ("x", None), ("x", ""), (None, None), ("a,b", "c")]
+    df = spark.createDataFrame(keys, "k string, l string")
+    assert df.select(key_hash(["k", "l"], 1).alias("h")).distinct().count() == len(keys)
