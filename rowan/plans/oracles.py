@@ -53,12 +53,13 @@ customers as (
     case when coalesce(later, 0) > 0 then 0.0 else 1.0 end::double as label
   from customer left join history on c_custkey = o_custkey)"""
 
-_SCALED = (
-    _CUSTOMERS
-    + """,
+def _scaled(fitted: str = "true") -> str:
+    """Features of all customers, fitted on those of a condition."""
+    return f"""{_CUSTOMERS},
+fitted as (select * from customers where {fitted}),
 medians as (
   select median(balance) as b, median(n_orders) as o, median(spend) as s, median(days_since) as d
-  from customers),
+  from fitted),
 imputed as (
   select c_custkey, segment, nation, coalesce(balance, b) as balance,
     coalesce(n_orders, o) as n_orders, coalesce(spend, s) as spend,
@@ -68,23 +69,26 @@ moments as (
   select avg(balance) as bm, stddev_pop(balance) as bs, avg(n_orders) as om,
     stddev_pop(n_orders) as os, avg(spend) as sm, stddev_pop(spend) as ss,
     avg(days_since) as dm, stddev_pop(days_since) as ds
-  from imputed),
+  from imputed where {fitted}),
 scaled as (
   select c_custkey, segment, (balance - bm) / bs as balance, (n_orders - om) / os as n_orders,
     (spend - sm) / ss as spend, (days_since - dm) / ds as days_since
   from imputed, moments),
 segments as (
   select segment, row_number() over (order by segment) as place
-  from (select distinct segment from imputed)),
+  from (select distinct segment from fitted)),
 matrix as (
   select c_custkey, 0 as slot, balance as value from scaled
   union all select c_custkey, 1, n_orders from scaled
   union all select c_custkey, 2, spend from scaled
   union all select c_custkey, 3, days_since from scaled
   union all
-  select c_custkey, cast(3 + place as int), case when scaled.segment = segments.segment then 1.0 else 0.0 end
+  select c_custkey, cast(3 + place as int),
+    case when scaled.segment = segments.segment then 1.0 else 0.0 end
   from scaled, segments)"""
-)
+
+
+_SCALED = _scaled()
 
 _SPLIT = (
     _CUSTOMERS
@@ -196,7 +200,7 @@ def _rates(digits: int | None = 6, names: tuple[str, ...] = tuple(_RATES)) -> st
     )
 
 
-def _auc(by: str) -> str:
+def _auc(by: str, source: str = "scored") -> str:
     """Mann-Whitney over distinct scores."""
     return f"""
   select {by}, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg))::double as roc_auc
@@ -206,7 +210,7 @@ def _auc(by: str) -> str:
     from (
       select {by}, probability, count(*) filter (where label = 1) as pos,
         count(*) filter (where label = 0) as neg
-      from scored group by all))
+      from {source} group by all))
   group by all"""
 
 
@@ -222,15 +226,18 @@ sweep_counts as ({_counts("model, pos, threshold", "swept", "passed")}),
 sweep as (select model, pos, threshold, tp, fp, fn, tn, {_rates(None)} from sweep_counts)"""
 )
 
-_FOLD_METRICS = (
-    _scored()
-    + f""",
-counted as ({_counts("model, fold")}),
-area as ({_auc("model, fold")}),
+def _fold_metrics(fold: str = "fold") -> str:
+    return f"""{_scored()},
+folded as (select * replace ({fold} as fold) from scored),
+counted as ({_counts("model, fold", "folded")}),
+area as ({_auc("model, fold", "folded")}),
 measured as (
   select counted.model, counted.fold, {_rates(None)}, roc_auc
-  from counted join area on counted.model = area.model and counted.fold = area.fold)"""
-)
+  from counted join area
+    on counted.model = area.model and counted.fold is not distinct from area.fold)"""
+
+
+_FOLD_METRICS = _fold_metrics()
 
 
 def _column_facts(by: str = "") -> str:
@@ -265,8 +272,7 @@ reports as (
   {_column_facts("yr")}
   union all
   select yr, 'table', null, 'duplicate_keys',
-    cast(count(*) - count(distinct l_orderkey) - greatest(count(*) - count(l_orderkey) - 1, 0)
-      + case when count(*) > count(l_orderkey) then 0 else 0 end as double)
+    cast(count(*) - count(distinct coalesce(l_orderkey, -1)) as double)
   from marked group by yr
   union all
   select yr, 'target', status, 'count', cast(count(*) as double) from marked group by yr, status),
@@ -323,10 +329,15 @@ from marked""",
 select l_orderkey, l_linenumber,
   cast(case status when 'F' then 1.0 when 'O' then 0.0 end as double) as label
 from raw_lines""",
-    "gate_violations": f"""with {_LINES}, found as (
+    "gate_violations": f"""with {_LINES}, gated as (
+  select * replace (
+    case when l_orderkey % 71 <> 0 then status end as status,
+    case when l_orderkey % 61 <> 0 then l_orderkey end as l_orderkey)
+  from marked),
+found as (
   select 2 as step, 0 as position, 'unique_key' as "check", 'l_orderkey' as "column",
-    count(*) - count(distinct l_orderkey) as n from marked
-  union all select 3, 0, 'target_present', 'status', count(*) - count(status) from marked
+    count(*) - count(distinct coalesce(l_orderkey, -1)) as n from gated
+  union all select 3, 0, 'target_present', 'status', count(*) - count(status) from gated
   union all select 4, 0, 'clean_number', 'raw_price', count(*) filter (where invalid) from marked
   union all select 5, 0, 'allowed_category', 'flag', count(*) filter (where odd_flag) from marked
   union all
@@ -335,7 +346,10 @@ select * from found where n > 0""",
     "duplicate_keys": """
 select 'l_orderkey' as key, count(*) - count(distinct l_orderkey) as duplicates from lineitem
 union all select 'l_partkey', count(*) - count(distinct l_partkey) from lineitem
-union all select 'o_orderkey', count(*) - count(distinct o_orderkey) from orders""",
+union all select 'o_orderkey', count(*) - count(distinct o_orderkey) from orders
+union all
+select 'some_suppkey', count(*) - count(distinct case when l_suppkey % 3 <> 0 then l_suppkey else -1 end)
+from lineitem""",
     "table_profile": f"with {_PROFILE} select metric, value from facts where section = 'table'",
     "missing_profile": f"""with {_PROFILE}
 select "column", metric, value from facts where section = 'missing'""",
@@ -380,6 +394,13 @@ from train_placed join train_kept on train_placed.label = train_kept.label""",
     "stratified_folds": f"""with {_FOLDS}
 select c_custkey, placed.label, cast(f as int) as fold
 from placed join ends on placed.label = ends.label and r > before and r <= last_rank""",
+    "fold_weights": f"""with {_FOLDS},
+fitting as (
+  select cast(f as int) as fold, dealt.label, cast(n - n_fold as bigint) as n
+  from dealt join sizes on dealt.label = sizes.label)
+select fold, label, n,
+  round(sum(n) over (partition by fold) / (count(*) over (partition by fold) * n)::double, 6) as weight
+from fitting""",
     "impute_median": f"""with {_SCALED}
 select c_custkey, balance, n_orders, spend, days_since from imputed""",
     "impute_median_text": f"""with {_LINES}
@@ -415,6 +436,20 @@ union all
 select c_custkey, slot, 1.0::double from customers join slots on block = 1 and value = nation""",
     "feature_matrix": f"""with {_SCALED}
 select c_custkey, slot, round(value, 6) + 0.0 as value from matrix""",
+    "fit_apart": f"""with {_scaled("c_custkey % 3 <> 0 and segment <> 'BUILDING'")}
+select c_custkey, slot, round(value, 6) + 0.0 as value from matrix""",
+    "schema_roles": f"""with {_SCALED}
+select c_custkey, slot, round(value, 6) + 0.0 as value from matrix""",
+    "score_network_fixed": f"""with {_SCALED},
+units as (
+  select c_custkey, j, greatest(sum(value * ((7 * slot + 5 * j) % 11 / 10.0 - 0.5)) + 0.1, 0) as h
+  from matrix, (values (0), (1), (2)) as unit(j) group by c_custkey, j),
+outputs as (
+  select c_custkey, sum(h * case j when 0 then 0.7 when 1 then -0.4 else 0.2 end) + 0.1 as z
+  from units group by c_custkey)
+select c_custkey, round(1 / (1 + exp(-z)), 2) as probability,
+  case when z >= 0 then 1 else 0 end as predicted_label
+from outputs""",
     "score_linear_fixed": f"""with {_SCALED}, logits as (
   select c_custkey, sum(value * (7 * slot % 11 - 5) / 10) as z from matrix group by c_custkey)
 select c_custkey, round(1 / (1 + exp(-z)), 6) as probability,
@@ -426,13 +461,14 @@ select model, count(*) filter (where probability >= 0.3) as at_least_03,
   count(*) filter (where probability > 0.5) as argmax
 from scored group by model""",
     "round_report": """
-select c_nationkey, round(cast(sum(cast(c_acctbal as decimal(14,2))) as double) / 1e6, 4) as share
+select c_nationkey, round(cast(sum(cast(c_acctbal as decimal(14,2))) as double) / 1e6, 4) as share,
+  round_even(c_nationkey / 32.0::double, 4) as tie
 from customer group by c_nationkey""",
     "confusion_metrics": f"""with {_scored()}, counted as ({_counts("model")})
 select model, tp, fp, fn, tn, {_rates()} from counted""",
     "roc_auc": f"""with {_scored()}, area as ({_auc("model")})
 select model, round(roc_auc, 9) as roc_auc from area""",
-    "classification_metrics": f"""with {_FOLD_METRICS}
+    "classification_metrics": f"""with {_fold_metrics("nullif(fold, 4)")}
 select model, fold, round(accuracy, 6) as accuracy, round(precision, 6) as precision,
   round(recall, 6) as recall, round(f1, 6) as f1, round(roc_auc, 6) as roc_auc
 from measured""",

@@ -3,23 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowan.functions.scores import argmax_class, at_least, encode_label, report_round, sigmoid
 from rowan.functions.text import is_blank, is_invalid_number, to_number
 from rowan.operators import drift, features, metrics, quality
 from rowan.operators.cv import cross_validate as run_cross_validation
-from rowan.operators.learners import LABEL, candidates, class_weights, positive_weight
-from rowan.operators.mlp import NetworkSettings
+from rowan.operators.learners import (
+    LABEL,
+    balanced_weights,
+    candidates,
+    class_weights,
+    positive_weight,
+)
+from rowan.operators.mlp import MLPModel, NetworkSettings
 from rowan.operators.scoring import score
 from rowan.operators.split import clamp_folds, inner_split, stratified_folds, stratified_split
 from rowan.operators.tuning import run_trials
 from rowan.plans import views
 from rowan.plans.training import TrainingSettings, metric_report, train_models
 from rowan.sources.runs import latest
+from rowan.sources.scratch import written
 
 SEED = 42
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,19 +66,31 @@ def encode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.violations(views.clean_lines(spark, sf_dir), views.LINES)
+    """Lines with null keys and null targets besides their other dirt."""
+    key = F.col("l_orderkey")
+    lines = views.clean_lines(spark, sf_dir).withColumns(
+        {
+            "status": F.when(key % 71 != 0, F.col("status")),
+            "l_orderkey": F.when(key % 61 != 0, key),
+        }
+    )
+    found = quality.violations(lines, views.LINES)
     return found.select("step", "position", "check", "column", "n")
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "lineitem")
     orders = views.table(spark, sf_dir, "orders")
-    checks = [("l_orderkey", lines), ("l_partkey", lines), ("o_orderkey", orders)]
+    # Null keys equal each other.
+    some = lines.select(F.when(F.col("l_suppkey") % 3 != 0, F.col("l_suppkey")).alias("some_suppkey"))
+    checks = [
+        ("l_orderkey", lines), ("l_partkey", lines), ("o_orderkey", orders), ("some_suppkey", some),
+    ]
     counted = [
         quality.duplicate_keys(df, key).select(F.lit(key).alias("key"), "duplicates")
         for key, df in checks
     ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    return reduce(DataFrame.unionByName, counted)
 
 
 def _profile(spark: SparkSession, sf_dir: str, section: str) -> DataFrame:
@@ -162,7 +184,7 @@ def drift_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A few rows per year, used by every comparison.
-    reports = _yearly_reports(spark, sf_dir).persist()
+    reports = written(_yearly_reports(spark, sf_dir))
     return drift.drift_report(reports, drift.consecutive_pairs(reports), views.LINES)
 
 
@@ -173,10 +195,15 @@ def drift_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Class balance, splits and folds
 
 
+def _customers(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """Columns of the customer view, which takes a pass over all orders: derived once, read often."""
+    return written(views.customers(spark, sf_dir).select(*columns))
+
+
 def _labelled_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = views.CUSTOMERS
     label = encode_label(F.col(spec.target), spec.positive, spec.negative)
-    return views.customers(spark, sf_dir).withColumn(LABEL, label)
+    return _customers(spark, sf_dir, "c_custkey", label.alias(LABEL))
 
 
 def class_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,8 +255,22 @@ def stratified_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Features
 
 
+def fold_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and balanced weight of each class among the rows that every fold is fitted on."""
+    df = _labelled_customers(spark, sf_dir)
+    folds = stratified_folds(df, LABEL, "c_custkey", 5, SEED)
+    rows = [
+        (fold, float(c), n, balanced_weights(sizes)[c])
+        for fold in range(folds.k)
+        for sizes in [folds.training_sizes(fold)]
+        for c, n in sizes.items()
+    ]
+    found = spark.createDataFrame(rows, "fold int, label double, n bigint, weight double")
+    return found.select("fold", "label", "n", F.round("weight", 6).alias("weight"))
+
+
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = views.customers(spark, sf_dir)
+    df = _customers(spark, sf_dir, "c_custkey", *views.CUSTOMERS.numeric)
     fitted = features.fit_numeric(df, list(views.CUSTOMERS.numeric))
     return df.select(
         "c_custkey",
@@ -250,8 +291,7 @@ def impute_median_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = views.clean_lines(spark, sf_dir)
-    (flag,) = features.fit_categories(df, ["flag"])
-    imputed = F.expr(features.category_sql(flag)).alias("flag")
+    imputed = F.expr(features.mode_sql("flag", features.fit_modes(df, ["flag"])["flag"])).alias("flag")
     return df.select("l_orderkey", "l_linenumber", imputed)
 
 
@@ -261,7 +301,7 @@ def column_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = views.customers(spark, sf_dir)
+    df = _customers(spark, sf_dir, "c_custkey", *views.CUSTOMERS.numeric)
     fitted = features.fit_numeric(df, list(views.CUSTOMERS.numeric))
     return df.select(
         "c_custkey",
@@ -272,10 +312,13 @@ def scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _slots(spark: SparkSession, sf_dir: str, numeric: list[str], texts: list[str]) -> DataFrame:
-    df = views.customers(spark, sf_dir)
+def _slots(
+    spark: SparkSession, sf_dir: str, numeric: list[str], texts: list[str], fitted_on: str = "true"
+) -> DataFrame:
+    df = _customers(spark, sf_dir, "c_custkey", *numeric, *texts)
+    part = df.filter(fitted_on)
     model = features.transformation(
-        df, features.fit_numeric(df, numeric), features.fit_categories(df, texts)
+        df, features.fit_numeric(part, numeric), features.fit_categories(part, texts)
     )
     vector = vector_to_array(F.col(features.FEATURES)).alias("vector")
     return model.transform(df).select("c_custkey", vector)
@@ -294,6 +337,27 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fit_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on some customers, applied to all: one segment is unseen and encodes to nothing."""
+    part = "c_custkey % 3 <> 0 AND segment <> 'BUILDING'"
+    rows = _slots(spark, sf_dir, list(views.CUSTOMERS.numeric), ["segment"], part)
+    return rows.select("c_custkey", F.posexplode("vector").alias("slot", "value")).select(
+        "c_custkey", "slot", (F.round("value", 6) + 0.0).alias("value")
+    )
+
+
+def schema_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No number declared: the columns' types make the same features as the declaration."""
+    spec = replace(views.CUSTOMERS, numeric=())
+    columns = [*views.CUSTOMERS.numeric, "segment"]
+    df = _customers(spark, sf_dir, "c_custkey", *columns)
+    rows = features.TabularPreprocessor(spec, columns).fit(df).transform(df)
+    vector = vector_to_array(F.col(features.FEATURES))
+    return rows.select("c_custkey", F.posexplode(vector).alias("slot", "value")).select(
+        "c_custkey", "slot", (F.round("value", 6) + 0.0).alias("value")
+    )
+
+
 # Scores, metrics and selection
 
 
@@ -310,6 +374,23 @@ def score_linear_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_network_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A network of fixed weights over the customer features, by way of the scoring operator: three
+    hidden units, weight (7 i + 5 j) mod 11 - 5 tenths from input i to unit j, biases of a tenth."""
+    numeric = list(views.CUSTOMERS.numeric)
+    df = _customers(spark, sf_dir, "c_custkey", *numeric, "segment")
+    fitted = features.transformation(
+        df, features.fit_numeric(df, numeric), features.fit_categories(df, ["segment"])
+    )
+    width = fitted.transform(df.limit(1)).first()[features.FEATURES].size
+    first = [(7 * i + 5 * j) % 11 / 10 - 0.5 for i in range(width) for j in range(3)]
+    network = MLPModel(fitted, [width, 3, 1], np.array([*first, 0.1, 0.1, 0.1, 0.7, -0.4, 0.2, 0.1]), 0.0)
+    scored = score(network, df, views.CUSTOMERS)
+    return scored.select(
+        "c_custkey", F.round("positive_probability", 2).alias("probability"), "predicted_label"
+    )
+
+
 def threshold_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inclusive threshold against argmax, which differ on exact ties."""
     p = F.col("probability")
@@ -327,8 +408,11 @@ def round_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("c_nationkey")
         .agg((F.sum(F.col("c_acctbal").cast("decimal(14,2)")).cast("double")).alias("total"))
     )
-    shares = means.select("c_nationkey", F.col("total") / F.lit(1e6))
-    return shares.toDF("c_nationkey", "x").select("c_nationkey", report_round("x").alias("share"))
+    tie = F.col("c_nationkey") / F.lit(32.0)
+    shares = means.select("c_nationkey", (F.col("total") / F.lit(1e6)).alias("x"), tie.alias("y"))
+    return shares.select(
+        "c_nationkey", report_round("x").alias("share"), report_round("y").alias("tie")
+    )
 
 
 def confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,9 +452,9 @@ def default_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = metrics.classification_metrics(
-        views.scored_orders(spark, sf_dir), ["model", "fold"]
-    )
+    # Without a name for one fold: null is a group.
+    scored = views.scored_orders(spark, sf_dir).withColumn("fold", F.nullif("fold", F.lit(4)))
+    measured = metrics.classification_metrics(scored, ["model", "fold"])
     return measured.select(
         "model", "fold", *[F.round(m, 6).alias(m) for m in metrics.METRICS]
     )
@@ -464,8 +548,7 @@ def _document_folds(spark: SparkSession, sf_dir: str, k: int):
 def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, folds, columns = _document_folds(spark, sf_dir, 5)
     try:
-        families = candidates(_only("logistic_regression"))
-        scores = run_cross_validation(df, views.DOCUMENTS, families, folds, columns, SEED)
+        scores = run_cross_validation(df, views.DOCUMENTS, candidates(), folds, columns, SEED)
         return metrics.score_summary(scores)
     finally:
         df.unpersist()
@@ -474,19 +557,15 @@ def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, folds, columns = _document_folds(spark, sf_dir, 3)
     try:
-        families = candidates(_only("logistic_regression"))
-        trials, _ = run_trials(df, views.DOCUMENTS, families, folds, columns, 6, SEED)
-        return trials
+        samples = TrainingSettings().tuning_samples
+        return run_trials(df, views.DOCUMENTS, candidates(), folds, columns, samples, SEED)[0]
     finally:
         df.unpersist()
 
 
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the labelled documents, then score every document."""
-    settings = TrainingSettings(
-        cv_enabled=False, network=_NO_NETWORK, models=_only("logistic_regression")
-    )
-    model = _train(spark, sf_dir, settings).model
+    """Train all families on the labelled documents, then score every document with the best."""
+    model = _train(spark, sf_dir, TrainingSettings()).model
     scored = score(model, views.document_features(spark, sf_dir), views.DOCUMENTS)
     return scored.select("doc_id", "positive_probability", "predicted_label")
 
@@ -503,6 +582,11 @@ def train_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _test_report(spark, sf_dir, TrainingSettings())
 
 
+def tuned_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole training: search over both families, cross-validation, all three families fitted."""
+    return _test_report(spark, sf_dir, TrainingSettings(tuning_enabled=True))
+
+
 QUERIES: dict[str, Query] = {
     "na_normalise": na_normalise,
     "coerce_numeric": coerce_numeric,
@@ -529,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "split_summary": split_summary,
     "inner_split": inner_validation_split,
     "stratified_folds": stratified_fold,
+    "fold_weights": fold_weights,
     "impute_median": impute_median,
     "impute_median_text": impute_median_text,
     "impute_mode": impute_mode,
@@ -536,7 +621,10 @@ QUERIES: dict[str, Query] = {
     "scale": scale,
     "onehot": onehot,
     "feature_matrix": feature_matrix,
+    "fit_apart": fit_apart,
+    "schema_roles": schema_roles,
     "score_linear_fixed": score_linear_fixed,
+    "score_network_fixed": score_network_fixed,
     "threshold_classes": threshold_classes,
     "round_report": round_report,
     "confusion_metrics": confusion_metrics,
@@ -556,4 +644,5 @@ QUERIES: dict[str, Query] = {
     "train_and_score": train_and_score,
     "score_network": score_network,
     "train_compare": train_compare,
+    "tuned_run": tuned_run,
 }
