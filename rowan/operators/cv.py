@@ -28,12 +28,19 @@ FOLD = "__fold"
 # Jobs a driver keeps in flight at once; the executors share the persisted fold.
 PARALLELISM = 8
 FOLDS_AT_ONCE = 5
+# Rows a learner's task should at least have: its passes are many and short.
+ROWS_PER_TASK = 20_000
 
 
 def labelled(df: DataFrame) -> DataFrame:
     return df.select(FEATURES, LABEL, WEIGHT)
 
 
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """Neighbouring partitions together, until tasks are worth starting; never split or shuffled."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 @contextmanager
 def fold_frame(
     train: DataFrame,
@@ -54,11 +61,10 @@ def fold_frame(
     preprocessor = TabularPreprocessor(
         spec, columns, rows=rows, max_categories=max_categories
     ).fit(fitting)
-    frame = (
-        preprocessor.transform(marked)
-        .select(FEATURES, LABEL, FOLD, weight_column(sizes).alias(WEIGHT))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    assembled = preprocessor.transform(marked).select(
+        FEATURES, LABEL, FOLD, weight_column(sizes).alias(WEIGHT)
     )
+    frame = packed(assembled, sum(folds.sizes.values())).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         held_out = F.col(FOLD) == fold
         yield frame.filter(~held_out), frame.filter(held_out), rows

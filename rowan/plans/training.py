@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from rowan.functions.scores import encode_label, report_round
 from rowan.functions.text import column
-from rowan.operators.cv import FOLDS_AT_ONCE, PARALLELISM, cross_validate, fit_families
+from rowan.operators.cv import (
+    FOLDS_AT_ONCE,
+    PARALLELISM,
+    cross_validate,
+    fit_families,
+    packed,
+)
 from rowan.operators.drift import drift_report, drift_verdict
 from rowan.operators.features import FEATURES, TabularPreprocessor
 from rowan.operators.learners import LABEL, NETWORK, WEIGHT, candidates, weight_column
@@ -148,13 +154,10 @@ def train_models(
         if network.enabled:
             inner = inner_split(train, LABEL, spec.key, network.validation_split, seed, kept)
         held = inner.is_held_out if inner else F.lit(False)
-        fitting = (
-            preprocessor.transform(train.withColumn(_INNER, held))
-            .select(
-                FEATURES, LABEL, _INNER, weight_column(kept).alias(WEIGHT), place_of(spec.key, seed)
-            )
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        assembled = preprocessor.transform(train.withColumn(_INNER, held)).select(
+            FEATURES, LABEL, _INNER, weight_column(kept).alias(WEIGHT), place_of(spec.key, seed)
         )
+        fitting = packed(assembled, rows).persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(fitting)
 
         fitted: dict[str, Model | MLPModel] = {}
