@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
@@ -49,24 +46,5 @@ def hash_pair(value: Column) -> tuple[Column, Column]:
     return F.xxhash64(value), F.xxhash64(F.lit(1), value)
 
 
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="rowan-checkpoints-")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where the session names none."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_folder()
-    return folder.rstrip("/")
-
-
-def written(frame: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder and read again: its lineage ends there."""
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/rowan-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

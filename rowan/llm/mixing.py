@@ -29,7 +29,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowan.llm.common import BLANK_RUN, LEAST_ID, whole_text, written
+from rowan.llm.common import BLANK_RUN, LEAST_ID, whole_text
+from rowan.sources.scratch import written
 
 SAMPLE_ROWS = 4_000
 HASH_VALUES = 4_096

@@ -19,8 +19,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowan.llm.common import MOST_ID, ascii_lower, let, whole_text, words, written
+from rowan.llm.common import MOST_ID, ascii_lower, let, whole_text, words
 from rowan.llm.components import components
+from rowan.sources.scratch import written
 
 SHINGLE_WORDS = 3
 MOST_BITS = 2
