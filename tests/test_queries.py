@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -11,6 +13,7 @@ import pytest
 import __spark_entry__ as contract
 
 DATA = Path("/root/testdata/sf0.001")
+ROOT = Path(__file__).resolve().parents[1]
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not mounted")
 
 
@@ -53,3 +56,19 @@ def test_entry_scores_every_document(spark):
     assert scored.columns == ["doc_id", "positive_probability", "predicted_label"]
     documents = spark.read.parquet(str(DATA / "documents.parquet"))
     assert scored.count() == documents.count()
+
+
+def test_the_rest_stands_without_the_corpus_part():
+    script = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("rowan.llm"):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as contract
+assert "stratified_split" in contract.queries() and "pipeline" not in contract.queries()
+assert not any(name.startswith("op") for name in contract.oracle_sql())
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=ROOT, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
