@@ -31,11 +31,11 @@ from rowan.llm.common import whole_text
 
 #: Words whose ids a task keeps in each of two generations; bytes of new words and tokens that a query
 #: takes at a time.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 350_000
 BLOCK_BYTES = 800_000
 BLOCK_TOKENS = 1_000_000
 #: Characters of text that a task encodes at a time; a longer text is taken alone.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_500_000
 #: Longer stretches contract all pairs of least rank in a round, where that cannot change the result.
 LONG = 48
 
