@@ -51,7 +51,9 @@ def dropped_positions(
         _long_line_hashes(F.col(text), least_length).alias("hashes"),
     )
     # Apart from the step above, or the hash of the text would be taken anew for every line.
-    rows = keyed.select("id", "body", F.posexplode("hashes").alias("place", "line")).where("line IS NOT NULL")
+    # Outer, because a filter on the array's size would otherwise be inferred and take the hashes twice.
+    placed = keyed.select("id", "body", F.posexplode_outer("hashes").alias("place", "line"))
+    rows = placed.where("line IS NOT NULL")
     found = rows.select("id", "body", "place", "line.a", "line.b")
     counted = found.groupBy("a", "b").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
     # Written, so that the join below deals both sides out itself and may split a very common line.
