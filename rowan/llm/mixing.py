@@ -107,7 +107,8 @@ def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", tex
         F.split(body, BLANK_RUN).alias("words"),
     )
     # Apart from the step above, or the hash of the text would be taken anew for every word.
-    spread = keyed.select("id", "body", F.posexplode("words").alias("place", "word"))
+    # Outer, because a filter on the array's size would otherwise be inferred and split texts twice.
+    spread = keyed.select("id", "body", F.posexplode_outer("words").alias("place", "word"))
     held = F.col("word") != ""
     valued = spread.select("id", "body", "place", F.when(held, _word_value(F.col("word"))).alias("value"))
     evidence = [F.sum(F.get(_constant(t), F.col("value"))).alias(f"e{k}") for k, t in enumerate(model.tables)]
