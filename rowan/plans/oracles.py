@@ -158,6 +158,88 @@ ends as (
 )
 
 
+# Logistic regression: the regularised, class-weighted objective minimised by accelerated gradient steps.
+_LOGISTIC_STEPS = 1500
+_LOGISTIC = rf"""
+measured as (
+  select doc_id, lang, source, length(text)::double as n_chars,
+    list_filter(string_split_regex(text, '[ \t\n\r]+'), lambda w: w <> '') as ws,
+    length(regexp_replace(text, '[A-Za-z0-9 \t\n\r]+', '', 'g'))::double as bare
+  from documents),
+described as materialized (
+  select doc_id, lang, source, n_chars, len(ws)::double as words,
+    len(list_distinct(ws)) / len(ws)::double as unique_share, bare / n_chars as punctuation_share
+  from measured),
+labelled as (
+  select described.*, quality::double as label, md5('42:' || doc_id) as h
+  from described join labels using (doc_id)),
+placed as (
+  select *, row_number() over (partition by label order by h, doc_id) as r,
+    count(*) over (partition by label) as n_class, count(*) over () as n
+  from labelled),
+shares as (
+  select label, max(n_class) as n_class, max(n) as n,
+    (max(n) - ceil(0.2 * max(n))) * max(n_class) / max(n) as share
+  from placed group by label),
+ordered as (
+  select *, floor(share) as base, sum(floor(share)) over () as taken,
+    row_number() over (order by floor(share) - share, label) as place
+  from shares),
+kept as (
+  select label, n_class - (base + case when place <= (n - ceil(0.2 * n)) - taken then 1 else 0 end)
+    as held_out
+  from ordered),
+parted as materialized (
+  select placed.*, r <= held_out as test from placed join kept on placed.label = kept.label),
+train_rows as materialized (
+  select doc_id, label, count(*) over () as n,
+    count(*) over () / (2.0 * count(*) over (partition by label)) as weight
+  from parted where not test),
+cells as (
+  unpivot (
+    select doc_id, doc_id in (select doc_id from train_rows) as fitted, n_chars, words, unique_share,
+      punctuation_share from described)
+  on n_chars, words, unique_share, punctuation_share into name slot value v),
+middles as (select slot, median(v) as m from cells where fitted group by slot),
+imputed as (
+  select doc_id, fitted, cells.slot, coalesce(v, m) as v from cells join middles on cells.slot = middles.slot),
+moments as (
+  select slot, avg(v) as m, stddev_pop(v) as s from imputed where fitted group by slot),
+seen as (
+  select distinct 'lang ' || lang as slot from parted where not test
+  union all select distinct 'source ' || source from parted where not test),
+x as materialized (
+  select doc_id, imputed.slot, (v - m) / s as v from imputed join moments on imputed.slot = moments.slot
+  union all select doc_id, slot, 1.0 from described join seen on slot = 'lang ' || lang
+  union all select doc_id, slot, 1.0 from described join seen on slot = 'source ' || source
+  union all select doc_id, 'intercept', 1.0 from described),
+train_x as materialized (
+  select x.*, label, weight, n from x join train_rows on x.doc_id = train_rows.doc_id),
+speed as (
+  select 1 / (0.25 * sum(weight * v * v) / max(n) + 1.0 / max(n)) as step, 1.0 / max(n) as decay, max(n) as n
+  from train_x),
+search as (
+  select 0 as k, slot, 0.0::double as w, 0.0::double as ahead from (select distinct slot from train_x)
+  union all
+  select k + 1, search.slot, ahead - step * (g + case when search.slot = 'intercept' then 0 else decay * ahead end),
+    (ahead - step * (g + case when search.slot = 'intercept' then 0 else decay * ahead end)) * (1 + k / (k + 3.0))
+      - w * k / (k + 3.0)
+  from search join (
+    select slot, sum(weight * (1 / (1 + exp(-z)) - label) * v) / max(n) as g
+    from train_x join (
+      select doc_id as id, sum(ahead * v) as z from search join train_x on search.slot = train_x.slot group by 1)
+      on doc_id = id
+    group by slot) as gradient on search.slot = gradient.slot, speed
+  where k < {_LOGISTIC_STEPS}),
+all_scores as materialized (
+  select doc_id, 1 / (1 + exp(-sum(w * v))) as probability
+  from x join search on search.slot = x.slot where k = {_LOGISTIC_STEPS} group by doc_id),
+scored as (
+  select 'logistic_regression' as model, label, probability,
+    case when probability > 0.5 then 1 else 0 end as prediction
+  from all_scores join parted using (doc_id) where test)"""
+
+
 def _scored(variants: int = 1) -> str:
     scorers = [("a", 7919, 250), ("b", 6101, 500), ("c", 4603, 500)]
     rows = ", ".join(
@@ -494,6 +576,13 @@ from cells group by model, metric""",
 measured as (select model, {_rates(None, ("f1",))} from counted)
 select model, round(f1, 6) as f1 from measured
 order by round(f1, 4) desc, model desc limit 1""",
+    "score_logistic": f"""with recursive {_LOGISTIC}
+select doc_id, case when probability > 0.5 then 1 else 0 end as predicted_label from all_scores""",
+    "train_logistic": f"""with recursive {_LOGISTIC}, counted as ({_counts("model")}), area as ({_auc("model")}),
+measured_scores as (
+  select counted.model, {_rates(None)}, roc_auc from counted join area on counted.model = area.model),
+report as (unpivot measured_scores on accuracy, precision, recall, f1, roc_auc into name metric value value)
+select model, 'test' as section, metric, round(value, 4) as value from report""",
     "best_trial": f"""with {_scored(4)}, counted as ({_counts("model, trial, fold")}),
 measured as (select model, trial, fold, {_rates(None, ("f1",))} from counted),
 trials as (

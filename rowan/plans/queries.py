@@ -522,6 +522,16 @@ def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _test_report(spark, sf_dir, settings)
 
 
+def score_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression fitted on the labelled documents' training part, applied to every document."""
+    settings = TrainingSettings(
+        cv_enabled=False, network=_NO_NETWORK, models=_only("logistic_regression")
+    )
+    model = _train(spark, sf_dir, settings).model
+    scored = score(model, views.document_features(spark, sf_dir), views.DOCUMENTS)
+    return scored.select("doc_id", "predicted_label")
+
+
 def train_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = TrainingSettings(
         cv_enabled=False, network=_NO_NETWORK, models=_only("random_forest")
@@ -637,6 +647,7 @@ QUERIES: dict[str, Query] = {
     "model_selection": model_selection,
     "best_trial": best_trial,
     "train_logistic": train_logistic,
+    "score_logistic": score_logistic,
     "train_forest": train_forest,
     "train_network": train_network,
     "cross_validate": cross_validate,
