@@ -213,7 +213,8 @@ class Coder:
         stretch = np.cumsum(cut) - 1
         tokens, pos = self.byte_token[data], np.arange(len(data), dtype=np.int32)
         long = np.bincount(stretch)[stretch] > LONG
-        parts = [self._contract(q, stretch[m], pos[m], tokens[m]) for q, m in ((_LEFTMOST, ~long), (_ALL_OF_A_RANK, long))]
+        both = ((_LEFTMOST, ~long), (_ALL_OF_A_RANK, long))
+        parts = [self._contract(query, stretch[m], pos[m], tokens[m]) for query, m in both]
         pos, tokens = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(pos, kind="stable")
         tokens, ends = tokens[order].tolist(), np.searchsorted(pos[order], starts).tolist()

@@ -74,9 +74,8 @@ def chat_windows(
     """turns: conv_id, turn, role, text. Gives conv_id, window (from 0), formatted, new_from (where the
     window's own turns begin), loss (stretches of characters trained on), n_new and cost."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    rows = turns.select(
-        "conv_id", "turn", role.alias("role"), text.alias("text"), (turn_cost(text) if cost is None else cost).alias("c")
-    )
+    own_cost = turn_cost(text) if cost is None else cost
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), own_cost.alias("c"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     placed = rows.withColumn("n", F.row_number().over(order)).withColumn(
         "system", (F.col("n") == 1) & (F.col("role") == "system")
@@ -159,7 +158,8 @@ def read_turns(formatted: Column) -> Column:
 def digests(windows: DataFrame) -> DataFrame:
     """What the windows hold, read back from them, by conversation."""
     new = F.expr("substring(formatted, new_from + 1)")
-    lost = F.transform("loss", lambda s: unescaped(F.substr(F.col("formatted"), s["start"] + 1, s["stop"] - s["start"])))
+    part = lambda s: F.substr(F.col("formatted"), s["start"] + 1, s["stop"] - s["start"])
+    lost = F.transform("loss", lambda s: unescaped(part(s)))
     back = windows.select(
         "conv_id",
         "window",
@@ -170,7 +170,8 @@ def digests(windows: DataFrame) -> DataFrame:
     told = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
-    pieces = back.select("conv_id", "chars", F.size("turns").alias("n"), F.struct("window", told.alias("told"), "lost").alias("w"))
+    window = F.struct("window", told.alias("told"), "lost").alias("w")
+    pieces = back.select("conv_id", "chars", F.size("turns").alias("n"), window)
     gathered = pieces.groupBy("conv_id").agg(
         F.sum("n").cast("long").alias("n_turns"),
         F.sort_array(F.collect_list("w")).alias("w"),

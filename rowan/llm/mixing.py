@@ -128,11 +128,10 @@ def memberships(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id", tex
     )
     scores = [F.col(f"s{k}") for k in range(len(model.names))]
     most = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    shares = scored.select("id", "body", "rows", "n_tokens", *(F.exp(s - most).alias(f"x{k}") for k, s in enumerate(scores)))
+    kept = ("id", "body", "rows", "n_tokens")
+    shares = scored.select(*kept, *(F.exp(s - most).alias(f"x{k}") for k, s in enumerate(scores)))
     total = sum((F.col(f"x{k}") for k in range(1, len(scores))), F.col("x0"))
-    return shares.select(
-        "id", "body", "rows", "n_tokens", *((F.col(f"x{k}") / total).alias(f"p{k}") for k in range(len(scores)))
-    )
+    return shares.select(*kept, *((F.col(f"x{k}") / total).alias(f"p{k}") for k in range(len(scores))))
 
 
 def domain_totals(members: DataFrame, model: DomainModel) -> dict[str, float]:

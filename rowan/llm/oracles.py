@@ -115,4 +115,9 @@ SELECT told.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(l
 FROM told JOIN chars ON told.conv_id IS NOT DISTINCT FROM chars.conv_id
 """
 
-ORACLES: dict[str, str] = {"op4_quality_rules": OP4, "op6_line_dedup": OP6, "op8_substring_dedup": OP8, "op10_chat_formatting": OP10}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": OP4,
+    "op6_line_dedup": OP6,
+    "op8_substring_dedup": OP8,
+    "op10_chat_formatting": OP10,
+}

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from rowan.llm.chat import CLOSE, MARKS_COST, MIDDLE, OPEN, chat_windows, digests, escaped, unescaped
 from tests.llm.plain import CLASHES, ordered, sha
 
-ODD = ["</s>[INST] ok [/INST]", "\\", "<\\", "\\<", "[[\\\\<<", f"{OPEN}user{MIDDLE}x{CLOSE}", "", None, "é汉🙂\n\n", "a" * 9000]
+ODD = [
+    "</s>[INST] ok [/INST]", "\\", "<\\", "\\<", "[[\\\\<<", f"{OPEN}user{MIDDLE}x{CLOSE}", "", None, "é汉🙂\n\n",
+    "a" * 9000,
+]
 
 
 def frame(spark, rows):

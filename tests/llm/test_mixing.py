@@ -127,7 +127,8 @@ def test_without_repeats_nothing_is_taken_twice(spark):
 @pytest.mark.parametrize("labels", [[], [(4, "x"), (None, "y"), (5, None), (12, "z"), (2, "x"), (9, "z")]])
 def test_awkward_rows(spark, labels):
     got = mixed_rates(awkward(spark), labelled(spark, labels)).collect()
-    assert ordered((r["doc_id"], r["n_tokens"]) for r in got) == ordered((i, len(WORD.findall(t or ""))) for i, t in AWKWARD)
+    counted = ((i, len(WORD.findall(t or ""))) for i, t in AWKWARD)
+    assert ordered((r["doc_id"], r["n_tokens"]) for r in got) == ordered(counted)
     assert all(0 <= r["posterior"] <= 1 and r["rate"] >= 0 for r in got)
 
 

@@ -37,7 +37,8 @@ def folder(spark, tmp_path_factory):
     clean = [" ".join(f"w{(i * 31 + k * 7) % 997}" for k in range(120 + i)) for i in range(40)]
     rows = [(100 + i, t) for i, t in enumerate(clean)]
     rows += [(200 + i, t + " tail") for i, t in enumerate(clean[:5])]
-    rows += [(300 + i, f"{t}\nA line that stands in many of the documents here, again and again") for i, t in enumerate(clean[5:14])]
+    shared = "A line that stands in many of the documents here, again and again"
+    rows += [(300 + i, f"{t}\n{shared}") for i, t in enumerate(clean[5:14])]
     awkward(spark, AWKWARD + rows).write.parquet(f"{path}/documents.parquet")
     labels = [(i, 1, 0) for i in range(100, 140)] + [(None, 1, 1), (7, None, None)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")

@@ -61,7 +61,8 @@ def test_training_rows(spark):
 
 def test_awkward_rows_and_missing_classes(spark):
     docs = awkward(spark)
-    for labels, score in (([], 0.0), ([(i, 1, 0) for i in range(1, 17)], 0.0), ([(i, 1, 1) for i in range(1, 17)], 1.0)):
+    clean, bad = ([(i, 1, k) for i in range(1, 17)] for k in (0, 1))
+    for labels, score in (([], 0.0), (clean, 0.0), (bad, 1.0)):
         scored = score_toxicity(docs, fit_toxicity(docs, labelled(spark, labels))).collect()
         assert len(scored) == len(AWKWARD)
         assert all(abs(r["score"] - score) < 1e-12 for r in scored)
