@@ -21,7 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(frame: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder and read again: computed once, its lineage ends there."""
+    """The frame, written to the shared folder and read again: computed once, its lineage ends there.
+
+    The files stay until whoever owns the folder clears it, as a result may be read lazily and late.
+    """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/rowan-{uuid.uuid4().hex}"
     frame.write.parquet(path)
