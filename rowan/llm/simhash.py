@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowan.llm.common import MOST_ID, ascii_lower, let, whole_text, words
+from rowan.llm.common import MOST_ID, ascii_lower, let, shuffle_partitions, whole_text, words
 from rowan.llm.components import components
 from rowan.sources.scratch import written
 
@@ -95,7 +95,9 @@ def close_pairs(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     masks = F.array(
         *(F.struct(F.lit(m).alias("m"), F.lit(k < inner).alias("near")) for k, m in enumerate(_ball(far)))
     )
-    spread = prints.select("fp", F.explode(masks).alias("v"))
+    # Dealt out first: a small table's few partitions would each become a hundred times as many rows.
+    dealt = prints.repartition(shuffle_partitions(prints.sparkSession), "fp")
+    spread = dealt.select("fp", F.explode(masks).alias("v"))
     variants = spread.select("fp", F.col("fp").bitwiseXOR(F.col("v.m")).alias("value"), "v.near")
     middle = F.min(F.when(F.col("near"), F.col("fp"))).over(Window.partitionBy("value"))
     met = variants.select("fp", middle.alias("least")).where("least <> fp")
