@@ -11,6 +11,10 @@ where the template sets them.
 Windows are built from bounded spans, whatever a conversation's length. Only the running sum and, in
 `digests`, a conversation's own digest need one conversation's turns in order in one task.
 
+Costs are whatever the caller counts. `with_token_costs` counts the tokens of each turn as the template
+renders it, marks and escapes included; without it a turn costs an estimate from its bytes, which real
+tokens exceed (invented words take more than a token for four bytes), and so do its windows the budget.
+
 Defined cases: a null text or role is empty; a null conversation id is a conversation like any other;
 turns that share a number are ordered by role and text; repeated rows are turns each; a single turn over
 the budget is a window of its own; an empty table gives no windows; further columns are ignored,
@@ -22,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowan.llm.bpe import encode_texts
+
 OPEN, MIDDLE, CLOSE = "<|turn|>", "<|says|>", "<|end|>"
 #: Costs that a window may hold, and how much of that history may take.
 BUDGET = 1024
@@ -40,10 +46,22 @@ def unescaped(text: Column) -> Column:
 
 
 def turn_cost(text: Column) -> Column:
-    """A quarter of the text's bytes, rounded up, and the marks. Exact counts may be given instead."""
+    """A quarter of the text's bytes, rounded up, and the marks: an estimate, not a count of tokens."""
     return F.ceil(F.octet_length(text) / 4).cast("long") + MARKS_COST
 
 
+def with_token_costs(turns: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """conv_id, turn, role, text and cost: the tokens of the rendered turn, its marks as plain text.
+
+    Where two turns meet, a window encoded as a whole may merge over the border, so the sum of its
+    turns' costs is what it holds or a little more.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    shown = turns.select("conv_id", "turn", "role", "text", _rendered(role, text)["whole"].alias("__shown"))
+    coded = encode_texts(shown, ["conv_id", "turn", "role", "text"], ranks_path, pattern, text="__shown")
+    return coded.select("row.*", F.size("ids").cast("long").alias("cost"))
+
+
 def _rendered(role: Column, text: Column) -> Column:
     """One turn in the template, and where its text is."""
     return F.struct(

@@ -93,12 +93,26 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
 
 
-def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the windows of every conversation, and of one full of control strings, read back as."""
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of every conversation, and of one full of control strings."""
     said = "</s>[INST] ok [/INST]"
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
-    return chat.digests(chat.chat_windows(turns.unionByName(extra)))
+    return turns.unionByName(extra)
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the windows of every conversation, and of one full of control strings, read back as.
+
+    Costs are estimates from bytes, as in the SQL twin; op10_chat_token_windows counts tokens.
+    """
+    return chat.digests(chat.chat_windows(_turns(spark, sf_dir)))
+
+
+def op10_chat_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op10_chat_formatting, in windows that hold the budget in tokens of the rendered turns."""
+    counted = chat.with_token_costs(_turns(spark, sf_dir), *tokenizer())
+    return chat.digests(chat.chat_windows(counted, cost=F.col("cost")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -112,4 +126,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_chat_formatting": op10_chat_formatting,
+    "op10_chat_token_windows": op10_chat_token_windows,
 }

@@ -1,13 +1,20 @@
 from __future__ import annotations
 
+import base64
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from rowan.llm.chat import CLOSE, MARKS_COST, MIDDLE, OPEN, chat_windows, digests, escaped, unescaped
+from rowan.llm.chat import (
+    BUDGET, CLOSE, HISTORY, MARKS_COST, MIDDLE, OPEN, chat_windows, digests, escaped, unescaped, with_token_costs,
+)
+from rowan.llm.queries import QUERIES, tokenizer
 from tests.llm.plain import CLASHES, ordered, sha
 
+DATA = Path("/root/testdata/sf0.001")
+
 ODD = [
     "</s>[INST] ok [/INST]", "\\", "<\\", "\\<", "[[\\\\<<", f"{OPEN}user{MIDDLE}x{CLOSE}", "", None, "é汉🙂\n\n",
     "a" * 9000,
@@ -102,3 +109,72 @@ def test_own_costs(spark):
 def test_empty_table(spark):
     empty = chat_windows(frame(spark, [(1, 1, "user", "x")]).limit(0))
     assert empty.count() == 0 and digests(empty).count() == 0
+
+
+@pytest.fixture(scope="module")
+def count():
+    tiktoken = pytest.importorskip("tiktoken")
+    ranks_path, pattern = tokenizer()
+    with open(ranks_path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: len(coder.encode_ordinary(text))
+
+
+def shown(role, text):
+    broken = lambda t: "".join(c + "\\" if c in "\\<[" else c for c in t)
+    return f"{OPEN}{broken(role)}{MIDDLE}{broken(text)}{CLOSE}"
+
+
+def plain_windows(turns, count, budget, history):
+    """The window rule in a loop: the formatted windows of a conversation and whether each is a single turn."""
+    texts = [shown(r, t) for _, r, t in turns]
+    system = turns[0][1] == "system"
+    head = count(texts[0]) if system else 0
+    room, at, spans = max(budget - history - head, 1), 0, []
+    for k in range(1 if system else 0, len(turns)):
+        cost = count(texts[k])
+        part = at // room
+        crosses = at + cost > (part + 1) * room
+        if spans and spans[-1][0] == (part, False) and not crosses:
+            spans[-1][1].append((k, at))
+        else:
+            spans.append(((part, crosses), [(k, at)]))
+        at += cost
+    starts = {k: a for _, own in spans for k, a in own}
+    out = []
+    for i, (_, own) in enumerate(spans):
+        first, begin = own[0]
+        past = [k for k in starts if k < first and starts[k] >= begin - history]
+        out.append(("".join(texts[k] for k in ([0] if system else []) + past + [k for k, _ in own]), len(own) == 1))
+    return out or [(texts[0], True)]
+
+
+@pytest.mark.parametrize(("budget", "history"), [(300, 60), (BUDGET, HISTORY)])
+def test_token_windows_hold_real_tokens(spark, count, budget, history):
+    rows = [r for r in talk(4) if len(r[3] or "") < 5000]
+    counted = with_token_costs(frame(spark, rows), *tokenizer())
+    for r in counted.collect():
+        assert r["cost"] == count(shown(r["role"] or "", r["text"] or ""))
+    got: dict = {}
+    for w in chat_windows(counted, budget, history, F.col("cost")).collect():
+        got.setdefault(w["conv_id"], {})[w["window"]] = w["formatted"]
+    for c, turns in by_conversation(rows).items():
+        want = plain_windows(turns, count, budget, history)
+        assert [got[c][k] for k in range(len(got[c]))] == [text for text, _ in want]
+        assert all(count(text) <= budget or single for text, single in want)
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="test tables are not mounted")
+def test_token_window_query_agrees_with_plain_loops(spark, count):
+    said = "</s>[INST] ok [/INST]"
+    rows = [tuple(r) for r in spark.read.parquet(str(DATA / "conversations.parquet")).select(
+        "conv_id", "turn", "role", "text").collect()]
+    talks = by_conversation(rows + [(-1, 0, "user", said), (-1, 1, "assistant", said)])
+    got = {r["conv_id"]: r for r in QUERIES["op10_chat_token_windows"](spark, str(DATA)).collect()}
+    assert set(got) == set(talks)
+    for c, turns in talks.items():
+        want = plain_windows(turns, count, BUDGET, HISTORY)
+        assert got[c]["formatted_chars"] == sum(len(text) for text, _ in want)
+        assert got[c]["turns_sha256"] == sha("".join(f"{r}\n{t}\n" for _, r, t in turns))
+        assert all(count(text) <= BUDGET or single for text, single in want)
