@@ -11,8 +11,10 @@ by p times the weighted residual, so that equal posteriors get equal rates, howe
 Residuals, a number for each domain, are all that a round sends to the driver: rates follow from the
 posteriors and the residuals so far, and are written down every ROUNDS_IN_PLAN rounds.
 
-The classifier is fitted on at most SAMPLE_ROWS labelled rows, the least by a hash of their id; totals,
-posteriors and rates cover every document. The model is one number for each hash value and domain.
+The domains, and how many labelled rows each has, come from all labelled rows. Words are learnt from at
+most SAMPLE_ROWS of them: each domain has an equal part, as far as it has rows, the least by a hash of
+their id; priors follow the full counts. Totals, posteriors and rates cover every document. The model is
+one number for each hash value and domain.
 
 Defined cases: a null or empty text has no tokens, the prior for posteriors and a rate like any other;
 a null id is kept; labelled rows without id or domain are left out; several domains of one document all
@@ -26,7 +28,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowan.llm.common import BLANK_RUN, LEAST_ID, whole_text
@@ -60,6 +62,30 @@ def _constant(numbers: tuple[float, ...]) -> Column:
     return F.split(F.lit(",".join(map(repr, numbers))), ",").cast("array<double>")
 
 
+def _parts(labels: dict[str, int], rows: int) -> dict[str, int]:
+    """How many of each domain's rows are taken: equally many, and what small domains leave to the others."""
+    parts, left = {}, rows
+    for k, name in enumerate(sorted(labels, key=lambda name: (labels[name], name))):
+        parts[name] = min(labels[name], max(left // (len(labels) - k), 1))
+        left -= parts[name]
+    return parts
+
+
+def _least_of_each(known: DataFrame, labels: dict[str, int], parts: dict[str, int]) -> DataFrame:
+    """As many rows of each domain as its part, the least by a hash of their id.
+
+    Rows far above the part's share of hashes go before the ranking, so that none sorts a domain whole.
+    """
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    share = {name: (parts[name] + 8 * math.sqrt(parts[name]) + 32) / labels[name] for name in labels}
+    limits = F.create_map(*(F.lit(x) for name in labels for x in (name, share[name])))
+    sizes = F.create_map(*(F.lit(x) for name in labels for x in (name, parts[name])))
+    near = known.withColumn("draw", draw).where(F.col("draw") < limits[F.col("domain")])
+    order = Window.partitionBy("domain").orderBy("draw", "id")
+    ranked = near.withColumn("place", F.row_number().over(order))
+    return ranked.where(F.col("place") <= sizes[F.col("domain")]).select("id", "domain")
+
+
 def fit_domains(
     docs: DataFrame,
     labelled: DataFrame,
@@ -69,28 +95,32 @@ def fit_domains(
 ) -> DomainModel:
     """labelled: doc_id, domain."""
     known = labelled.select(F.col("doc_id").cast("long").alias("id"), F.col("domain").cast("string").alias("domain"))
-    sample = known.where("id IS NOT NULL AND domain IS NOT NULL").distinct()
-    sample = sample.orderBy(F.xxhash64("id"), "id", "domain").limit(sample_rows)
+    known = written(known.where("id IS NOT NULL AND domain IS NOT NULL").distinct())
+    found = known.groupBy("domain").count().limit(MOST_DOMAINS + 1).collect()
+    if len(found) > MOST_DOMAINS:
+        raise ValueError(f"more than {MOST_DOMAINS} domains; the model holds no more")
+    labels = {r["domain"]: r["count"] for r in found}
+    names = tuple(sorted(labels))
+    if not names:
+        return DomainModel(("",), (0.0,), ((0.0,) * HASH_VALUES,))
+    parts = _parts(labels, sample_rows)
+    sample = _least_of_each(known, labels, parts)
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), whole_text(F.col(text)).alias("text"))
     # At most sample_rows short rows.
     met = texts.join(F.broadcast(sample), "id").select("domain", F.explode(F.split("text", BLANK_RUN)).alias("word"))
-    # A blank text still tells that its domain exists, by its one empty word.
     value = F.when(F.col("word") != "", _word_value(F.col("word")))
     counts = met.groupBy("domain", value.alias("value")).count().collect()
-    names = tuple(sorted({r["domain"] for r in counts}))
-    if len(names) > MOST_DOMAINS:
-        raise ValueError(f"{len(names)} domains; the model holds {MOST_DOMAINS} at most")
-    if not names:
-        return DomainModel(("",), (0.0,), ((0.0,) * HASH_VALUES,))
     tables = {name: [1.0] * HASH_VALUES for name in names}
     for r in counts:
         if r["value"] is not None:
             tables[r["domain"]][r["value"]] += r["count"]
     sums = {name: math.fsum(tables[name]) for name in names}
-    everything = math.fsum(sums.values())
+    # Words of the sample stand for those of all labelled rows.
+    whole = {name: (sums[name] - HASH_VALUES) * labels[name] / parts[name] + HASH_VALUES for name in names}
+    everything = math.fsum(whole.values())
     return DomainModel(
         names,
-        tuple(math.log(sums[name] / everything) for name in names),
+        tuple(math.log(whole[name] / everything) for name in names),
         tuple(tuple(math.log(x / sums[name]) for x in tables[name]) for name in names),
     )
 

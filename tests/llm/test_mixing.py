@@ -136,3 +136,32 @@ def test_empty_table(spark):
     empty = awkward(spark).limit(0)
     assert mixed_rates(empty, labelled(spark, [(1, "x")])).count() == 0
     assert mix_documents(empty, labelled(spark, [])).count() == 0
+
+
+def test_domains_come_from_all_labelled_rows(spark):
+    draw = random.Random(5)
+    rare = {17, 901, 1702}
+    rows = [(i, " ".join(f"{'r' if i in rare else 'c'}{draw.randrange(40)}" for _ in range(20))) for i in range(2000)]
+    labels = [(i, "rare" if i in rare else "common") for i, _ in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = fit_domains(docs, labelled(spark, labels), sample_rows=40)
+    assert model.names == ("common", "rare")
+    # Priors follow the full counts: all words of a domain and one for each hash value.
+    words = {"common": 20 * 1997 + mixing.HASH_VALUES, "rare": 20 * 3 + mixing.HASH_VALUES}
+    want = [math.log(words[d] / sum(words.values())) for d in model.names]
+    assert np.allclose(model.priors, want, atol=1e-9)
+    got, p, n = posteriors(memberships(docs, model), model)
+    assert all((p[k].argmax() == 1) == (r["id"] in rare) for k, r in enumerate(got))
+
+
+def test_parts_of_the_sample_are_bounded():
+    assert mixing._parts({"a": 10, "b": 10_000, "c": 3_000}, 4_000) == {"a": 10, "c": 1_995, "b": 1_995}
+    assert mixing._parts({"a": 5, "b": 7}, 4_000) == {"a": 5, "b": 7}
+    assert sum(mixing._parts({str(k): 9_999 for k in range(64)}, 4_000).values()) <= 4_000
+
+
+def test_too_many_domains_are_an_error(spark):
+    rows = [(i, f"word{i}") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    with pytest.raises(ValueError, match="domains"):
+        fit_domains(docs, labelled(spark, [(i, f"d{i}") for i, _ in rows]), sample_rows=40)
