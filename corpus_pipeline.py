@@ -33,12 +33,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A share of every language's documents, so that token totals follow their sizes to the 0.7.
+    """Every language's documents at a rate, so that token totals follow their sizes to the 0.7.
 
-    Nothing is repeated: rates are at most one.
+    The sum of tokens stays: documents of small languages are repeated, as in op1, and no language's size
+    decides how much of the others is kept.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mix_documents(docs, labelled_languages(docs, labels), repeat=False)
+    return mix_documents(docs, labelled_languages(docs, labels))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import base64
+import struct
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from rowan.llm.queries import QUERIES, tokenizer
@@ -92,6 +94,55 @@ def test_stages_one_by_one(spark, folder, library):
     assert ordered(corpus_pipeline.run(spark, folder).collect()) == ordered(last)
 
 
+def plain_mixture(rows, power=0.7, values=4096, evidence=12):
+    """For (id, text, domain), all labelled: rates and the draws that round them, from whole tables."""
+    names = sorted({d for _, _, d in rows})
+    words = [WORD.findall(t) for _, t, _ in rows]
+    place = [[xxhash.xxh64_intdigest(w.encode(), seed=42) % values for w in x] for x in words]
+    counts = np.ones((len(names), values))
+    for x, (_, _, d) in zip(place, rows, strict=True):
+        np.add.at(counts[names.index(d)], x, 1)
+    likely = np.log(counts / counts.sum(1, keepdims=True))
+    prior = np.log(counts.sum(1) / counts.sum())
+    p = np.exp([prior + evidence * likely[:, x].mean(1) for x in place])
+    p /= p.sum(1, keepdims=True)
+    n = np.array([float(len(x)) for x in words])
+    mass = n[:, None] * p
+    weights = mass.sum(0) ** power
+    want = n.sum() * weights / weights.sum()
+    inverse = 1 / (mass * p).sum(0)
+    step = 1 / np.abs(mass.T @ p * np.sqrt(inverse[:, None] * inverse)).sum(1).max()
+    rate = np.ones(len(n))
+    for _ in range(3000):
+        rate = np.maximum(rate - step * p @ (inverse * (rate @ mass - want)), 0)
+    draws = []
+    for i, t, _ in rows:
+        h = xxhash.xxh64_intdigest(struct.pack("<i", 0), seed=42)
+        h = xxhash.xxh64_intdigest(struct.pack("<q", i), seed=h)
+        h = xxhash.xxh64_intdigest(struct.pack("<Q", xxhash.xxh64_intdigest(t.encode(), seed=42)), seed=h)
+        draws.append(h % (1 << 40) / (1 << 40))
+    return n, rate, np.array(draws)
+
+
+def test_mixing_stage_keeps_the_tokens_whatever_the_smallest_language(spark, tmp_path):
+    sizes = {"en": 240, "de": 80, "la": 4}
+    made = [(d, k) for d, size in sizes.items() for k in range(size)]
+    rows = [(i, " ".join(f"{d}{(k * 13 + j * 7) % 61}" for j in range(40 + k % 30)), d) for i, (d, k) in enumerate(made)]
+    docs = spark.createDataFrame(
+        [(i, t, d, "s", len(t)) for i, t, d in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = Counter(r["doc_id"] for r in corpus_pipeline.source_mixing(spark, docs, str(tmp_path)).collect())
+    n, rate, draws = plain_mixture(rows)
+    want = np.floor(rate) + (draws < rate % 1)
+    copies = np.array([got[i] for i, _, _ in rows])
+    sure = np.abs(draws - rate % 1) > 0.02  # rounds end when residuals hardly move
+    assert sure.mean() > 0.9 and (copies == want)[sure].all()
+    assert abs((copies * n).sum() / n.sum() - 1) < 0.1
+    assert copies[[d == "la" for _, _, d in rows]].min() >= 2
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     awkward(spark).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
