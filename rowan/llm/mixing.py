@@ -5,6 +5,8 @@ posteriors. Projected gradient then fits a rate for every document: nonnegative,
 token totals as near to the targets as least squares can bring them. A rate becomes that many copies,
 its fraction settled by a hash of the document.
 
+Tokens are words between blanks, not those of a tokenizer; a text written without blanks is one.
+
 With tokens n, posteriors p and rates x, the squares (sum of x n p - target)^2 are weighted by the
 inverse of each domain's sum of n p^2, and distances between rates by tokens; a step then changes a rate
 by p times the weighted residual, so that equal posteriors get equal rates, however long the text.
