@@ -9,30 +9,36 @@ the best of all shards are ranked on the original vectors in double precision.
 Inner products become distances by one more component, the root of what a vector's squared length lacks
 to the longest of its shard; distances order neighbours as inner products do.
 
-A shard holds about SHARD_ROWS nodes and a task one shard and one block of queries, however large the
-table; at least LEAST_SHARDS are made for parallel work. The queries of one block are not collected but
-dealt out like all rows.
+A shard holds up to SHARD_ROWS nodes and a task one shard and one block of queries, however small or large
+the table; shards are equal to a few nodes. The queries of one block are not collected but dealt out like
+all rows. Every query asks every shard: work grows with queries times shards.
+
+Graphs are built on single-precision copies, scaled to their shard; scores come from the vectors as given,
+and vectors that are one in single precision share a node and are all scored.
 
 Defined cases: vectors null, zero or with null or non-finite components take no part, nor do rows
 without an id; only vectors of a query's own length are candidates; rows that repeat id and vector count
-once; a query never finds rows of its own id; with fewer candidates than asked for all found are given;
-an empty table or query set gives an empty result; further columns are ignored, whatever their names.
+once; a query never finds rows of its own id; of nodes found that tie, those with smaller ids come first;
+with fewer candidates than asked for all found are given; an empty table or query set gives an empty
+result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from rowan.sources.scratch import written
 
 SHARD_ROWS = 20_000
-LEAST_SHARDS = 12
 BLOCK_QUERIES = 10_000
 DEGREE = 32
 BUILD_BEAM = 64
@@ -41,7 +47,7 @@ RELAX = 1.2
 #: Nodes expanded in a round of a search, and entries of the visited table at a time.
 WIDTH = 4
 _VISITED = 16_000_000
-_NODES = "dim int, shard int, node int, vector array<float>, members array<long>, neighbours array<int>"
+_NODES = "dim int, shard int, node int, vector array<{}>, members array<long>, neighbours array<int>"
 _FOUND = "query_id long, query long, vec_id long, score double"
 
 
@@ -120,12 +126,25 @@ class _Graph:
         return kept
 
 
+def _scaled(vectors: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """In single precision, over a power of two near the largest component (of each row, or of all): order
+    stays as it was, and what single precision tells apart stays apart."""
+    _, power = np.frexp(np.abs(vectors).max(axis=axis, keepdims=True))
+    return np.ldexp(vectors, -power).astype(np.float32)
+
+
+def _points(vectors: np.ndarray) -> np.ndarray:
+    """With the component that makes inner products distances."""
+    single = _scaled(vectors)
+    square = (single.astype(np.float64) ** 2).sum(1)
+    lack = np.sqrt(np.maximum(square.max() - square, 0)).astype(np.float32)
+    return np.concatenate([single, lack[:, None]], axis=1)
+
+
 def build_graph(vectors: np.ndarray, seed: int = 7) -> _Graph:
     """A graph over distinct vectors."""
     n = len(vectors)
-    square = (vectors.astype(np.float64) ** 2).sum(1)
-    lack = np.sqrt(np.maximum(square.max() - square, 0)).astype(np.float32)
-    points = np.concatenate([vectors, lack[:, None]], axis=1)
+    points = _points(vectors)
     draw = np.random.default_rng(seed)
     edges = draw.integers(0, n, (n, DEGREE), dtype=np.int32)
     edges[edges == np.arange(n)[:, None]] = -1
@@ -164,26 +183,37 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
 
 
-def _indexed(table: pa.Table) -> pa.Table:
-    """One shard's nodes with their neighbours."""
-    table = table.sort_by([("rank", "ascending")])
-    graph = build_graph(_matrix(table.column("vector")).astype(np.float32))
-    edges = [row[row >= 0] for row in graph.edges]
-    return pa.table(
-        {
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One shard's nodes with their neighbours, a graph for each length of vectors."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    shard = pa.Table.from_batches(held)
+    for dim in shard.column("dim").unique():
+        table = shard.filter(pc.equal(shard.column("dim"), dim))
+        table = table.sort_by([("least", "ascending"), ("print", "ascending")])
+        vectors = _matrix(table.column("vector"))
+        _, first, point = np.unique(_scaled(vectors), axis=0, return_index=True, return_inverse=True)
+        edges = [row[row >= 0] for row in build_graph(vectors[first]).edges]
+        columns = {
             "dim": table.column("dim"),
             "shard": table.column("shard"),
-            "node": pa.array(np.arange(len(edges)), pa.int32()),
+            "node": pa.array(point.ravel(), pa.int32()),
             "vector": table.column("vector"),
             "members": table.column("members"),
-            "neighbours": pa.array(edges, pa.list_(pa.int32())),
+            "neighbours": pa.array([edges[k] for k in point.ravel()], pa.list_(pa.int32())),
         }
-    )
+        yield from pa.table(columns).to_batches(max_chunksize=4096)
+
+
+def _kind(vectors: DataFrame, vector: str) -> str:
+    kind = vectors.schema[vector].dataType
+    return "float" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "double"
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """vec_id, vector and dim of the rows that take part, each once."""
-    numbers = F.transform(F.col(vector), lambda x: x.cast("float"))
+    """vec_id, vector and dim of the rows that take part, each once. Components are floats or doubles."""
+    numbers = F.transform(F.col(vector), lambda x: x.cast(_kind(vectors, vector)))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), numbers.alias("vector"))
 
     def odd(x: Column) -> Column:
@@ -202,15 +232,19 @@ def build_index(vectors: DataFrame, most: int, vec_id: str = "vec_id", vector: s
     same = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= most + 1)
     nodes = written(few.groupBy("vector", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("members")))
-    shards = max(LEAST_SHARDS, math.ceil(nodes.count() / SHARD_ROWS))
+    shards = max(1, math.ceil(nodes.count() / SHARD_ROWS))
     dealt = nodes.select(
         "dim",
         F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"),
         "vector",
         "members",
-        F.element_at("members", 1).alias("rank"),
+        F.element_at("members", 1).alias("least"),
+        F.xxhash64("vector").alias("print"),
+    )
+    # A task for each shard: graphs are slow to build, however few bytes they have.
+    return dealt.repartitionById(shards, F.col("shard")).mapInArrow(
+        _indexed, _NODES.format(_kind(vectors, vector))
     )
-    return dealt.groupBy("dim", "shard").applyInArrow(_indexed, _NODES)
 
 
 def _answered(most: int):
@@ -220,25 +254,24 @@ def _answered(most: int):
             return pa.table(empty, schema=_FOUND_SCHEMA)
         nodes = nodes.sort_by("node")
         vectors, queries = _matrix(nodes.column("vector")), _matrix(asked.column("vector"))
-        graph = _graph_of(vectors, nodes.column("neighbours"))
-        wanted = np.concatenate([queries, np.zeros((len(queries), 1), np.float32)], axis=1)
+        # Vectors that are one in single precision are one node of the graph.
+        starts = np.unique(nodes.column("node").to_numpy(), return_index=True)[1]
+        ends = np.append(starts[1:], len(vectors))
+        graph = _graph_of(vectors[starts], nodes.column("neighbours").take(pa.array(starts)))
+        wanted = np.concatenate([_scaled(queries, 1), np.zeros((len(queries), 1), np.float32)], axis=1)
         found, _ = graph.search(wanted, max(SEARCH_BEAM, 2 * most))
-        score = np.zeros(found.shape)
-        for d in range(vectors.shape[1]):  # in order, in double precision
-            score += queries[:, d, None].astype(np.float64) * vectors[found, d]
-        score[found < 0] = -np.inf
         members = nodes.column("members").to_pylist()
+        least = np.array([m[0] for m in members])
         query_id, query = asked.column("query_id").to_pylist(), asked.column("query").to_pylist()
         out = []
         for k in range(len(queries)):
-            best = np.argsort(-score[k], kind="stable")[: most + 2]
-            own = [
-                (-float(score[k, j]), m)
-                for j in best
-                if found[k, j] >= 0
-                for m in members[found[k, j]]
-                if m != query_id[k]
-            ]
+            at = found[k][found[k] >= 0]
+            at = np.concatenate([np.arange(starts[j], ends[j]) for j in at])
+            # Added up in order, in double precision.
+            score = np.cumsum(queries[k].astype(np.float64) * vectors[at], axis=1)[:, -1] + 0.0
+            # One node more than asked for: the query's own may hold nobody else.
+            best = np.lexsort((least[at], -score))[: most + 1]
+            own = [(-float(score[j]), m) for j in best for m in members[at[j]] if m != query_id[k]]
             out += [(query_id[k], query[k], m, -s) for s, m in sorted(own)[:most]]
         columns = zip(*out, strict=True) if out else empty.values()
         return pa.table(dict(zip(empty, map(list, columns), strict=True)), schema=_FOUND_SCHEMA)
@@ -257,10 +290,8 @@ def _graph_of(vectors: np.ndarray, neighbours: pa.ChunkedArray) -> _Graph:
     edges = np.full((len(vectors), DEGREE), -1, np.int32)
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     edges[np.repeat(np.arange(len(vectors)), counts), place] = lists.flatten().to_numpy()
-    square = (vectors.astype(np.float64) ** 2).sum(1)
-    lack = np.sqrt(np.maximum(square.max() - square, 0)).astype(np.float32)
     draw = np.random.default_rng(11).integers(0, len(vectors), 16)
-    return _Graph(np.concatenate([vectors, lack[:, None]], axis=1), edges, np.unique(draw).astype(np.int32))
+    return _Graph(_points(vectors), edges, np.unique(draw).astype(np.int32))
 
 
 def nearest(
@@ -278,7 +309,10 @@ def nearest(
     sent = asked.select("query_id", "query", "vector", "dim", block, shard)
     nodes = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     key = ["dim", "shard", "block"]
-    found = nodes.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_answered(most), _FOUND)
+    # As many tasks as meetings: these too take long for their bytes.
+    tasks = (last + 1) * blocks
+    met = nodes.repartition(tasks, *key).groupBy(*key).cogroup(sent.repartition(tasks, *key).groupBy(*key))
+    found = met.applyInArrow(_answered(most), _FOUND)
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

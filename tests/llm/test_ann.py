@@ -62,6 +62,22 @@ def test_copies_tie_to_smaller_ids(spark):
         assert [r["vec_id"] for r in x] == [i for i in range(22) if i != q][:20]
 
 
+def test_distinct_vectors_that_tie_come_by_id(spark):
+    ids = np.random.default_rng(2).permutation(100)
+    rows = [(int(i), [1.0, 0.01 * k]) for k, i in enumerate(ids)] + [(100, [1.0, 0.0])]
+    table = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    got = asked(nearest(build_index(table, 20), spark.createDataFrame([(1000, [1.0, 0.0])], table.schema), 20))
+    assert [(r["vec_id"], r["score"]) for r in got[1000]] == [(i, 1.0) for i in range(20)]
+
+
+@pytest.mark.parametrize("unit", [1.0, 1e200, 1e-200])
+def test_double_vectors_are_scored_as_given(spark, unit):
+    rows = [(i, [unit * (1 + i * 1e-10), unit * 0.5]) for i in range(100)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = asked(nearest(build_index(table, 20), spark.createDataFrame([(1000, [1.0, 0.0])], table.schema), 20))
+    assert [(r["vec_id"], r["score"]) for r in got[1000]] == [(i, rows[i][1][0]) for i in range(99, 79, -1)]
+
+
 def test_awkward_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     odd = [None, [0.0, 0.0], [nan, 1], [inf, 1], [None, 1], []]
