@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from rowan.llm.chat import BUDGET, CLOSE, HISTORY, MARKS_COST, MIDDLE, OPEN
+from rowan.llm.clusters import CENTROIDS, DIM, ROUNDS, SALT, SCALE
+from rowan.llm.lexical import MOST
 from rowan.llm.quality_rules import RULES, policy_mask
+from rowan.llm.shards import DIGITS, SHARDS
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -115,9 +118,108 @@ SELECT told.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(l
 FROM told JOIN chars ON told.conv_id IS NOT DISTINCT FROM chars.conv_id
 """
 
+
+
+def _op11(dim: int = DIM, scale: int = SCALE, count: int = CENTROIDS, rounds: int = ROUNDS, salt: int = SALT) -> str:
+    """One pair of tables for every round."""
+    assigned = """
+a{i} AS MATERIALIZED (
+  SELECT r, min(struct_pack(d := d, k := k)) AS best FROM (
+    SELECT r, k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM cells v JOIN c{i} c USING (j) GROUP BY ALL
+  ) GROUP BY r
+)"""
+    moved = """
+c{n} AS MATERIALIZED (
+  SELECT k, j, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT k, j, (s - ((s % n) + n) % n) // n AS x FROM (
+      SELECT best.k AS k, j, sum(x) AS s, count(*) AS n FROM a{i} JOIN cells USING (r) GROUP BY ALL
+    )
+  ) m USING (k, j)
+)"""
+    steps = [assigned.format(i=i) + "," + moved.format(i=i, n=i + 1) for i in range(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}
+), cells AS MATERIALIZED (
+  SELECT r, j, CAST(floor({scale} * CAST(e[j] AS DOUBLE)) AS BIGINT) AS x FROM kept, unnest(range(1, {dim + 1})) AS t(j)
+), firsts AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('{salt}:' || CAST(vec_id AS VARCHAR))) - 1 AS k FROM kept
+  WHERE vec_id IS NOT NULL QUALIFY k < {count}
+), c0 AS MATERIALIZED (SELECT k, j, x FROM firsts JOIN cells USING (r)),
+{",".join(steps)},{assigned.format(i=rounds)},
+prints AS (
+  SELECT k, sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY k
+)
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN prints ON prints.k = best.k
+"""
+
+
+_BID = f"""-1 / ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(k AS VARCHAR)), 1, {DIGITS})
+  AS BIGINT) + 0.5) / {16**DIGITS}.0)"""
+
+#: CRC-32 of a list of bytes: the table's 256 entries by shifting eight times, then a step for every byte.
+_CRC = """
+crc_table AS MATERIALIZED (
+  SELECT list(list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY b) AS entries
+  FROM range(256) AS t(b)
+)"""
+_CRC_STEP = "lambda x, y: xor(x >> 8, entries[(xor(x, y) & 255) + 1])"
+
+OP12 = f"""
+WITH {_CRC}, d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes
+  FROM documents
+), summed AS (
+  SELECT r, doc_id, size,
+    xor(list_reduce(list_prepend(4294967295, bytes), {_CRC_STEP}), 4294967295) AS text_crc32
+  FROM d, crc_table
+), bids AS (SELECT r, k, {_BID} AS bid FROM d, unnest(range({SHARDS + 1})) AS t(k)),
+placed AS (
+  SELECT r, CAST(arg_max(k, bid) FILTER (WHERE k < {SHARDS}) AS INTEGER) AS shard,
+    CAST(arg_max(k, bid) AS INTEGER) AS grown_shard
+  FROM bids GROUP BY r
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM summed JOIN placed USING (r)
+"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+size AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d),
+postings AS (
+  SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, size GROUP BY term
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), scored AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), size GROUP BY item_id, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+  doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {MOST}
+"""
+
 ORACLES: dict[str, str] = {
     "op4_quality_rules": OP4,
     "op6_line_dedup": OP6,
     "op8_substring_dedup": OP8,
     "op10_chat_formatting": OP10,
+    "op11_centroid_clustering": _op11(),
+    "op12_rendezvous_sharding": OP12,
+    "op13_lexical_search": OP13,
 }

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from rowan.llm import chat
 from rowan.llm.ann import build_index, nearest
 from rowan.llm.bpe import digests, encode_texts
+from rowan.llm.clusters import clustered
+from rowan.llm.lexical import build_index as build_text_index
+from rowan.llm.lexical import ranked
 from rowan.llm.line_dedup import dedup_lines
 from rowan.llm.mixing import mixed_rates
 from rowan.llm.quality_rules import rule_verdicts
+from rowan.llm.shards import sharded
 from rowan.llm.simhash import near_duplicates
 from rowan.llm.substring_dedup import dedup_substrings
 from rowan.llm.token_counts import length_histogram, limit_table, token_lengths
@@ -115,6 +119,22 @@ def op10_chat_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.chat_windows(counted, cost=F.col("cost")))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and distance of every vector, after ten rounds of eight centroids."""
+    return clustered(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, and where it would go if there were one shard more."""
+    return sharded(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that match each benchmark item best."""
+    index = build_text_index(_table(spark, sf_dir, "documents"))
+    return ranked(index, _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_byte_bpe": op2_byte_bpe,
@@ -127,4 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_chat_formatting": op10_chat_formatting,
     "op10_chat_token_windows": op10_chat_token_windows,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_rendezvous_sharding": op12_rendezvous_sharding,
+    "op13_lexical_search": op13_lexical_search,
 }
