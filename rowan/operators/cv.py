@@ -8,11 +8,11 @@ from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowan.operators.features import FEATURES, TabularPreprocessor
+from rowan.operators.features import FEATURES, fit_folds
 from rowan.operators.learners import (
     LABEL,
     WEIGHT,
@@ -22,6 +22,7 @@ from rowan.operators.learners import (
 from rowan.operators.metrics import METRICS, classification_metrics
 from rowan.operators.scoring import with_scores
 from rowan.operators.split import Folds
+from rowan.sources.scratch import written_for_now
 from rowan.spec import DatasetSpec
 
 FOLD = "__fold"
@@ -38,38 +39,46 @@ def labelled(df: DataFrame) -> DataFrame:
 
 def packed(df: DataFrame, rows: int) -> DataFrame:
     """Neighbouring partitions together, until tasks are worth starting; never split or shuffled."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+    return df.coalesce(tasks_for(rows))
 
 
-@contextmanager
-def fold_frame(
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
+def fold_preprocessors(
     train: DataFrame,
     spec: DatasetSpec,
     folds: Folds,
-    fold: int,
     columns: list[str],
     max_categories: int | None = None,
+) -> list[PipelineModel]:
+    """Every fold's transformation, by statistics of its fitting rows only, from passes that all folds share."""
+    marked = train.withColumn(FOLD, folds.fold)
+    return fit_folds(marked, FOLD, folds.k, spec, columns, max_categories=max_categories)
+
+
+@contextmanager
+def fold_frame(
+    train: DataFrame, folds: Folds, fold: int, preprocessor: PipelineModel
 ) -> Iterator[tuple[DataFrame, DataFrame, int]]:
-    """The fold's fitting and held-out rows, transformed by statistics of the fitting rows only.
+    """The fold's fitting and held-out rows, transformed, and the number of the former.
 
-    Both come from one persisted table.
+    Both come from one table, written so that the many passes of the learners plan a scan and not the
+    transformation, and held in memory for as long as there is room.
     """
-    marked = train.withColumn(FOLD, folds.fold)
-    fitting = marked.filter(F.col(FOLD) != fold)
     sizes = folds.training_sizes(fold)
-    rows = sum(sizes.values())
-    preprocessor = TabularPreprocessor(
-        spec, columns, rows=rows, max_categories=max_categories
-    ).fit(fitting)
-    assembled = preprocessor.transform(marked).select(
+    assembled = preprocessor.transform(train.withColumn(FOLD, folds.fold)).select(
         FEATURES, LABEL, FOLD, weight_column(sizes).alias(WEIGHT)
     )
-    frame = packed(assembled, sum(folds.sizes.values())).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        held_out = F.col(FOLD) == fold
-        yield frame.filter(~held_out), frame.filter(held_out), rows
-    finally:
-        frame.unpersist()
+    rows = sum(folds.sizes.values())
+    with written_for_now(packed(assembled, rows)) as table:
+        frame = packed(table, rows).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            held_out = F.col(FOLD) == fold
+            yield frame.filter(~held_out), frame.filter(held_out), sum(sizes.values())
+        finally:
+            frame.unpersist()
 
 
 def in_parallel(work: Callable[[Any], Any], items: list[Any], parallelism: int) -> list[Any]:
@@ -121,10 +130,10 @@ def cross_validate(
     max_categories: int | None = None,
 ) -> DataFrame:
     """Held-out scores as rows (model, fold, metric, value), unrounded."""
+    preprocessors = fold_preprocessors(train, spec, folds, columns, max_categories)
 
     def scores(fold: int, jobs: int) -> list[tuple[str, int, str, float]]:
-        framed = fold_frame(train, spec, folds, fold, columns, max_categories)
-        with framed as (fitting, held_out, n):
+        with fold_frame(train, folds, fold, preprocessors[fold]) as (fitting, held_out, n):
             models = fit_families(fitting, families, n, seed, jobs)
             scored = with_scores(models, held_out, [LABEL])
             measured = classification_metrics(scored, ["model"], label=LABEL)

@@ -8,6 +8,7 @@ with Spark ML's own writer, and it takes the raw (text) columns without changing
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -81,19 +82,78 @@ def fit_numeric(
     if not small:
         counts = [row[f"n{i}"] for i in places]
         middles = medians(parsed, values, counts, exact_rows, middles)
-    stats = []
-    for i, (name, median) in enumerate(zip(columns, middles, strict=True)):
-        if median is None:
+    return [
+        _imputed(name, middles[i], row["rows"], row[f"n{i}"], row[f"mean{i}"], row[f"var{i}"])
+        for i, name in enumerate(columns)
+        if middles[i] is not None
+    ]
+
+
+def _imputed(
+    name: str, median: float, rows: int, n: int, mean: float, var: float
+) -> NumericStats:
+    """Moments after imputation from those of the ``n`` values present."""
+    if not (math.isfinite(mean) and math.isfinite(var)):
+        raise ValueError(f"Infinite values found in column: {name!r}")
+    share, gap = n / rows, mean - median
+    spread = share * var + share * (1.0 - share) * gap * gap
+    return NumericStats(name, median, median + share * gap, math.sqrt(max(0.0, spread)))
+
+
+def _without(parts: list[tuple[int, float, float]], left_out: int) -> tuple[int, float, float]:
+    """Count, mean and variance of all parts but one, added up in their order."""
+    n, mean, squares = 0, 0.0, 0.0
+    for k, (m, part_mean, part_var) in enumerate(parts):
+        if k == left_out or not m:
             continue
-        if not (math.isfinite(row[f"mean{i}"]) and math.isfinite(row[f"var{i}"])):
-            raise ValueError(f"Infinite values found in column: {name!r}")
-        mean, var, share = row[f"mean{i}"], row[f"var{i}"], row[f"n{i}"] / row["rows"]
-        gap = mean - median
-        spread = share * var + share * (1.0 - share) * gap * gap
-        stats.append(
-            NumericStats(name, median, median + share * gap, math.sqrt(max(0.0, spread)))
-        )
-    return stats
+        gap = part_mean - mean
+        squares += m * part_var + gap * gap * n * m / (n + m)
+        mean += gap * m / (n + m)
+        n += m
+    return n, mean, squares / n if n else 0.0
+
+
+def fit_numeric_folds(
+    df: DataFrame, fold: str, k: int, columns: list[str], exact_rows: int = EXACT_ROWS
+) -> list[list[NumericStats]]:
+    """``fit_numeric`` of all rows outside each of the folds 0 to k - 1, in the passes that one fit takes.
+
+    One pass gives the moments of every fold, and those of the others follow by addition. Medians are
+    searched for in common passes, a search for each column and fold left out.
+    """
+    if not columns:
+        return [[] for _ in range(k)]
+    parsed = df.select(
+        F.col(fold).alias("fold"),
+        *[
+            F.expr(number_sql(c, df.schema[c].dataType)).alias(f"v{i}")
+            for i, c in enumerate(columns)
+        ],
+    )
+    aggregates = [F.count(F.lit(1)).alias("rows")]
+    for i in range(len(columns)):
+        v = F.col(f"v{i}")
+        aggregates += [F.count(v), F.avg(v), F.var_pop(v)]
+    # A row for each fold.
+    found = {r["fold"]: tuple(r)[1:] for r in parsed.groupBy("fold").agg(*aggregates).collect()}
+    folds = [found.get(j, (0, *(0, None, None) * len(columns))) for j in range(k)]
+    rows = [sum(f[0] for i, f in enumerate(folds) if i != j) for j in range(k)]
+    cells = [(j, i) for j in range(k) for i in range(len(columns))]
+    moments = {
+        (j, i): _without([f[1 + 3 * i : 4 + 3 * i] for f in folds], j) for j, i in cells
+    }
+    values = [F.when(F.col("fold") != j, F.col(f"v{i}")) for j, i in cells]
+    middles = dict(
+        zip(cells, medians(parsed, values, [moments[c][0] for c in cells], exact_rows), strict=True)
+    )
+    return [
+        [
+            _imputed(name, middles[j, i], rows[j], *moments[j, i])
+            for i, name in enumerate(columns)
+            if middles[j, i] is not None
+        ]
+        for j in range(k)
+    ]
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -149,10 +209,16 @@ def fit_categories(
         return []
     if max_categories is not None:
         _refuse_wide(df, columns, max_categories)
-    rows = category_counts(df, columns).collect()
+    counts = ((r["column"], r["value"], r["n"]) for r in category_counts(df, columns).collect())
+    return _categories(counts, columns, max_categories)
+
+
+def _categories(
+    counts: Iterable[tuple[str, str, int]], columns: list[str], max_categories: int | None
+) -> list[CategoryStats]:
     seen: dict[str, list[tuple[int, str]]] = {}
-    for r in rows:
-        seen.setdefault(r["column"], []).append((-r["n"], r["value"]))
+    for name, value, n in counts:
+        seen.setdefault(name, []).append((-n, value))
     wide = [c for c in columns if max_categories is not None and len(seen.get(c, ())) > max_categories]
     if wide:
         raise ValueError(f"More than {max_categories} categories in {wide}: {_ADVICE}")
@@ -163,6 +229,68 @@ def fit_categories(
     ]
 
 
+def fit_categories_folds(
+    df: DataFrame, fold: str, k: int, columns: list[str], max_categories: int | None = None
+) -> list[list[CategoryStats]]:
+    """``fit_categories`` of all rows outside each of the folds 0 to k - 1, from one pass.
+
+    Every value is counted in each fold; outside a fold it has its other counts.
+    """
+    if not columns:
+        return [[] for _ in range(k)]
+    if max_categories is not None:
+        _refuse_wide(df, columns, max_categories)
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), column(c).cast("string").alias("value"))
+            for c in columns
+        ]
+    )
+    exploded = df.select(F.col(fold).alias("fold"), F.explode(cells).alias("s"))
+    counts = [F.count_if(F.col("fold") == j) for j in range(k)]
+    counted = (
+        exploded.filter("s.value is not null")
+        .groupBy("s.column", "s.value")
+        .agg(F.array(*counts).alias("n"))
+        .collect()
+    )
+    total = [sum(r["n"]) for r in counted]
+    return [
+        _categories(
+            (
+                (r["column"], r["value"], n - r["n"][j])
+                for r, n in zip(counted, total, strict=True)
+                if n > r["n"][j]
+            ),
+            columns,
+            max_categories,
+        )
+        for j in range(k)
+    ]
+
+
+def fit_folds(
+    df: DataFrame,
+    fold: str,
+    k: int,
+    spec: DatasetSpec,
+    columns: list[str],
+    output: str = FEATURES,
+    max_categories: int | None = None,
+) -> list[PipelineModel]:
+    """The ``TabularPreprocessor`` of all rows outside each fold; the number of passes does not hang on k."""
+    numbers = spec.numeric_features(df.schema, columns)
+    texts = spec.categorical_features(df.schema, columns)
+    # Two independent sets of passes over different columns.
+    with ThreadPool(2) as pool:
+        pending = pool.apply_async(fit_categories_folds, (df, fold, k, texts, max_categories))
+        numeric = fit_numeric_folds(df, fold, k, numbers)
+        categorical = pending.get()
+    if not all(n or c for n, c in zip(numeric, categorical, strict=True)):
+        raise ValueError("No feature column has a value.")
+    return [transformation(df, n, c, output) for n, c in zip(numeric, categorical, strict=True)]
+
+
 def _double_literal(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 

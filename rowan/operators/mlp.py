@@ -1,11 +1,17 @@
-"""Data-parallel multilayer perceptron with early stopping.
-
-The training rows are dealt by a hash of their key to a fixed number of shards, a setting. Per epoch
-one Spark job sorts every shard by a hash of key and epoch and runs mini-batch Adam over it, starting
-from the common state; the shards' parameters and moments are averaged by row count (local steps with
-periodic averaging). The algorithm is the same at every table size, and which rows form a shard or a
-mini-batch follows from keys, seed and epoch alone. A shard is streamed through its task: memory
-holds one Arrow batch, one mini-batch and the network. Feature vectors stay sparse.
+"""Multilayer perceptron with early stopping, trained by mini-batches over the whole table.
+
+Every epoch deals all rows anew: a hash of key, seed and epoch names the step a row belongs to and its
+unit inside the step. A step is one Adam update with the mean gradient of all its rows. The rows of a
+unit lie side by side in one task, in the order of their hashes, and units add up in their own order, so
+that losses and parameters are the same whatever the number of tasks or the partitions rows come in.
+
+Batches of one unit have nothing to add up: tasks hold runs of steps, and an epoch is a chain of jobs,
+one for each task, each handing its state to the next. Larger batches are dealt over all tasks unit by
+unit, and every step is a job whose gradients meet in a tree. A task holds one unit and the network;
+feature vectors stay sparse. The number of tasks follows the number of rows.
+
+With a log, state and losses of every epoch are kept as one row written at once, and a training that
+starts with the log of an earlier one goes on where that ended, with the same result.
 """
 
 from __future__ import annotations
@@ -13,25 +19,26 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass, field
-from itertools import chain
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowan.functions.text import column
 from rowan.operators.features import FEATURES
 from rowan.operators.learners import LABEL
+from rowan.operators.sparse import SparseRows
+from rowan.operators.sums import SCHEMA, summed, vector_row
+from rowan.sources.epochs import EpochLog, EpochRecord
 
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 PLACE = "__place"
+# Rows a task should at least have.
+ROWS_PER_TASK = 20_000
 
 
 # The default settings.
@@ -47,8 +54,10 @@ class NetworkSettings:
     validation_split: float = 0.2
     early_stopping_patience: int = 4
     min_delta: float = 0.0005
-    # Parts that take their steps side by side; more suit larger tables and clusters.
-    shards: int = 4
+    # Rows whose gradients one task adds up; a batch is as many units as it needs.
+    unit_rows: int = 1024
+    # Tasks that hold the rows; by default as many as they are worth. No result hangs on it.
+    tasks: int | None = None
 
 
 @dataclass
@@ -76,77 +85,6 @@ class EarlyStopping:
 Layers = list[tuple[np.ndarray, np.ndarray]]
 
 
-@dataclass
-class SparseRows:
-    """Feature vectors as a matrix of rows, only the stored slots held."""
-
-    starts: np.ndarray
-    slots: np.ndarray
-    values: np.ndarray
-    width: int
-
-    @classmethod
-    def of(cls, vectors: pa.StructArray, width: int) -> SparseRows:
-        """From the storage form of Spark ML's vectors, sparse or dense."""
-        lists = vectors.field("values")
-        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        slots = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
-        sparse = vectors.field("type").to_numpy(zero_copy_only=False) == 0
-        given = vectors.field("indices").flatten().to_numpy(zero_copy_only=False)
-        slots[np.repeat(sparse, sizes)] = given
-        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
-        return cls(starts, slots, values, width)
-
-    def __len__(self) -> int:
-        return len(self.starts) - 1
-
-    def __getitem__(self, rows: slice) -> SparseRows:
-        at, to, _ = rows.indices(len(self))
-        first, last = self.starts[at], self.starts[to]
-        starts = self.starts[at : to + 1] - first
-        return SparseRows(starts, self.slots[first:last], self.values[first:last], self.width)
-
-    @classmethod
-    def joined(cls, parts: Sequence[SparseRows]) -> SparseRows:
-        sizes = np.concatenate([np.diff(p.starts) for p in parts])
-        return cls(
-            np.concatenate([[0], np.cumsum(sizes)]),
-            np.concatenate([p.slots for p in parts]),
-            np.concatenate([p.values for p in parts]),
-            parts[0].width,
-        )
-
-    def __matmul__(self, w: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self), w.shape[1]), w.dtype)
-        filled = np.diff(self.starts) > 0
-        if filled.any():
-            terms = w[self.slots] * self.values[:, None]
-            out[filled] = np.add.reduceat(terms, self.starts[:-1][filled], axis=0)
-        return out
-
-    @property
-    def T(self) -> _Transposed:  # noqa: N802  (as numpy names it)
-        return _Transposed(self)
-
-
-@dataclass
-class _Transposed:
-    rows: SparseRows
-
-    def __matmul__(self, delta: np.ndarray) -> np.ndarray:
-        x = self.rows
-        out = np.zeros((x.width, delta.shape[1]), delta.dtype)
-        if len(x.slots):
-            row = np.repeat(np.arange(len(x)), np.diff(x.starts))
-            order = np.argsort(x.slots, kind="stable")
-            slots = x.slots[order]
-            first = np.flatnonzero(np.diff(slots, prepend=-1))
-            terms = delta[row[order]] * x.values[order, None]
-            out[slots[first]] = np.add.reduceat(terms, first, axis=0)
-        return out
-
-
 def parameter_count(dims: Sequence[int]) -> int:
     return sum(a * b + b for a, b in zip(dims[:-1], dims[1:], strict=True))
 
@@ -249,102 +187,138 @@ def _rows_of(batch: pa.RecordBatch, width: int) -> tuple[SparseRows, np.ndarray]
     return SparseRows.of(batch.column("x"), width), y
 
 
-_STATE_SCHEMA = "shard int, n bigint, loss double, steps bigint, state binary"
-
+_STATE_SCHEMA = "n bigint, loss double, steps bigint, state binary"
 
-def _state_batch(shard: int, n: int, loss: float, steps: int, state: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "shard": pa.array([shard], pa.int32()),
-            "n": pa.array([n], pa.int64()),
-            "loss": pa.array([loss], pa.float64()),
-            "steps": pa.array([steps], pa.int64()),
-            "state": pa.array([state.astype(np.float64).tobytes()], pa.binary()),
-        }
-    )
 
-
-def _mini_batches(
-    batches: Iterator[pa.RecordBatch], width: int, size: int
-) -> Iterator[tuple[SparseRows, np.ndarray]]:
-    """A shard's rows in order, ``size`` at a time; the last mini-batch may be short."""
+def _units(
+    batches: Iterator[pa.RecordBatch], width: int
+) -> Iterator[tuple[int, int, SparseRows, np.ndarray]]:
+    """Step, unit and rows of every unit, in order; a unit may span Arrow batches."""
+    key: tuple[int, int] | None = None
     parts: list[tuple[SparseRows, np.ndarray]] = []
-    held = 0
 
-    def joined() -> tuple[SparseRows, np.ndarray]:
-        return SparseRows.joined([x for x, _ in parts]), np.concatenate([y for _, y in parts])
+    def joined() -> tuple[int, int, SparseRows, np.ndarray]:
+        return *key, SparseRows.joined([x for x, _ in parts]), np.concatenate([y for _, y in parts])
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         x, y = _rows_of(batch, width)
-        at = 0
-        while at < len(y):
-            to = min(len(y), at + size - held)
-            parts.append((x[at:to], y[at:to]))
-            held += to - at
-            at = to
-            if held == size:
+        names = np.stack([batch.column(c).to_numpy() for c in ("step", "unit")], axis=1)
+        cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        for at, to in zip([0, *cuts], [*cuts, len(y)], strict=True):
+            if key is not None and key != tuple(names[at]):
                 yield joined()
-                parts, held = [], 0
-    if held:
+                parts = []
+            key = tuple(int(k) for k in names[at])
+            parts.append((x[at:to], y[at:to]))
+    if key is not None:
         yield joined()
 
 
-def _shard_epoch(
-    state: AdamState,
-    dims: Sequence[int],
-    settings: NetworkSettings,
-    pos_weight: float,
-    seed: int,
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One epoch over a shard in its given order: mini-batches and Adam steps."""
-    packed = np.stack([state.flat, state.m, state.v])
-    start = state.steps
+@dataclass(frozen=True)
+class _Epoch:
+    """What a task needs to know of the training and its epoch."""
+
+    dims: Sequence[int]
+    settings: NetworkSettings
+    pos_weight: float
+    seed: int
+    epoch: int
+
+    def gradient(self, flat: np.ndarray, step: int, unit: int, x: SparseRows, y: np.ndarray):
+        rng = np.random.default_rng([self.seed, self.epoch, step, unit])
+        return gradient(flat, self.dims, x, y, self.pos_weight, self.settings.dropout, rng)
+
+
+def _steps(state: AdamState, n: int, loss: float, epoch: _Epoch):
+    """Take the steps of a task's rows one after another, from the state that the task before left."""
+    packed, start, settings = np.stack([state.flat, state.m, state.v]), state.steps, epoch.settings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = (b for b in batches if b.num_rows)
-        opening = next(batches, None)
-        if opening is None:
-            return
-        shard = opening.column("shard")[0].as_py()
-        rng = np.random.default_rng([seed, start, shard])
         local = AdamState(packed[0].copy(), packed[1].copy(), packed[2].copy(), start)
-        n, total = 0, 0.0
-        for x, y in _mini_batches(chain([opening], batches), dims[0], settings.batch_size):
-            loss, grad = gradient(local.flat, dims, x, y, pos_weight, settings.dropout, rng)
+        rows, total = n, loss
+        for step, unit, x, y in _units(batches, epoch.dims[0]):
+            mean, grad = epoch.gradient(local.flat, step, unit, x, y)
             local.step(grad, settings.learning_rate, settings.weight_decay)
-            total += loss * len(y)
-            n += len(y)
-        weighted = np.stack([local.flat, local.m, local.v]).astype(np.float64) * n
-        yield _state_batch(shard, n, total, local.steps, weighted)
+            rows, total = rows + len(y), total + mean * len(y)
+        if local.steps > start:
+            state = np.stack([local.flat, local.m, local.v]).tobytes()
+            columns = {"n": [rows], "loss": [total], "steps": [local.steps], "state": [state]}
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
-def _merge_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up row-weighted states in the order of their shards, one at a time."""
-    shard, n, loss, steps, state = 0, 0, 0.0, 0, None
-    for batch in batches:
-        for row in batch.to_pylist():
-            part = np.frombuffer(row["state"], dtype=np.float64)
-            state = part.copy() if state is None else state + part
-            n, loss = n + row["n"], loss + row["loss"]
-            shard, steps = row["shard"] // _FAN_IN, max(steps, row["steps"])
-    if state is not None:
-        yield _state_batch(shard, n, loss, steps, state)
+def _gradients(flat: np.ndarray, epoch: _Epoch):
+    """Rows, loss and gradient of every unit of a step, summed over its rows."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step, unit, x, y in _units(batches, epoch.dims[0]):
+            mean, grad = epoch.gradient(flat, step, unit, x, y)
+            yield vector_row(unit, np.concatenate([[1.0, mean], grad.astype(np.float64)]) * len(y))
 
-# So many states of a small network may meet in one task.
-_FAN_IN = 64
+    return run
 
 
-def _combine(states: DataFrame, shards: int) -> DataFrame:
-    """Tree-reduce the shards' states until few enough are left for the driver."""
-    while shards > _FAN_IN:
-        shards = math.ceil(shards / _FAN_IN)
-        group = F.floor(F.col("shard") / _FAN_IN).cast("int")
-        dealt = states.repartitionById(shards, group).sortWithinPartitions("shard")
-        states = dealt.mapInArrow(_merge_states, _STATE_SCHEMA)
-    return states
+class _Dealt:
+    """The rows of one epoch, in tasks, steps and units."""
+
+    def __init__(self, data: DataFrame, rows: int, epoch: _Epoch) -> None:
+        settings = epoch.settings
+        self.epoch = epoch
+        self.tasks = settings.tasks or max(1, math.ceil(rows / ROWS_PER_TASK))
+        self.steps = max(1, math.ceil(rows / settings.batch_size))
+        self.units = max(1, math.ceil(settings.batch_size / settings.unit_rows))
+        mixed = F.xxhash64("place", F.lit(epoch.seed), F.lit(epoch.epoch))
+        frame = data.withColumn("mixed", mixed).withColumns(
+            {
+                "step": F.pmod("mixed", F.lit(self.steps)).cast("int"),
+                "unit": F.pmod(F.xxhash64("mixed"), F.lit(self.units)).cast("int"),
+            }
+        )
+        # Runs of steps, or the units of every step.
+        run = F.floor(F.col("step") * F.lit(self.tasks) / F.lit(self.steps))
+        home = run if self.units == 1 else F.pmod("unit", F.lit(self.tasks))
+        frame = frame.withColumn("home", home.cast("int"))
+        frame = frame.repartitionById(self.tasks, F.col("home"))
+        self.frame = frame.sortWithinPartitions("step", "unit", "mixed", "place", "y")
+
+    def train(self, state: AdamState) -> tuple[AdamState, float]:
+        """The state after the epoch and the mean loss on the way."""
+        many = self.units > 1 or self.tasks > 1
+        if many:
+            self.frame.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n, loss, state = (self._chain if self.units == 1 else self._summed)(state)
+        finally:
+            if many:
+                self.frame.unpersist()
+        return state, loss / n
+
+    def _chain(self, state: AdamState) -> tuple[int, float, AdamState]:
+        n, loss = 0, 0.0
+        for task in range(self.tasks):
+            rows = self.frame if self.tasks == 1 else self.frame.filter(F.col("home") == task)
+            # One network from one task.
+            for r in rows.mapInArrow(_steps(state, n, loss, self.epoch), _STATE_SCHEMA).collect():
+                n, loss = r["n"], r["loss"]
+                flat, m, v = np.frombuffer(r["state"], dtype=state.flat.dtype).reshape(3, -1).copy()
+                state = AdamState(flat, m, v, r["steps"])
+        return n, loss, state
+
+    def _summed(self, state: AdamState) -> tuple[int, float, AdamState]:
+        n, loss, settings = 0, 0.0, self.epoch.settings
+        state = AdamState(state.flat.copy(), state.m.copy(), state.v.copy(), state.steps)
+        for step in range(self.steps):
+            rows = self.frame.filter(F.col("step") == step)
+            total = summed(rows.mapInArrow(_gradients(state.flat, self.epoch), SCHEMA), self.units)
+            if total is None:
+                continue
+            grad = (total[2:] / total[0]).astype(state.flat.dtype)
+            state.step(grad, settings.learning_rate, settings.weight_decay)
+            n, loss = n + int(total[0]), loss + float(total[1])
+        return n, loss, state
 
 
 def _loss_sum(
@@ -390,20 +364,16 @@ class MLPModel:
     def probability(
         self, features: DataFrame, output: str = "probability", column: str = FEATURES
     ) -> DataFrame:
-        """Add the positive-class probability to an assembled table."""
+        """Add the positive-class probability to an assembled table; vectors stay sparse."""
         flat, dims = self.flat, list(self.dims)
 
-        @F.pandas_udf("double")
-        def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for part in parts:
-                rows = part.to_numpy()
-                # A few rows at a time: wide vectors are dense here.
-                blocks = (rows[at : at + 256] for at in range(0, len(rows), 256))
-                z = [logits(flat, dims, np.stack(block)) for block in blocks]
-                flat_z = np.concatenate([*z, np.empty(0)]).astype(np.float64)
-                yield pd.Series(np.exp(-np.logaddexp(0.0, -flat_z)))
+                z = logits(flat, dims, SparseRows.of(part, dims[0])).astype(np.float64)
+                yield pa.array(np.exp(-np.logaddexp(0.0, -z)))
 
-        return features.withColumn(output, score(vector_to_array(column, "float32")))
+        return features.withColumn(output, score(F.unwrap_udt(column)))
 
 
 def place_of(key: str, seed: int) -> Column:
@@ -419,15 +389,15 @@ def train_mlp(
     pos_weight: float,
     settings: NetworkSettings = NetworkSettings(),
     seed: int = 42,
+    log: EpochLog | None = None,
 ) -> MLPModel:
     """Train on assembled rows; ``rows`` are the known sizes of the two parts.
 
-    Training rows carry ``place_of`` their key, which deals them to shards and, with the epoch,
-    orders them: neither the partitions they come in nor a recomputed task changes a step.
+    Training rows carry ``place_of`` their key: which step and unit a row falls into follows from it,
+    the seed and the epoch alone. ``log`` keeps every epoch; epochs it holds already are not trained
+    again.
     """
-    shard = F.pmod(F.col(PLACE), F.lit(settings.shards)).cast("int")
-    data = _network_input(train, F.col(PLACE).alias("place"), shard.alias("shard"))
-    data = data.repartitionById(settings.shards, F.col("shard"))
+    data = _network_input(train, F.col(PLACE).alias("place"))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     held = None
     if validation is not None:
@@ -436,43 +406,57 @@ def train_mlp(
         width = data.select("x").first()["x"].size
         dims = [width, *settings.hidden_dims, 1]
         state = AdamState.start(initial_parameters(dims, seed))
-        best = state.flat.copy()
+        best = state.flat
         rule = EarlyStopping(settings.early_stopping_patience, settings.min_delta)
         summary = TrainingSummary(rows[0], rows[1], used_validation_split=held is not None)
-        for epoch in range(1, settings.epochs + 1):
-            step = _shard_epoch(state, dims, settings, pos_weight, seed)
-            order = F.xxhash64("place", F.lit(seed), F.lit(epoch))
-            shuffled = data.sortWithinPartitions(order, "place", "y")
-            # One state per group of shards: a few network-sized rows.
-            states = _combine(shuffled.mapInArrow(step, _STATE_SCHEMA), settings.shards).collect()
-            # Always added up in shard order.
-            states = sorted(states, key=lambda r: r["shard"])
-            n = sum(r["n"] for r in states)
-            packed = sum(np.frombuffer(r["state"], dtype=np.float64) for r in states) / n
-            flat, m, v = packed.reshape(3, -1).astype(np.float32)
-            state = AdamState(flat, m, v, max(r["steps"] for r in states))
-            record = {"epoch": epoch, "train_loss": round(sum(r["loss"] for r in states) / n, 6)}
+        done: list[EpochRecord] = []
+        if log is not None:
+            # What the epochs hang on; how many there may be and who computes them is free.
+            told = {**asdict(settings), "epochs": 0, "tasks": 0}
+            prints = data.agg(F.sum(F.xxhash64("place", "y").cast("decimal(38,0)"))).first()[0]
+            given = (sorted(told.items()), dims, rows, pos_weight, seed, held is not None, str(prints))
+            log.open(repr(given))
+            done = log.records()
+
+        def stopped(epoch: int, train_loss: float, loss: float | None) -> bool:
+            """Note an epoch; whether it is the last."""
+            record = {"epoch": epoch, "train_loss": round(train_loss, 6)}
             summary.history.append(record)
-            if held is None:
-                summary.best_epoch, best = epoch, state.flat.copy()
-                continue
-            sums = (
-                held.mapInArrow(_loss_sum(state.flat, dims, pos_weight), "loss double, n bigint")
-                # Decimals add up alike in any order.
-                .agg(F.sum(F.col("loss").cast("decimal(38,10)")).alias("loss"), F.sum("n").alias("n"))
-                .first()
-            )
-            loss = float(sums["loss"]) / sums["n"]
+            if loss is None:
+                summary.best_epoch = epoch
+                return False
             record["val_loss"] = round(loss, 6)
-            if rule.improved(epoch, loss):
-                best = state.flat.copy()
-            elif rule.stop:
-                break
-        if held is not None:
+            rule.improved(epoch, loss)
             summary.best_epoch = rule.best_epoch
+            return rule.stop
+
+        over = any([stopped(r.epoch, r.train_loss, r.val_loss) for r in done])
+        if done:
+            state = AdamState(*log.state(done[-1].epoch), done[-1].steps)
+            best = log.state(summary.best_epoch)[0] if summary.best_epoch else best
+        epoch = len(done)
+        while epoch < settings.epochs and not over:
+            epoch += 1
+            dealt = _Dealt(data, rows[0], _Epoch(dims, settings, pos_weight, seed, epoch))
+            state, train_loss = dealt.train(state)
+            loss = None
+            if held is not None:
+                sums = (
+                    held.mapInArrow(_loss_sum(state.flat, dims, pos_weight), "loss double, n bigint")
+                    # Decimals add up alike in any order.
+                    .agg(F.sum(F.col("loss").cast("decimal(38,10)")).alias("loss"), F.sum("n").alias("n"))
+                    .first()
+                )
+                loss = float(sums["loss"]) / sums["n"]
+            if log is not None:
+                record = EpochRecord(epoch, state.steps, train_loss, loss)
+                log.append(record, np.stack([state.flat, state.m, state.v]))
+            over = stopped(epoch, train_loss, loss)
+            if summary.best_epoch == epoch:
+                best = state.flat
         summary.epochs_completed = len(summary.history)
     finally:
         data.unpersist()
         if held is not None:
             held.unpersist()
-    return MLPModel(preprocessor, dims, best, settings.dropout, summary)
+    return MLPModel(preprocessor, dims, best.copy(), settings.dropout, summary)

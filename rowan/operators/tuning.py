@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -11,16 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowan.operators.cv import (
+    FOLD,
     FOLDS_AT_ONCE,
     PARALLELISM,
     fold_frame,
+    fold_preprocessors,
     in_parallel,
     labelled,
-    over_folds,
+    tasks_for,
 )
-from rowan.operators.learners import LABEL, PREDICTION, build_estimator
-from rowan.operators.metrics import confusion, rates
+from rowan.operators.features import FEATURES
+from rowan.operators.forests import Trees, forest_confusion, largest
+from rowan.operators.learners import LABEL, WEIGHT, build_estimator
+from rowan.operators.metrics import rates
 from rowan.operators.split import Folds
+from rowan.operators.stacked import StackedFit, fit_stacked, stacked_confusion
 from rowan.spec import DatasetSpec
 
 # The search space.
@@ -48,6 +55,56 @@ def sample_trials(family: str, num_samples: int, seed: int) -> list[dict[str, An
     raise ValueError(f"Unknown model: {family}")
 
 
+def _stacked_scores(
+    frames: Mapping[int, tuple[DataFrame, DataFrame, int]],
+    trials: Sequence[Mapping[str, Any]],
+    width: int,
+    tasks: int,
+) -> list[tuple[int, int, float]]:
+    """All logistic trials of all given folds in one solver: confusion counts by fold and trial."""
+    asked = [(fold, i) for fold in frames for i in range(len(trials))]
+    fits = [StackedFit(fold, trials[i]["C"], TRIAL_ITERATIONS) for fold, i in asked]
+
+    def side(k: int) -> DataFrame:
+        # Folds have slots of their own; only labels, weights and vectors are read.
+        parts = [
+            frame[k].select(F.lit(fold).alias(FOLD), LABEL, WEIGHT, FEATURES)
+            for fold, frame in frames.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    points = fit_stacked(side(0), F.col(FOLD), fits, width, tasks)
+    return _scored(stacked_confusion(side(1), F.col(FOLD), fits, points), asked)
+
+
+def _forest_scores(
+    fold: int,
+    frame: tuple[DataFrame, DataFrame, int],
+    trials: Sequence[Mapping[str, Any]],
+    width: int,
+    seed: int,
+    jobs: int,
+) -> list[tuple[int, int, float]]:
+    """All forest trials of a fold, from a forest for each leaf size."""
+    fitting, held_out, n = frame
+    data = labelled(fitting)
+
+    def grow(item: tuple[int, dict[str, Any]]) -> tuple[int, Trees]:
+        model = build_estimator("random_forest", item[1], n, seed).fit(data)
+        return item[0], Trees.of(data.sparkSession, model)
+
+    # The small leaves' forests first: they run longest.
+    grown = dict(in_parallel(grow, sorted(largest(trials).items()), jobs))
+    counted = forest_confusion(held_out, grown, trials, width)
+    return _scored(counted, [(fold, i) for i in range(len(trials))])
+
+
+def _scored(counts: DataFrame, asked: Sequence[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """(fold, trial, f1) for every fit counted."""
+    f1 = rates(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])["f1"]
+    return [(*asked[r["fit"]], r["f1"]) for r in counts.select("fit", f1.alias("f1")).collect()]
+
+
 def run_trials(
     train: DataFrame,
     spec: DatasetSpec,
@@ -61,29 +118,41 @@ def run_trials(
     max_categories: int | None = None,
 ) -> tuple[DataFrame, dict[str, list[dict[str, Any]]]]:
     """Mean and population deviation of F1 per trial: (model, trial, f1_mean, f1_std), and the
-    sampled settings. A fold is prepared once and shared by all trials."""
-    trials = {f: sample_trials(f, num_samples, seed) for f in families}
-    # Forests first: they run longest, the short fits fill the gaps.
-    queue = [(f, i) for f in sorted(trials, reverse=True) for i in range(num_samples)]
-    f1 = rates(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])["f1"]
+    sampled settings.
 
-    def fold_scores(fold: int, jobs: int) -> list[tuple[str, int, int, float]]:
-        framed = fold_frame(train, spec, folds, fold, columns, max_categories)
-        with framed as (fitting, held_out, n):
-            data = labelled(fitting)
-            # Fill the cache once, before the trials start side by side.
-            data.count()
-
-            def score(item: tuple[str, int]) -> tuple[str, int, int, float]:
-                family, i = item
-                settings = {**trials[family][i], "max_iter": TRIAL_ITERATIONS}
-                model = build_estimator(family, settings, n, seed).fit(data)
-                counted = confusion(model.transform(held_out), (), LABEL, PREDICTION)
-                return family, i, fold, counted.select(f1.alias("f1")).first()["f1"]
+    Trials share their work: statistics of all folds come from common passes, all logistic trials of
+    the folds held side by side from one solver, and a fold's forests of one leaf size from one forest.
+    """
+    trials = {f: sample_trials(f, num_samples, seed) for f in families}
+    preprocessors = fold_preprocessors(train, spec, folds, columns, max_categories)
+    scores: list[tuple[str, int, int, float]] = []
+    for first in range(0, folds.k, max(1, folds_at_once)):
+        group = list(range(first, min(folds.k, first + max(1, folds_at_once))))
+        with ExitStack() as held:
+            frames = {
+                j: held.enter_context(fold_frame(train, folds, j, preprocessors[j])) for j in group
+            }
+            # Fill the caches once, before the trials start side by side.
+            sizes = in_parallel(lambda j: frames[j][0].first()[FEATURES].size, group, parallelism)
+            in_parallel(lambda j: frames[j][0].count(), group, parallelism)
+            width, rows = max(sizes), sum(folds.sizes.values())
+            work: list[tuple[str, int | None]] = []
+            if "random_forest" in trials:
+                work += [("random_forest", j) for j in group]
+            if "logistic_regression" in trials:
+                work.append(("logistic_regression", None))
+            each = max(1, -(-parallelism // len(work))) if work else 1
 
-            return in_parallel(score, queue, jobs)
+            def score(item: tuple[str, int | None]) -> list[tuple[str, int, int, float]]:
+                family, j = item
+                if j is None:
+                    tasks = len(group) * tasks_for(rows)
+                    found = _stacked_scores(frames, trials[family], width, tasks)
+                else:
+                    found = _forest_scores(j, frames[j], trials[family], width, seed, each)
+                return [(family, trial, fold, f1) for fold, trial, f1 in found]
 
-    scores = over_folds(fold_scores, folds, parallelism, folds_at_once)
+            scores += [row for part in in_parallel(score, work, parallelism) for row in part]
     spark = train.sparkSession
     per_fold = spark.createDataFrame(scores, "model string, trial int, fold int, f1 double")
     per_trial = per_fold.groupBy("model", "trial").agg(

@@ -41,8 +41,9 @@ from rowan.operators.scoring import Scorer, with_scores
 from rowan.operators.split import clamp_folds, inner_split, stratified_folds, stratified_split
 from rowan.operators.tuning import apply_tuned, run_trials
 from rowan.sources.models import save_model
-from rowan.sources.runs import SCHEMAS, RunStore, new_run_id
-from rowan.sources.tables import choose_source, read_raw, write_snapshot
+from rowan.sources.epochs import EpochLog
+from rowan.sources.runs import REFUSED, SCHEMAS, RunStore, new_run_id
+from rowan.sources.tables import choose_source, read_raw, snapshot_path, write_snapshot
 from rowan.spec import DatasetSpec
 
 _INNER = "__inner"
@@ -102,10 +103,12 @@ def train_models(
     spec: DatasetSpec,
     settings: TrainingSettings = TrainingSettings(),
     persist_input: bool = False,
+    log: EpochLog | None = None,
 ) -> TrainingResult:
     """Fit, evaluate and compare all enabled families on a gated raw table.
 
-    ``df`` is read several times; pass a table in columnar storage, or let it be persisted.
+    ``df`` is read several times; pass a table in columnar storage, or let it be persisted. ``log``
+    keeps the network's epochs and gives those it has.
     """
     spark, seed = df.sparkSession, settings.random_state
     columns = spec.feature_columns(df.columns)
@@ -173,6 +176,7 @@ def train_models(
                 negatives / positives if positives else 1.0,
                 network,
                 seed,
+                log,
             )
 
         scored = with_scores(
@@ -257,35 +261,48 @@ def run_training(
     fmt: str | None = None,
     reader: Mapping[str, str] | None = None,
     fallback: str | None = None,
+    continues: str | None = None,
 ) -> dict[str, Any]:
     """One recorded training run over the table at ``source``, or else at ``fallback``; returns its
-    summary. ``reader`` goes to Spark's reader."""
+    summary. ``reader`` goes to Spark's reader.
+
+    ``continues`` names a run that ended before its time: this one takes that run's snapshot for its
+    table, and with the same settings the network's epochs that it had finished.
+    """
     store, run_id = RunStore(spark, root), new_run_id()
     store.start(run_id)
-    raw = read_raw(spark, choose_source(source, fallback), fmt, reader)
-    dataset = write_snapshot(raw, store.root, run_id)
+    if continues:
+        dataset = snapshot_path(store.root, continues)
+    else:
+        raw = read_raw(spark, choose_source(source, fallback), fmt, reader)
+        dataset = write_snapshot(raw, store.root, run_id)
     raw = spark.read.parquet(dataset)
+    log = EpochLog(spark, f"{store.root}/epochs/run_id={continues or run_id}")
 
     def record(table: str, rows: DataFrame) -> None:
         store.append(table, rows.withColumn("run_id", F.lit(run_id)))
 
-    if missing_columns(raw, spec):
-        gate(raw, spec)
-    # Kept whether or not the gate passes.
-    record("unexpected", unexpected_values(raw, spec).drop("run_id"))
-    # One row per fact: computed once for the gate and the record.
-    report = quality_report(raw, spec, run_id).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        gate(raw, spec, report)
-        record("quality", report)
-    finally:
-        report.unpersist()
+        if missing_columns(raw, spec):
+            gate(raw, spec)
+        # Kept whether or not the gate passes.
+        record("unexpected", unexpected_values(raw, spec).drop("run_id"))
+        # One row per fact: computed once for the gate and the record.
+        report = quality_report(raw, spec, run_id).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            gate(raw, spec, report)
+            record("quality", report)
+        finally:
+            report.unpersist()
+    except ValueError:
+        store.commit(run_id, REFUSED)
+        raise
     previous = store.previous_id(run_id)
     compared = store.of_run("quality", run_id, *([previous] if previous else []))
     record("drift", drift_report(compared, store.previous_pair(run_id), spec))
     verdict = drift_verdict(store.of_run("drift", run_id)).first()
 
-    result = train_models(raw, spec, settings)
+    result = train_models(raw, spec, settings, log=log)
     artifact = save_model(spark, result.model, f"{store.root}/models/run_id={run_id}/best_model")
 
     record("metrics", metric_report(result))
@@ -333,9 +350,10 @@ def run_training(
         "artifact_paths": {
             "dataset": dataset,
             "model": artifact,
-            **{t: f"{store.path(t)}/run_id={run_id}" for t in SCHEMAS if t != "manifest"},
+            **{t: f"{store.path(t)}/run_id={run_id}" for t in SCHEMAS if t not in ("manifest", "commits")},
         },
         "run_id": run_id,
     }
     store.append("manifest", spark.createDataFrame([Row(**manifest)], SCHEMAS["manifest"]))
+    store.commit(run_id)
     return {**summary, "has_drift": bool(verdict and verdict["has_drift"]), "result": result}

@@ -55,9 +55,13 @@ def choose_source(dataset_path: str | None, fallback: str | None) -> str:
     return chosen
 
 
+def snapshot_path(root: str, run_id: str) -> str:
+    return f"{root}/dataset/run_id={run_id}"
+
+
 def write_snapshot(df: DataFrame, root: str, run_id: str) -> str:
     """Keep the run's input as Parquet; later passes read pruned columns from it."""
-    path = f"{root}/dataset/run_id={run_id}"
+    path = snapshot_path(root, run_id)
     df.write.mode("errorifexists").parquet(path)
     return path
 

@@ -7,12 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from customer_data import SCHEMA, row, rows, table, write_csv
+from rowan.operators import mlp, tuning
 from rowan.operators.mlp import MLPModel, NetworkSettings
 from rowan.operators.scoring import score
 from rowan.plans.scoring import run_scoring
 from rowan.plans.training import TrainingSettings, run_training
 from rowan.sources.models import load_model, save_model
-from rowan.sources.runs import RunStore, new_run_id
+from rowan.sources.runs import SCHEMAS, RunStore, new_run_id
 from rowan.sources.tables import read_raw, write_snapshot
 from rowan.spec import CUSTOMER_SPEC
 from rowan.streaming.scoring import score_new_files
@@ -117,20 +118,83 @@ def test_snapshots_are_never_overwritten(spark, tmp_path):
         write_snapshot(df, str(tmp_path), "r1")
 
 
-def test_tuned_run_feeds_the_final_models(spark, tmp_path):
+def test_tuned_run_feeds_the_final_models(spark, tmp_path, monkeypatch):
+    space = {"n_estimators": (4, 8), "max_depth": (2, None), "min_samples_leaf": (1, 2)}
+    monkeypatch.setattr(tuning, "FOREST_SPACE", space)
     settings = TrainingSettings(
         tuning_enabled=True,
         tuning_samples=3,
         tuning_folds=2,
         cv_enabled=False,
         network=NetworkSettings(enabled=False),
-        models={"random_forest": {"enabled": False}},
     )
     source = write_csv(tmp_path / "in.csv", rows(60))
     result = run_training(spark, source, CUSTOMER_SPEC, str(tmp_path / "out"), settings)["result"]
-    tuned = RunStore(spark, str(tmp_path / "out")).latest("tuning").first()
-    assert (tuned["model"], tuned["num_trials"]) == ("logistic_regression", 3)
-    assert result.settings["logistic_regression"]["C"] == json.loads(tuned["best_params"])["C"]
+    tuned = {r["model"]: r for r in RunStore(spark, str(tmp_path / "out")).latest("tuning").collect()}
+    assert set(tuned) == {"logistic_regression", "random_forest"}
+    for model, row in tuned.items():
+        best = json.loads(row["best_params"])
+        assert row["num_trials"] == 3 and 0 <= row["best_f1_mean"] <= 1
+        assert {k: result.settings[model][k] for k in best} == best
+
+
+class _Killed(Exception):
+    pass
+
+
+def test_a_run_that_ends_between_two_tables_shows_in_none(spark, first_run, monkeypatch):
+    quick = TrainingSettings(
+        cv_enabled=False,
+        network=NetworkSettings(enabled=False),
+        models={"random_forest": {"enabled": False}},
+    )
+    root, source, _ = first_run
+    store = RunStore(spark, root)
+    committed = store.committed()
+    before = {t: store.read(t).collect() for t in SCHEMAS if t != "runs"}
+    append = RunStore.append
+    for last in ("quality", "manifest"):
+
+        def killed(self, table, rows, last=last):
+            append(self, table, rows)
+            if table == last:
+                raise _Killed
+
+        monkeypatch.setattr(RunStore, "append", killed)
+        with pytest.raises(_Killed):
+            run_training(spark, source, CUSTOMER_SPEC, root, quick)
+        monkeypatch.undo()
+        store = RunStore(spark, root)
+        lost = store.run_ids("runs")[-1]
+        assert lost not in committed and store.committed() == committed
+        assert {t: store.read(t).collect() for t in before} == before
+        assert lost not in {r["run_id"] for t in before for r in store.latest(t).collect()}
+        assert store.of_run(last, lost).isEmpty()
+
+
+def test_an_interrupted_run_is_continued(spark, first_run, tmp_path, monkeypatch):
+    root, source, summary = first_run
+    taken = []
+    train_epoch = mlp._Dealt.train
+
+    def counted(self, state):
+        if len(taken) == 2:
+            raise _Killed
+        taken.append(self.epoch.epoch)
+        return train_epoch(self, state)
+
+    out = str(tmp_path / "out")
+    monkeypatch.setattr(mlp._Dealt, "train", counted)
+    with pytest.raises(_Killed):
+        run_training(spark, source, CUSTOMER_SPEC, out, SMALL)
+    monkeypatch.undo()
+    stopped = RunStore(spark, out).run_ids("runs")[-1]
+    done = []
+    monkeypatch.setattr(mlp._Dealt, "train", lambda self, s: done.append(self.epoch.epoch) or train_epoch(self, s))
+    again = run_training(spark, None, CUSTOMER_SPEC, out, SMALL, continues=stopped)
+    assert done[0] == 3
+    history = lambda r: [(e["epoch"], e["train_loss"]) for e in r["result"].history.collect()]
+    assert history(again) == history(summary)
 
 
 def test_new_files_are_scored_once(spark, first_run, tmp_path):

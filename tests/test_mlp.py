@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from rowan.operators.features import FEATURES
 from rowan.operators.learners import LABEL
@@ -21,6 +22,7 @@ from rowan.operators.mlp import (
     train_mlp,
     weighted_loss,
 )
+from rowan.sources.epochs import EpochLog
 
 # A published validation loss curve; best epoch 2, stopped after 6.
 CURVE = (0.727387, 0.712621, 0.714417, 0.714617, 0.714623, 0.715285)
@@ -116,19 +118,25 @@ def accuracy(model, df):
     return np.mean([(r["probability"] >= 0.5) == (r[LABEL] == 1) for r in rows])
 
 
-def train(data, shards, epochs=25, **settings):
+def train(data, tasks=None, epochs=25, log=None, **settings):
     train_rows, held = data
-    options = NetworkSettings(
-        epochs=epochs, batch_size=16, learning_rate=0.01, hidden_dims=(16, 8), dropout=0.0,
-        shards=shards, **settings,
-    )
+    given = {"batch_size": 16, "learning_rate": 0.01, "hidden_dims": (16, 8), "dropout": 0.0, **settings}
+    options = NetworkSettings(epochs=epochs, tasks=tasks, **given)
     sizes = (train_rows.count(), held.count())
-    return train_mlp(train_rows, held, PipelineModel([]), sizes, 1.0, options, 5)
+    return train_mlp(train_rows, held, PipelineModel([]), sizes, 1.0, options, 5, log)
 
 
-@pytest.mark.parametrize("shards", [1, 3])
-def test_training_learns_and_restores_the_best_epoch(data, shards):
-    model = train(data, shards)
+def same(a, b):
+    return a.summary == b.summary and np.array_equal(a.flat, b.flat)
+
+
+# One unit a batch, and batches of many units.
+BATCHES = [{}, {"batch_size": 96, "unit_rows": 16, "learning_rate": 0.03}]
+
+
+@pytest.mark.parametrize("batches", BATCHES)
+def test_training_learns_and_restores_the_best_epoch(data, batches):
+    model = train(data, **batches)
     s = model.summary
     losses = [e["val_loss"] for e in s.history]
     assert s.epochs_completed == len(losses) <= 25
@@ -137,24 +145,59 @@ def test_training_learns_and_restores_the_best_epoch(data, shards):
     assert accuracy(model, data[1]) > 0.8
 
 
-@pytest.mark.parametrize("shards", [1, 4])
-def test_training_does_not_depend_on_input_partitions(spark, shards):
-    one, *more = (train(rows_of(spark, 480, p), shards, epochs=3) for p in (1, 7, 8))
-    for other in more:
-        assert other.summary.history == one.summary.history
-        assert np.array_equal(other.flat, one.flat)
+@pytest.mark.parametrize("batches", BATCHES)
+def test_training_is_the_same_in_any_number_of_tasks(data, batches):
+    one, *more = (train(data, tasks, epochs=2, dropout=0.2, **batches) for tasks in (1, 4, 16))
+    assert all(same(one, other) for other in more)
+
+
+def test_training_does_not_depend_on_input_partitions(spark):
+    one, *more = (train(rows_of(spark, 480, p), epochs=3) for p in (1, 7, 8))
+    assert all(same(one, other) for other in more)
 
 
-def test_rows_are_dealt_by_key(spark):
-    a, b = (train(rows_of(spark, n, 3), 4, epochs=1) for n in (480, 479))
-    first, second = (m.summary.history[0]["train_loss"] for m in (a, b))
-    assert first != second and abs(first - second) < 0.01
+def test_tasks_follow_the_rows(data, monkeypatch):
+    from rowan.operators import mlp
+
+    epoch = mlp._Epoch([3, 4, 1], NetworkSettings(batch_size=16), 1.0, 5, 1)
+    assert mlp._Dealt(mlp._network_input(data[0], F.col("__place")).toDF("y", "x", "place"), 480, epoch).tasks == 1
+    monkeypatch.setattr(mlp, "ROWS_PER_TASK", 50)
+    dealt = mlp._Dealt(mlp._network_input(data[0], F.col("__place")).toDF("y", "x", "place"), 480, epoch)
+    homes = {r["home"]: r["count"] for r in dealt.frame.groupBy("home").count().collect()}
+    assert dealt.tasks == 10 and set(homes) == set(range(10)) and max(homes.values()) < 100
+
 
+def test_every_epoch_deals_all_rows_anew(data):
+    from rowan.operators import mlp
 
-def test_more_shards_than_rows(spark):
+    rows = mlp._network_input(data[0], F.col("__place")).toDF("y", "x", "place")
+    steps = []
+    for epoch in (1, 2):
+        settings = NetworkSettings(batch_size=48)
+        frame = mlp._Dealt(rows, 480, mlp._Epoch([3, 4, 1], settings, 1.0, 5, epoch)).frame
+        steps.append({r["place"]: r["step"] for r in frame.select("place", "step").collect()})
+    assert len(steps[0]) == len(steps[1]) == 480 and set(steps[0].values()) == set(range(10))
+    # A row meets others each time: one in ten stays in its step by chance.
+    assert sum(steps[0][k] == steps[1][k] for k in steps[0]) < 100
+
+
+def test_a_step_is_one_update_with_the_mean_gradient_of_its_rows(data):
+    model = train(data, epochs=1, batch_size=480, unit_rows=64, tasks=3)
+    rows = data[0].select(FEATURES, LABEL).collect()
+    x = np.array([r[FEATURES].toArray() for r in rows], np.float32)
+    y = np.array([r[LABEL] for r in rows], np.float32)
+    dims = [3, 16, 8, 1]
+    state = AdamState.start(initial_parameters(dims, 5))
+    loss, grad = gradient(state.flat, dims, x, y, 1.0)
+    state.step(grad, 0.01, NetworkSettings().weight_decay)
+    assert model.summary.history[0]["train_loss"] == pytest.approx(loss, abs=1e-5)
+    assert model.flat == pytest.approx(state.flat, abs=1e-4)
+
+
+def test_fewer_rows_than_tasks(spark):
     rows, held = rows_of(spark, 5, 2)
-    model = train((rows, held), 16, epochs=2)
-    assert model.summary.epochs_completed == 2
+    for batches in BATCHES:
+        assert train((rows, held), 16, epochs=2, **batches).summary.epochs_completed == 2
 
 
 def test_without_validation_the_last_epoch_is_kept(data):
@@ -165,25 +208,90 @@ def test_without_validation_the_last_epoch_is_kept(data):
     assert "val_loss" not in s.history[0]
 
 
-def test_many_shards_are_combined_in_a_tree(data, monkeypatch):
+@pytest.mark.parametrize("batches", BATCHES)
+def test_a_stopped_training_goes_on_from_its_log(spark, data, tmp_path, batches):
+    whole = train(data, epochs=5, dropout=0.1, **batches)
+    log = EpochLog(spark, f"{tmp_path}/log")
+    part = train(data, epochs=3, log=log, dropout=0.1, **batches)
+    assert part.summary.history == whole.summary.history[:3]
+    again = train(data, 4, epochs=5, log=EpochLog(spark, f"{tmp_path}/log"), dropout=0.1, **batches)
+    assert same(again, whole)
+    # All epochs are there: nothing is trained, and the best is found in the log.
+    assert same(train(data, epochs=5, log=log, dropout=0.1, **batches), whole)
+
+
+def test_an_epoch_that_was_cut_short_leaves_no_trace(spark, data, tmp_path, monkeypatch):
     from rowan.operators import mlp
 
-    whole = train(data, 5, epochs=3)
-    monkeypatch.setattr(mlp, "_FAN_IN", 2)
-    tree = train(data, 5, epochs=3)
-    assert tree.flat == pytest.approx(whole.flat, abs=1e-4)
+    whole = train(data, epochs=4)
+    train_epoch = mlp._Dealt.train
+
+    def lost(self, state):
+        if self.epoch.epoch == 3:
+            raise RuntimeError("driver lost")
+        return train_epoch(self, state)
+
+    monkeypatch.setattr(mlp._Dealt, "train", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        train(data, epochs=4, log=EpochLog(spark, f"{tmp_path}/log"))
+    monkeypatch.undo()
+    assert same(train(data, epochs=4, log=EpochLog(spark, f"{tmp_path}/log")), whole)
+
+
+def test_early_stopping_goes_on_from_the_log(spark, data, tmp_path):
+    settings = {"early_stopping_patience": 2, "min_delta": 0.5}
+    whole = train(data, **settings)
+    assert whole.summary.epochs_completed == 3
+    train(data, epochs=2, log=EpochLog(spark, f"{tmp_path}/log"), **settings)
+    assert same(train(data, log=EpochLog(spark, f"{tmp_path}/log"), **settings), whole)
+
+
+def test_a_log_serves_one_training_only(spark, data, tmp_path):
+    train(data, epochs=1, log=EpochLog(spark, f"{tmp_path}/log"))
+    with pytest.raises(ValueError, match="another training"):
+        train(data, epochs=2, log=EpochLog(spark, f"{tmp_path}/log"), learning_rate=0.5)
+
+
+def test_many_vectors_are_added_up_in_a_tree(spark):
+    from rowan.operators.sums import FAN_IN, SCHEMA, summed, vector_row
+
+    n = FAN_IN * FAN_IN + 5
+
+    def task(batches):
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                if k % 7:
+                    yield vector_row(k, np.array([0.1, k / 3]))
+
+    def total(partitions):
+        return summed(spark.range(n).repartition(partitions).mapInArrow(task, SCHEMA), n)
+
+    kept = [k for k in range(n) if k % 7]
+    assert total(3) == pytest.approx([0.1 * len(kept), sum(kept) / 3])
+    assert total(3).tolist() == total(8).tolist()
+    assert summed(spark.createDataFrame([], SCHEMA), n) is None
 
 
-def test_mini_batches_pass_arrow_batches(spark):
+def test_units_pass_arrow_batches(spark):
     import pyarrow as pa
 
-    from rowan.operators.mlp import _mini_batches
+    from rowan.operators.mlp import _units
 
     x = spark.createDataFrame([(Vectors.sparse(2, [1], [float(k)]),) for k in range(15)], ["x"])
     x = x.coalesce(1).toArrow().combine_chunks().column("x").chunk(0)
-    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(15.0)), x], ["y", "x"])
+    steps = pa.array([0] * 3 + [1] * 7 + [2] * 5, pa.int32())
+    units = pa.array([0] * 3 + [0] * 2 + [4] * 5 + [0] * 5, pa.int32())
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(15.0)), x, steps, units], ["y", "x", "step", "unit"])
     cut = [whole.slice(at, n) for at, n in ((0, 4), (4, 0), (4, 9), (13, 2))]
-    parts = list(_mini_batches(iter(cut), 2, 7))
-    assert [len(y) for _, y in parts] == [7, 7, 1]
-    assert np.concatenate([y for _, y in parts]).tolist() == list(range(15))
-    assert np.concatenate([(m @ np.eye(2))[:, 1] for m, _ in parts]).tolist() == list(range(15))
+    parts = list(_units(iter(cut), 2))
+    assert [(s, u, len(y)) for s, u, _, y in parts] == [(0, 0, 3), (1, 0, 2), (1, 4, 5), (2, 0, 5)]
+    assert np.concatenate([y for *_, y in parts]).tolist() == list(range(15))
+    assert np.concatenate([(m @ np.eye(2))[:, 1] for _, _, m, _ in parts]).tolist() == list(range(15))
+
+
+def test_scores_of_sparse_and_dense_vectors(spark, data):
+    model = train(data, epochs=1)
+    rows = [(Vectors.sparse(3, [1], [2.0]),), (Vectors.dense(0.0, 2.0, 0.0),), (Vectors.sparse(3, [], []),)]
+    scored = [r["probability"] for r in model.probability(spark.createDataFrame(rows, [FEATURES])).collect()]
+    z = logits(model.flat, model.dims, np.array([[0, 2, 0], [0, 2, 0], [0, 0, 0]], np.float32))
+    assert scored == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
