@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from rowan.functions.text import normalise_na
+from rowan.sources.csv_records import read_csv_records, splittable
 
 
 def _format_of(path: str, fmt: str | None) -> str:
@@ -18,12 +19,10 @@ def _format_of(path: str, fmt: str | None) -> str:
 
 def csv_options(path: str = "") -> dict[str, str]:
     """How CSV is read: records may hold quoted line breaks, and a record with too many or too few
-    fields stops the read instead of losing values. ``multiLine=false`` lets large files be split
-    where no field has a line break; ``mode=PERMISSIVE`` fills and cuts records."""
+    fields stops the read instead of losing values. ``mode=PERMISSIVE`` fills and cuts records."""
     return {
         "header": "true",
         "escape": '"',
-        "multiLine": "true",
         "mode": "FAILFAST",
         "columnPruning": "false",
         "sep": "\t" if path.lower().endswith(".tsv") else ",",
@@ -38,13 +37,17 @@ def read_raw(
 ) -> DataFrame:
     """Read a raw table with its text untouched and missing-value tokens as nulls.
 
-    CSV columns all come in as text (no inference pass over the file, leading zeros kept).
-    ``options`` go to Spark's reader, over ``csv_options``.
+    CSV columns all come in as text (no inference pass over the file, leading zeros kept), and large
+    files in several tasks. ``options`` go to Spark's reader, over ``csv_options``; a ``multiLine`` among
+    them, or options that change quotes or line ends, leave the reading to Spark's reader alone.
     """
     fmt = _format_of(path, fmt)
-    defaults = csv_options(path) if fmt == "csv" else {}
-    df = spark.read.format(fmt).options(**{**defaults, **(options or {})}).load(path)
-    return normalise_na(df)
+    given = {**(csv_options(path) if fmt == "csv" else {}), **(options or {})}
+    if fmt == "csv" and splittable(given):
+        return normalise_na(read_csv_records(spark, path, given))
+    if fmt == "csv":
+        given = {"multiLine": "true", **given}
+    return normalise_na(spark.read.format(fmt).options(**given).load(path))
 
 
 def choose_source(dataset_path: str | None, fallback: str | None) -> str:

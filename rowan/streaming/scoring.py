@@ -26,7 +26,7 @@ def score_new_files(
     fmt: str = "parquet",
 ) -> None:
     """Append scores for files of ``source`` that no earlier call has scored."""
-    options = csv_options() if fmt == "csv" else {}
+    options = {"multiLine": "true", **csv_options()} if fmt == "csv" else {}
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
     scored = score(model, normalise_na(reader.load(source)), spec)
     query = (
