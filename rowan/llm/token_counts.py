@@ -2,7 +2,7 @@
 for every context limit.
 
 Texts are read once and only their lengths are kept; documents of equal length are counted before the
-shuffle. Suffix sums run inside stretches of neighbouring lengths and over the stretches' totals, so
+shuffle, and the histogram is written before its rows meet their sums. Suffix sums run inside stretches of neighbouring lengths and over the stretches' totals, so
 that no window holds more than a stretch or the list of stretches, however many lengths there are.
 
 Defined cases: a null or empty text has length zero; a null group is a group like any other; repeated
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowan.llm.common import whole_text
+from rowan.sources.scratch import written
 
 #: Lengths in one stretch.
 STRETCH = 512
@@ -61,10 +62,13 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 def limit_table(histogram: DataFrame) -> DataFrame:
     """For each group and each length that occurs, taken as a context limit: docs (of that length),
     docs_over and tokens_over (of longer documents, whole), total_docs, total_tokens, and
-    truncated_tokens, what is left when every document is cut at the limit.
+    truncated_tokens, what is left when every document is cut at the limit; share_within, the share of
+    documents no longer than the limit, so that every quantile of the lengths is a row's.
 
     Between two lengths that occur the truncated total is linear, so the table answers any limit.
     """
+    # Read twice below; the texts behind it are encoded once.
+    histogram = written(histogram)
     stretch = F.floor(F.col("n_tokens") / STRETCH)
     tokens = F.col("docs") * F.col("n_tokens")
     rows = histogram.select("by", "n_tokens", "docs", tokens.alias("tokens"), stretch.alias("stretch"))
@@ -90,7 +94,8 @@ def limit_table(histogram: DataFrame) -> DataFrame:
         "total_tokens",
     )
     cut = F.col("total_tokens") - F.col("tokens_over") + F.col("docs_over") * F.col("n_tokens")
-    return summed.withColumn("truncated_tokens", cut)
+    within_limit = (F.col("total_docs") - F.col("docs_over")) / F.col("total_docs")
+    return summed.withColumns({"truncated_tokens": cut, "share_within": within_limit})
 
 
 def truncated_totals(table: DataFrame, limits: list[int]) -> DataFrame:
