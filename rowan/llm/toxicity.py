@@ -107,7 +107,7 @@ def _valued(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(task, "toxic double, values array<int>")
 
 
-def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _ratios(rows: DataFrame, features: int, least_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """The hash values that tell the classes apart best, and their log-count ratios."""
     counts = written(
         rows.select("toxic", F.explode("values").alias("value"))
@@ -118,8 +118,8 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     all_bad, all_good = ((x or 0.0) + (1 << HASH_BITS) for x in total)
     ratio = F.log((F.col("bad") + 1) / all_bad) - F.log((F.col("good") + 1) / all_good)
     both = counts.select("value", (F.col("bad") + F.col("good")).alias("rows"), ratio.alias("ratio"))
-    strong = both.where(F.col("rows") >= LEAST_ROWS).orderBy(F.desc(F.abs("ratio") * F.col("rows")), "value")
-    chosen = sorted((r["value"], r["ratio"]) for r in strong.limit(FEATURES).collect())
+    strong = both.where(F.col("rows") >= least_rows).orderBy(F.desc(F.abs("ratio") * F.col("rows")), "value")
+    chosen = sorted((r["value"], r["ratio"]) for r in strong.limit(features).collect())
     return np.array([v for v, _ in chosen], np.int32), np.array([r for _, r in chosen])
 
 
@@ -146,14 +146,22 @@ def _vectors(rows: DataFrame, values: np.ndarray, ratios: np.ndarray) -> DataFra
     return rows.mapInArrow(task, T.StructType().add("label", T.DoubleType()).add("features", VectorUDT()))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """docs: doc_id, text. labels: doc_id, toxic."""
+def fit_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample_rows: int = SAMPLE_ROWS,
+    features: int = FEATURES,
+    least_rows: int = LEAST_ROWS,
+) -> ToxicityModel:
+    """docs: doc_id, text. labels: doc_id, toxic. At most ``features`` hash values get a weight, each of
+    them in ``least_rows`` training rows at least."""
     rows = written(_valued(training_rows(docs, labels, sample_rows)))
     n, bad = rows.agg(F.count("*"), F.sum("toxic")).first()
-    values, ratios = _ratios(rows)
+    values, ratios = _ratios(rows, features, least_rows)
     if not n or bad in (0, n) or not len(values):
         share = (bad or 0.0) / n if n else 0.0
-        return ToxicityModel(values[:0], ratios[:0], math.inf if share == 1 else -math.inf)
+        odds = math.log(share / (1 - share)) if 0 < share < 1 else math.inf if share else -math.inf
+        return ToxicityModel(values[:0], ratios[:0], odds)
     learner = LogisticRegression(regParam=1e-3, standardization=False, maxIter=60)
     fitted = learner.fit(_vectors(rows, values, ratios))
     return ToxicityModel(values, fitted.coefficients.toArray() * ratios, float(fitted.intercept))

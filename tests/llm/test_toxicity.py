@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 
-from rowan.llm.toxicity import SIZES, fit_toxicity, ngram_values, score_toxicity, training_rows
+from rowan.llm.toxicity import HASH_BITS, SIZES, fit_toxicity, ngram_values, score_toxicity, training_rows
 from tests.llm.plain import AWKWARD, awkward
 
 
@@ -82,3 +82,54 @@ def test_ngrams_do_not_depend_on_blocks(monkeypatch):
     assert (ngram_values(text) == whole).all()
     assert len(ngram_values("")) == len(ngram_values(" \n ")) == 0
     assert len(ngram_values("ab")) == 1 and min(SIZES) == 4
+
+
+def plain_scores(rows, labels, features, least_rows):
+    """Counts, ratios and the penalised fit in numpy; every text's score."""
+    known = {i: float(t) for i, _, t in labels if zlib.crc32(str(i).encode()) % 5}
+    values = {i: ngram_values((t or "").lower()) for i, t in rows}
+    good, bad = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
+    for i, t in known.items():
+        (bad if t else good)[values[i]] += 1
+    ratio = np.log((bad + 1) / (bad.sum() + len(bad))) - np.log((good + 1) / (good.sum() + len(good)))
+    rank = np.where(good + bad >= least_rows, np.abs(ratio) * (good + bad), -1)
+    chosen = np.argsort(-rank, kind="stable")[:features]
+    chosen = chosen[rank[chosen] >= 0]
+    place = {v: k for k, v in enumerate(chosen)}
+
+    def vector(i):
+        x = np.zeros(len(chosen) + 1)
+        x[-1] = 1
+        for v in values[i]:
+            if v in place:
+                x[place[v]] = ratio[v]
+        return x
+
+    x, y = np.array([vector(i) for i in known]), np.array(list(known.values()))
+    w, penalty = np.zeros(x.shape[1]), np.append(np.full(len(chosen), 1e-3), 0)
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-x @ w))
+        slopes = x.T @ (p - y) / len(y) + penalty * w
+        w -= np.linalg.solve((x.T * (p * (1 - p))) @ x / len(y) + np.diag(penalty + 1e-9), slopes)
+    return {i: 1 / (1 + np.exp(-vector(i) @ w)) for i, _ in rows}
+
+
+def test_scores_agree_with_a_plain_fit(spark):
+    rows, labels = corpus(120)
+    draw = random.Random(1)
+    labels = [(i, q, t if draw.random() < 0.9 else 1 - t) for i, q, t in labels]
+    docs = awkward(spark, rows)
+    model = fit_toxicity(docs, labelled(spark, labels), features=60, least_rows=4)
+    want = plain_scores(rows, labels, 60, 4)
+    assert len(model.values) == 60
+    for r in score_toxicity(docs, model).collect():
+        assert abs(r["score"] - want[r["doc_id"]]) < 0.01
+
+
+def test_both_classes_without_a_common_ngram(spark):
+    rows = [(i, f"text{i * 7919}") for i in range(40)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(40)]
+    known = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5]
+    model = fit_toxicity(awkward(spark, rows), labelled(spark, labels), least_rows=41)
+    for r in score_toxicity(awkward(spark, rows), model).collect():
+        assert abs(r["score"] - np.mean(known)) < 1e-9
