@@ -5,6 +5,11 @@ go, as rows of token and position, to a recursive query that joins neighbouring
 table and contracts each word's leftmost pair of least rank until none is left. Decoding joins ids with
 the vocabulary and aggregates their bytes in order.
 
+A long stretch without a break is cut into overlapping pieces of PIECE bytes, encoded like words of their own.
+Ids are those of the whole where every two neighbours among them are what they encode to together, so two pieces
+may be joined behind a token that both have at the same place. Pieces that share none are encoded again as one,
+so that the work grows with the length of a stretch unless its tokens hang on each other over long distances.
+
 Memory in a task is bounded: texts are taken in batches, new words in blocks, and the words kept are
 let go beyond WORDS_KEPT. No rows are shuffled, so a hot source or group costs no more than other rows.
 
@@ -36,8 +41,11 @@ BLOCK_BYTES = 800_000
 BLOCK_TOKENS = 1_000_000
 #: Characters of text that a task encodes at a time; a longer text is taken alone.
 BATCH_CHARS = 2_500_000
-#: Longer stretches contract all pairs of least rank in a round, where that cannot change the result.
+#: Longer pieces contract all pairs of least rank in a round, where that cannot change the result.
 LONG = 48
+#: Bytes of a piece of a long stretch, and how many of them it shares with the next.
+PIECE = 48
+SHARED = 24
 
 #: A mark names one pair of all, so that windows need not heed where a word ends.
 _LEFTMOST = """
@@ -134,6 +142,19 @@ class _Known:
         return np.array(self.ids, np.int32)[take], sizes
 
 
+def _seam(a: tuple[int, np.ndarray, np.ndarray], b: tuple[int, np.ndarray, np.ndarray]) -> int:
+    """The end of the first token that both pieces have at the same place and that has a next one in the
+    second; -1 if there is none."""
+    own = a[1] >= b[0]
+    both = np.flatnonzero(np.isin(b[1][:-1], a[1][own]))
+    for k in both:
+        j = int(np.searchsorted(a[1], b[1][k]))
+        # The last token of the first piece is cut short perhaps, one that both have is not.
+        if j + 1 < len(a[1]) and a[1][j + 1] == b[1][k + 1] and a[2][j] == b[2][k]:
+            return int(b[1][k + 1])
+    return -1
+
+
 class Coder:
     """A rank file and pattern, with the DuckDB tables made from them; one for each Python worker."""
 
@@ -210,17 +231,73 @@ class Coder:
         cut = np.ones(len(data), bool)
         cut[1:] = ~self.joins[data[:-1], data[1:]]
         cut[starts[:-1]] = True
+        begins = np.flatnonzero(cut)
+        sizes = np.diff(np.append(begins, len(data)))
+        short = np.repeat(sizes <= PIECE, sizes)
         stretch = np.cumsum(cut) - 1
-        tokens, pos = self.byte_token[data], np.arange(len(data), dtype=np.int32)
-        long = np.bincount(stretch)[stretch] > LONG
-        both = ((_LEFTMOST, ~long), (_ALL_OF_A_RANK, long))
-        parts = [self._contract(query, stretch[m], pos[m], tokens[m]) for query, m in both]
+        pos = np.arange(len(data), dtype=np.int32)
+        parts = [self._contract(_LEFTMOST, stretch[short], pos[short], self.byte_token[data[short]])]
+        long = sizes > PIECE
+        parts += [self._long(data, begins[long], sizes[long])] if long.any() else []
         pos, tokens = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(pos, kind="stable")
         tokens, ends = tokens[order].tolist(), np.searchsorted(pos[order], starts).tolist()
         for k, a, b in zip(to, ends, ends[1:], strict=False):
             lists[k] = tokens[a:b]
 
+    def _long(self, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and ids of the tokens of stretches longer than a piece."""
+        step = PIECE - SHARED
+        counts = np.maximum(1, -(-(sizes - SHARED) // step))
+        of = np.repeat(np.arange(len(sizes)), counts)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+        low = begins[of] + nth * step
+        high = np.minimum(low + PIECE, (begins + sizes)[of])
+        # Encoded pieces, in order: where each begins, the places of its tokens and their ids.
+        done: list[tuple[int, np.ndarray, np.ndarray]] = self._pieces(data, low, high)
+        stop = high
+        while True:
+            # Behind which token each piece takes over from the one before it; -1 where none is shared.
+            seam = np.array([-1] + [_seam(a, b) for a, b in zip(done, done[1:], strict=False)])
+            first = np.append(True, of[1:] != of[:-1])
+            lost = (seam < 0) & ~first
+            if not lost.any():
+                break
+            heads, tails = np.flatnonzero(~lost), np.append(np.flatnonzero(~lost)[1:], len(of)) - 1
+            grown = heads != tails
+            again = iter(self._pieces(data, low[heads[grown]], stop[tails[grown]]))
+            done = [next(again) if g else done[h] for g, h in zip(grown, heads, strict=True)]
+            of, low, stop = of[heads], low[heads], stop[tails]
+        places, tokens = [], []
+        for k, (_, at, ids) in enumerate(done):
+            begin = seam[k] if not first[k] else at[0]
+            end = seam[k + 1] if k + 1 < len(done) and not first[k + 1] else stop[k]
+            own = (at >= begin) & (at < end)
+            places.append(at[own])
+            tokens.append(ids[own])
+        return np.concatenate(places), np.concatenate(tokens)
+
+    def _pieces(self, data: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """The tokens of every piece, with their places in the data."""
+        out = []
+        begin = 0
+        sizes = high - low
+        while begin < len(low):
+            end = max(begin + 1, int(np.searchsorted(np.cumsum(sizes[begin:]), BLOCK_BYTES, side="right")) + begin)
+            n = sizes[begin:end]
+            piece = np.repeat(np.arange(end - begin), n)
+            shift = low[begin:end] - (np.cumsum(n) - n)
+            own = np.arange(n.sum(), dtype=np.int32)
+            at = own + np.repeat(shift, n)
+            tokens = self.byte_token[data[at]]
+            query = _LEFTMOST if n.max() <= LONG else _ALL_OF_A_RANK
+            pos, ids = self._contract(query, piece, own, tokens)
+            ends = np.searchsorted(pos, np.cumsum(n))
+            begins = np.append(0, ends[:-1])
+            out += [(int(low[begin + k]), at[pos[a:b]], ids[a:b]) for k, (a, b) in enumerate(zip(begins, ends, strict=True))]
+            begin = end
+        return out
+
     def _contract(self, query: str, word: np.ndarray, pos: np.ndarray, token: np.ndarray):
         if not len(pos):
             return pos, token

@@ -64,6 +64,28 @@ def test_hard_words(library):
         assert coder.decode(ids, sizes) == [t.encode() for t in texts]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_long_words_without_a_break(library, seed):
+    draw = random.Random(seed)
+    coder = Coder(FILE, PATTERN)
+    known = [k.decode() for k in coder.ranks if k.isalpha() and k.isascii()]
+    texts = [
+        "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40_000)),
+        "".join(draw.choice("ACGT") for _ in range(20_000)),
+        "".join(draw.choice("ab") for _ in range(9_000)),
+        "".join(draw.choice(known) for _ in range(3_000)),
+        "".join(draw.choice(known) + "a" * draw.randrange(120) + "the" * draw.randrange(50) for _ in range(200)),
+        "".join(draw.choice("#*$%&|<>=-_") for _ in range(5_000)),
+        "".join(chr(draw.randrange(0x4E00, 0x9FFF)) for _ in range(5_000)),
+        "-" * 30_000,
+    ]
+    ids, sizes = coder.encode(texts)
+    at = 0
+    for text, size in zip(texts, sizes, strict=True):
+        assert ids[at : at + size].tolist() == library.encode_ordinary(text)
+        at += size
+
+
 def test_generations_of_known_words(library, monkeypatch):
     monkeypatch.setattr("rowan.llm.bpe.WORDS_KEPT", 5)
     coder = Coder(FILE, PATTERN)
