@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from rowan.llm import lexical
 from rowan.llm.lexical import _Query, build_index, index_sizes, impact_lists, query_terms, ranked
 from tests.llm.plain import AWKWARD, LOWER, awkward, ordered
 
@@ -53,17 +52,15 @@ def corpus(n, seed=3):
     return [(int(k), " ".join(draw.choice(vocabulary, s, p=share))) for k, s in enumerate(sizes)]
 
 
-@pytest.mark.parametrize("docs_in_block", [lexical.BLOCK_DOCS, 30])
-def test_same_as_scoring_every_document(spark, monkeypatch, docs_in_block):
+@pytest.mark.parametrize("docs_in_block", [150, 30])
+def test_same_as_scoring_every_document(spark, docs_in_block):
     rows = corpus(600)
     draw = np.random.default_rng(4)
     items = [(k, " ".join(f"w{w}" for w in draw.integers(0, 420, s))) for k, s in enumerate([1, 2, 3, 9, 40, 200])]
     items += [(9, "w1 w1 W1 w2"), (9, "w1 w1 W1 w2"), (9, "w300"), (10, None), (11, ""), (12, "unheard of")]
-    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    if docs_in_block < 100:  # tasks import the module anew: smaller blocks by more partitions
-        table = table.repartition(20)
-    assert searched(spark, table, items) == plain(rows, items)
-    assert searched(spark, table, items, 3) == plain(rows, items, 3)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(600 // docs_in_block)
+    most = 20 if docs_in_block > 100 else 3
+    assert searched(spark, table, items, most) == plain(rows, items, most)
 
 
 def test_awkward_documents(spark):
