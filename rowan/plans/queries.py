@@ -22,6 +22,7 @@ from rowan.operators.learners import (
     class_weights,
     positive_weight,
 )
+from rowan.operators.dictionary import CategoryDictionary, WidePreprocessor
 from rowan.operators.mlp import MLPModel, NetworkSettings
 from rowan.operators.scoring import score
 from rowan.operators.split import clamp_folds, inner_split, stratified_folds, stratified_split
@@ -346,6 +347,32 @@ def fit_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dictionary_slots(
+    spark: SparkSession, sf_dir: str, numeric: list[str], texts: list[str], fitted_on: str = "true"
+) -> DataFrame:
+    """As ``_slots``, with the categories as a table that is joined."""
+    df = _customers(spark, sf_dir, "c_custkey", *numeric, *texts)
+    part = df.filter(fitted_on)
+    fitted = WidePreprocessor(features.fit_numeric(part, numeric), CategoryDictionary.fit(part, texts))
+    vector = vector_to_array(F.col(features.FEATURES)).alias("vector")
+    return fitted.transform(df).select("c_custkey", vector)
+
+
+def onehot_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = _dictionary_slots(spark, sf_dir, [], ["segment", "nation"])
+    cells = hot.select("c_custkey", F.posexplode("vector").alias("slot", "value"))
+    return cells.filter("value <> 0")
+
+
+def fit_apart_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``fit_apart``, with the categories as a table."""
+    part = "c_custkey % 3 <> 0 AND segment <> 'BUILDING'"
+    rows = _dictionary_slots(spark, sf_dir, list(views.CUSTOMERS.numeric), ["segment"], part)
+    return rows.select("c_custkey", F.posexplode("vector").alias("slot", "value")).select(
+        "c_custkey", "slot", (F.round("value", 6) + 0.0).alias("value")
+    )
+
+
 def schema_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No number declared: the columns' types make the same features as the declaration."""
     spec = replace(views.CUSTOMERS, numeric=())
@@ -549,9 +576,13 @@ def _document_folds(spark: SparkSession, sf_dir: str, k: int):
     df = views.documents(spark, sf_dir)
     label = encode_label(F.col(spec.target), spec.positive, spec.negative)
     df = df.withColumn(LABEL, label).persist()
-    folds = stratified_folds(df, LABEL, spec.key, k, SEED)
-    if clamp_folds(k, folds.sizes) < k:
-        raise ValueError(f"Too few rows of a class for {k} folds.")
+    try:
+        folds = stratified_folds(df, LABEL, spec.key, k, SEED)
+        if clamp_folds(k, folds.sizes) < k:
+            raise ValueError(f"Too few rows of a class for {k} folds.")
+    except Exception:
+        df.unpersist()
+        raise
     return df, folds, spec.feature_columns(views.DOCUMENTS.required)
 
 
@@ -632,6 +663,8 @@ QUERIES: dict[str, Query] = {
     "onehot": onehot,
     "feature_matrix": feature_matrix,
     "fit_apart": fit_apart,
+    "onehot_dictionary": onehot_dictionary,
+    "fit_apart_dictionary": fit_apart_dictionary,
     "schema_roles": schema_roles,
     "score_linear_fixed": score_linear_fixed,
     "score_network_fixed": score_network_fixed,
