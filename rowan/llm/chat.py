@@ -11,13 +11,13 @@ where the template sets them.
 Windows are built from bounded spans, whatever a conversation's length. Only the running sum and, in
 `digests`, a conversation's own digest need one conversation's turns in order in one task.
 
-Costs are whatever the caller counts. `with_token_costs` counts the tokens of each turn as the template
-renders it, marks and escapes included; without it a turn costs an estimate from its bytes, which real
-tokens exceed (invented words take more than a token for four bytes), and so do its windows the budget.
+Costs are tokens: `with_token_costs` counts those of each turn as the template renders it, marks and escapes
+included. No estimate stands in for them.
 
 Defined cases: a null text or role is empty; a null conversation id is a conversation like any other;
 turns that share a number are ordered by role and text; repeated rows are turns each; a single turn over
-the budget is a window of its own; an empty table gives no windows; further columns are ignored,
+the budget is a window of its own; a system turn that leaves no room for others still goes into every window,
+each of which then holds one turn more; an empty table gives no windows; further columns are ignored,
 whatever their names.
 """
 
@@ -32,8 +32,6 @@ OPEN, MIDDLE, CLOSE = "<|turn|>", "<|says|>", "<|end|>"
 #: Costs that a window may hold, and how much of that history may take.
 BUDGET = 1024
 HISTORY = 128
-#: What a turn costs besides its text.
-MARKS_COST = 8
 
 
 def escaped(text: Column) -> Column:
@@ -45,11 +43,6 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\<\[])\\", "$1")
 
 
-def turn_cost(text: Column) -> Column:
-    """A quarter of the text's bytes, rounded up, and the marks: an estimate, not a count of tokens."""
-    return F.ceil(F.octet_length(text) / 4).cast("long") + MARKS_COST
-
-
 def with_token_costs(turns: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """conv_id, turn, role, text and cost: the tokens of the rendered turn, its marks as plain text.
 
@@ -87,13 +80,12 @@ def _laid_out(pieces: Column) -> Column:
 
 
 def chat_windows(
-    turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, cost: Column | None = None
+    turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, cost: str = "cost"
 ) -> DataFrame:
-    """turns: conv_id, turn, role, text. Gives conv_id, window (from 0), formatted, new_from (where the
+    """turns: conv_id, turn, role, text and a column of costs. Gives conv_id, window (from 0), formatted, new_from (where the
     window's own turns begin), loss (stretches of characters trained on), n_new and cost."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    own_cost = turn_cost(text) if cost is None else cost
-    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), own_cost.alias("c"))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.col(cost).cast("long").alias("c"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     placed = rows.withColumn("n", F.row_number().over(order)).withColumn(
         "system", (F.col("n") == 1) & (F.col("role") == "system")

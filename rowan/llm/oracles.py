@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from rowan.llm.chat import BUDGET, CLOSE, HISTORY, MARKS_COST, MIDDLE, OPEN
 from rowan.llm.clusters import CENTROIDS, DIM, ROUNDS, SALT, SCALE
 from rowan.llm.lexical import MOST
 from rowan.llm.quality_rules import RULES, policy_mask
@@ -68,58 +67,6 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM d LEFT JOIN kept USING (r)
 """
 
-_ESCAPED = r"regexp_replace({}, '([\\<\[])', '\1\\', 'g')"
-
-OP10 = rf"""
-WITH given AS (
-  SELECT conv_id, turn, role, text FROM conversations
-  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
-), t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
-  FROM given
-), c AS (
-  SELECT *, n = 1 AND role = 'system' AS system, CAST(ceil(strlen(text) / 4) AS BIGINT) + {MARKS_COST} AS cost,
-    {len(OPEN + MIDDLE + CLOSE)} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) AS shown
-  FROM t
-), s AS (
-  SELECT *, sum(CASE WHEN system THEN 0 ELSE cost END) OVER w AS stop,
-    sum(CASE WHEN system THEN cost ELSE 0 END) OVER w AS head_cost,
-    sum(CASE WHEN system THEN shown ELSE 0 END) OVER w AS head_shown
-  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY n)
-), p AS (
-  SELECT *, stop - CASE WHEN system THEN 0 ELSE cost END AS start,
-    greatest({BUDGET - HISTORY} - head_cost, 1) AS room FROM s
-), q AS (SELECT *, start // room AS part, stop > (start // room + 1) * room AS over FROM p),
-r AS (
-  SELECT *, CASE WHEN system THEN coalesce(lead(over) OVER (PARTITION BY conv_id ORDER BY n), false) ELSE over END
-    AS crosses, max(head_shown) OVER (PARTITION BY conv_id) AS head FROM q
-), spans AS (
-  SELECT conv_id, part, crosses, min(n) AS first, min(start) AS start, sum(shown) AS own, any_value(head) AS head
-  FROM r GROUP BY ALL
-), windows AS (SELECT *, first = min(first) OVER (PARTITION BY conv_id) AS opening FROM spans),
-past AS (
-  SELECT w.conv_id, w.first, sum(r.shown) AS shown FROM windows w JOIN r
-    ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND NOT r.system
-      AND r.start BETWEEN w.start - {HISTORY} AND w.start - 1
-  GROUP BY ALL
-), chars AS (
-  SELECT w.conv_id, sum(own + CASE WHEN opening THEN 0 ELSE head END + coalesce(past.shown, 0)) AS formatted_chars
-  FROM windows w LEFT JOIN past ON past.conv_id IS NOT DISTINCT FROM w.conv_id AND past.first = w.first
-  GROUP BY w.conv_id
-), told AS (
-  SELECT conv_id, count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
-    coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '') AS loss
-  FROM t GROUP BY conv_id
-)
-SELECT told.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
-  CAST(formatted_chars AS BIGINT) AS formatted_chars
-FROM told JOIN chars ON told.conv_id IS NOT DISTINCT FROM chars.conv_id
-"""
-
-
-
 def _op11(dim: int = DIM, scale: int = SCALE, count: int = CENTROIDS, rounds: int = ROUNDS, salt: int = SALT) -> str:
     """One pair of tables for every round."""
     assigned = """
@@ -218,7 +165,6 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": OP4,
     "op6_line_dedup": OP6,
     "op8_substring_dedup": OP8,
-    "op10_chat_formatting": OP10,
     "op11_centroid_clustering": _op11(),
     "op12_rendezvous_sharding": OP12,
     "op13_lexical_search": OP13,

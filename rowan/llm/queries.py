@@ -108,15 +108,9 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the windows of every conversation, and of one full of control strings, read back as.
 
-    Costs are estimates from bytes, as in the SQL twin; op10_chat_token_windows counts tokens.
+    Windows hold the budget in tokens of the rendered turns.
     """
-    return chat.digests(chat.chat_windows(_turns(spark, sf_dir)))
-
-
-def op10_chat_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op10_chat_formatting, in windows that hold the budget in tokens of the rendered turns."""
-    counted = chat.with_token_costs(_turns(spark, sf_dir), *tokenizer())
-    return chat.digests(chat.chat_windows(counted, cost=F.col("cost")))
+    return chat.digests(chat.chat_windows(chat.with_token_costs(_turns(spark, sf_dir), *tokenizer())))
 
 
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_chat_formatting": op10_chat_formatting,
-    "op10_chat_token_windows": op10_chat_token_windows,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_rendezvous_sharding": op12_rendezvous_sharding,
     "op13_lexical_search": op13_lexical_search,

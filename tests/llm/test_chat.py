@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowan.llm.chat import (
-    BUDGET, CLOSE, HISTORY, MARKS_COST, MIDDLE, OPEN, chat_windows, digests, escaped, unescaped, with_token_costs,
+    BUDGET, CLOSE, HISTORY, MIDDLE, OPEN, chat_windows, digests, escaped, unescaped, with_token_costs,
 )
 from rowan.llm.queries import QUERIES, tokenizer
 from tests.llm.plain import CLASHES, ordered, sha
@@ -22,7 +22,10 @@ ODD = [
 
 
 def frame(spark, rows):
+    """Turns that cost a quarter of their bytes and eight, where a test does not count tokens."""
     made = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    cost = F.ceil(F.octet_length(F.coalesce("text", F.lit(""))) / 4) + 8
+    made = made.withColumn("cost", cost.cast("long"))
     return made.selectExpr("*", *(f"'clash' AS `{c}`" for c in CLASHES)).repartition(3)
 
 
@@ -61,7 +64,7 @@ def test_digests_read_back(spark):
 @pytest.mark.parametrize(("budget", "history"), [(120, 0), (300, 60), (2000, 500)])
 def test_windows_keep_to_the_budget(spark, budget, history):
     rows = talk(2)
-    cost = lambda t: -(-len(t.encode()) // 4) + MARKS_COST
+    cost = lambda t: -(-len(t.encode()) // 4) + 8
     talks = by_conversation(rows)
     for w in chat_windows(frame(spark, rows), budget, history).collect():
         turns = talks[w["conv_id"]]
@@ -103,7 +106,7 @@ def test_only_a_system_turn(spark):
 
 def test_own_costs(spark):
     rows = [(1, k, "assistant", "x") for k in range(10)]
-    assert chat_windows(frame(spark, rows), 12, 2, F.lit(5).cast("long")).count() == 5
+    assert chat_windows(frame(spark, rows).withColumn("cost", F.lit(5)), 12, 2).count() == 5
 
 
 def test_empty_table(spark):
@@ -157,7 +160,7 @@ def test_token_windows_hold_real_tokens(spark, count, budget, history):
     for r in counted.collect():
         assert r["cost"] == count(shown(r["role"] or "", r["text"] or ""))
     got: dict = {}
-    for w in chat_windows(counted, budget, history, F.col("cost")).collect():
+    for w in chat_windows(counted, budget, history).collect():
         got.setdefault(w["conv_id"], {})[w["window"]] = w["formatted"]
     for c, turns in by_conversation(rows).items():
         want = plain_windows(turns, count, budget, history)
@@ -171,7 +174,7 @@ def test_token_window_query_agrees_with_plain_loops(spark, count):
     rows = [tuple(r) for r in spark.read.parquet(str(DATA / "conversations.parquet")).select(
         "conv_id", "turn", "role", "text").collect()]
     talks = by_conversation(rows + [(-1, 0, "user", said), (-1, 1, "assistant", said)])
-    got = {r["conv_id"]: r for r in QUERIES["op10_chat_token_windows"](spark, str(DATA)).collect()}
+    got = {r["conv_id"]: r for r in QUERIES["op10_chat_formatting"](spark, str(DATA)).collect()}
     assert set(got) == set(talks)
     for c, turns in talks.items():
         want = plain_windows(turns, count, BUDGET, HISTORY)
