@@ -79,6 +79,14 @@ def test_forest_is_reproducible_and_respects_leaf_size(data):
     assert max(t.depth for t in model.trees) < 20
 
 
+def test_forest_rows_keep_their_nodes_and_trees_stay_the_same(data):
+    _, y, _, df = data
+    kept = build_estimator("random_forest", {"n_estimators": 5, "max_depth": 6}, len(y), 7)
+    assert kept.getCacheNodeIds()
+    anew = kept.copy({kept.cacheNodeIds: False})
+    assert kept.fit(df).toDebugString.partition("\n")[2] == anew.fit(df).toDebugString.partition("\n")[2]
+
+
 def test_candidates_and_unknown_family():
     assert list(candidates()) == ["logistic_regression", "random_forest"]
     assert list(candidates({"logistic_regression": {"enabled": False}})) == ["random_forest"]
