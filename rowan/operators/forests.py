@@ -9,7 +9,7 @@ each depth tells its vote there, and running sums over the trees tell the vote o
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -44,14 +44,17 @@ class Trees:
 
     @classmethod
     def of(cls, spark: SparkSession, model: RandomForestClassificationModel) -> Trees:
-        """Read back from the model as Spark ML writes it: as large as the model itself."""
+        """Read back from the model as Spark ML writes it: as large as the model itself. Only numbers come
+        over, a list's cells as columns of their own."""
         path = f"{shared_folder(spark)}/rowan-forest-{uuid.uuid4().hex}"
         model.write().save(path)
         nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-        split = ("split.featureIndex", "split.leftCategoriesOrThreshold", "split.numCategories")
         told = nodes.select(
-            "treeID", "id", "prediction", "impurityStats", "leftChild", "rightChild",
-            *[F.col(c).alias(c.partition(".")[2]) for c in split],
+            "treeID", "id", "prediction", "leftChild", "rightChild",
+            *[F.get("impurityStats", F.lit(c)).alias(f"class{c}") for c in (0, 1)],
+            F.col("split.featureIndex").alias("featureIndex"),
+            F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("first"),
+            F.col("split.numCategories").alias("numCategories"),
         ).toPandas().sort_values(["treeID", "id"], ignore_index=True)
         remove(spark, path)
         tree = told["treeID"].to_numpy()
@@ -64,14 +67,13 @@ class Trees:
         if (kinds[inner] > 2).any():
             raise ValueError("Only numbers and two-valued categories can be split on.")
         threshold = np.zeros(len(told))
-        firsts = told["leftCategoriesOrThreshold"].to_numpy()
-        threshold[inner] = [v[0] for v in firsts[inner]]
+        threshold[inner] = told["first"].to_numpy()[inner]
         # A category that goes left: zeros go left of one half, or right.
         named = inner & (kinds == 2)
         swap = named & (threshold == 1)
         threshold[named] = 0.5
         left, right = np.where(swap, right, left), np.where(swap, left, right)
-        stats = np.stack(told["impurityStats"].to_numpy())
+        stats = told[["class0", "class1"]].to_numpy()
         total = stats.sum(axis=1, keepdims=True)
         votes = np.divide(stats, total, out=np.zeros_like(stats), where=total != 0)
         feature = told["featureIndex"].to_numpy().astype(np.int64)
@@ -105,10 +107,20 @@ class Trees:
                 home[child] = np.where(leaf[home[inner]], home[inner], child)
         return home
 
-    def calls(self, x: np.ndarray, wanted: Sequence[tuple[int, int]]) -> np.ndarray:
-        """Class 1 or not for every row, by every (depth, number of trees) wanted."""
+    def cuts(self, wanted: Sequence[tuple[int, int]]) -> dict[int, np.ndarray]:
+        """``cut`` at every depth wanted: a pass over all nodes for each, whatever the rows."""
+        return {d: self.cut(d) for d in {d for d, _ in wanted}}
+
+    def calls(
+        self,
+        x: np.ndarray,
+        wanted: Sequence[tuple[int, int]],
+        homes: Mapping[int, np.ndarray] | None = None,
+    ) -> np.ndarray:
+        """Class 1 or not for every row, by every (depth, number of trees) wanted; ``homes`` are the
+        ``cuts`` of these, for whoever calls more than once."""
         out = np.zeros((len(x), len(wanted)), bool)
-        homes = {d: self.cut(d) for d in {d for d, _ in wanted}}
+        homes = self.cuts(wanted) if homes is None else homes
         for at in range(0, len(x), _BLOCK):
             block = x[at : at + _BLOCK]
             row = np.arange(len(block))[:, None]
@@ -120,8 +132,9 @@ class Trees:
                         if d == depth:
                             out[at : at + _BLOCK, k] = running[:, trees - 1, 1] > running[:, trees - 1, 0]
                 inner = self.left[node] >= 0
-                down = block[row, self.feature[node]] <= self.threshold[node]
-                node = np.where(inner, np.where(down, self.left[node], self.right[node]), node)
+                if inner.any():
+                    down = block[row, self.feature[node]] <= self.threshold[node]
+                    node = np.where(inner, np.where(down, self.left[node], self.right[node]), node)
         return out
 
 
@@ -142,16 +155,17 @@ def largest(trials: Sequence[Mapping[str, Any]]) -> dict[int, dict[str, Any]]:
     return {leaf: {**held, "min_samples_leaf": leaf} for leaf, held in out.items()}
 
 
-def forest_confusion(
-    held_out: DataFrame, grown: Mapping[int, Trees], trials: Sequence[Mapping[str, Any]], width: int
-) -> DataFrame:
-    """Every trial's forest against all rows: (fit, tp, fp, fn, tn), ``fit`` being the trial's place."""
+def _counts(grown: Mapping[int, Trees], trials: Sequence[Mapping[str, Any]], width: int) -> Callable:
+    """Confusion counts of every trial's forest, summed over a task's rows."""
     asked = {
         leaf: [k for k, t in enumerate(trials) if t["min_samples_leaf"] == leaf] for leaf in grown
     }
+    wanted = {leaf: [shape_of(trials[k]) for k in places] for leaf, places in asked.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((len(trials), 4), np.int64)
+        # Once for the task: trees grow with the table, as the number of blocks does.
+        homes = {leaf: grown[leaf].cuts(wanted[leaf]) for leaf in asked}
         for batch in batches:
             y = batch.column("y").to_numpy(zero_copy_only=False)
             rows = SparseRows.of(batch.column("x"), width, np.float64)
@@ -159,10 +173,17 @@ def forest_confusion(
                 x = rows[at : at + _BLOCK].dense()
                 part = y[at : at + _BLOCK]
                 for leaf, places in asked.items():
-                    said = grown[leaf].calls(x, [shape_of(trials[k]) for k in places])
+                    said = grown[leaf].calls(x, wanted[leaf], homes[leaf])
                     out[places] += counts_of(said, part, np.ones(len(part), bool))
         yield counts_batch(np.arange(len(trials)), out)
 
+    return run
+
+
+def forest_confusion(
+    held_out: DataFrame, grown: Mapping[int, Trees], trials: Sequence[Mapping[str, Any]], width: int
+) -> DataFrame:
+    """Every trial's forest against all rows: (fit, tp, fp, fn, tn), ``fit`` being the trial's place."""
     rows = held_out.select(F.col(LABEL).cast("double").alias("y"), F.col(FEATURES).alias("x"))
-    counted = rows.mapInArrow(run, "fit int, tp bigint, fp bigint, fn bigint, tn bigint")
+    counted = rows.mapInArrow(_counts(grown, trials, width), "fit int, tp bigint, fp bigint, fn bigint, tn bigint")
     return counted.groupBy("fit").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])

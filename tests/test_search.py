@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from rowan import CUSTOMER_SPEC
-from rowan.operators import stacked
+from rowan.operators import forests, stacked
 from rowan.operators.cv import FOLD, fold_preprocessors
 from rowan.operators.features import FEATURES, fit_categories, fit_categories_folds, fit_numeric, fit_numeric_folds
 from rowan.operators.forests import Trees, forest_confusion, largest
@@ -152,6 +153,33 @@ def test_one_forest_answers_all_trials_of_a_leaf_size(rows, forest):
     assert (alone == said[:, 2]).all()
 
 
+def test_trees_are_cut_once_for_all_rows_of_a_task(rows, forest, monkeypatch):
+    _, x, y, _ = rows
+    trees = forest[1]
+    trials = [
+        {"n_estimators": 3, "max_depth": 2, "min_samples_leaf": 2},
+        {"n_estimators": 12, "max_depth": None, "min_samples_leaf": 2},
+    ]
+    vectors = {
+        "type": np.ones(len(x), np.int8), "size": np.zeros(len(x), np.int32),
+        "indices": [[]] * len(x), "values": x.tolist(),
+    }
+    kinds = {"indices": pa.list_(pa.int32())}
+    cells = pa.StructArray.from_arrays(
+        [pa.array(v, kinds.get(name)) for name, v in vectors.items()], names=list(vectors)
+    )
+    batch = pa.RecordBatch.from_pydict({"y": pa.array(y), "x": cells})
+    said = trees.calls(x, [(2, 3), (30, 12)])
+    cuts, cut = [], Trees.cut
+    monkeypatch.setattr(Trees, "cut", lambda self, depth: cuts.append(depth) or cut(self, depth))
+    # Two batches of two blocks.
+    counted = next(forests._counts({2: trees}, trials, 7)(iter([batch, batch]))).to_pylist()
+    assert sorted(cuts) == [2, 30]
+    for k, c in enumerate(counted):
+        assert c["tp"] == 2 * (said[:, k] & (y == 1)).sum()
+        assert c["fp"] == 2 * (said[:, k] & (y == 0)).sum()
+
+
 def test_cut_forests_are_as_good_as_grown_ones(rows, forest):
     frame, x, y, _ = rows
     settings = {"n_estimators": 12, "max_depth": 3, "min_samples_leaf": 2}
