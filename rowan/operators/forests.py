@@ -100,7 +100,7 @@ class Trees:
             a, b = self.left[inner], self.right[inner]
             same = inner[leaf[a] & leaf[b] & (call[a] == call[b])]
             leaf[same], call[same] = True, call[self.left[same]]
-        home = np.arange(len(leaf))
+        home = np.arange(len(leaf), dtype=np.int32)
         for level in levels[:-1]:
             inner = level[self.left[level] >= 0]
             for child in (self.left[inner], self.right[inner]):
@@ -123,18 +123,21 @@ class Trees:
         homes = self.cuts(wanted) if homes is None else homes
         for at in range(0, len(x), _BLOCK):
             block = x[at : at + _BLOCK]
-            row = np.arange(len(block))[:, None]
-            node = np.broadcast_to(self.roots, (len(block), len(self.roots)))
+            node = np.tile(self.roots, (len(block), 1))
+            # Rows and trees, numbered on, that are not in a leaf yet: only these go down.
+            seen = node.ravel()
+            going = np.flatnonzero(self.left[seen] >= 0)
             for depth in range(max(homes) + 1):
                 if depth in homes:
                     running = self.votes[homes[depth][node]].cumsum(axis=1)
                     for k, (d, trees) in enumerate(wanted):
                         if d == depth:
                             out[at : at + _BLOCK, k] = running[:, trees - 1, 1] > running[:, trees - 1, 0]
-                inner = self.left[node] >= 0
-                if inner.any():
-                    down = block[row, self.feature[node]] <= self.threshold[node]
-                    node = np.where(inner, np.where(down, self.left[node], self.right[node]), node)
+                if len(going):
+                    here = seen[going]
+                    down = block[going // len(self.roots), self.feature[here]] <= self.threshold[here]
+                    seen[going] = here = np.where(down, self.left[here], self.right[here])
+                    going = going[self.left[here] >= 0]
         return out
 
 

@@ -180,6 +180,31 @@ def test_trees_are_cut_once_for_all_rows_of_a_task(rows, forest, monkeypatch):
         assert c["fp"] == 2 * (said[:, k] & (y == 0)).sum()
 
 
+def test_only_rows_not_in_a_leaf_go_down(rows, forest):
+    _, x, *_ = rows
+    trees = forest[1]
+    steps, leaf = 0, trees.left < 0
+    for a in x[:50]:
+        node = trees.roots[~leaf[trees.roots]]
+        while len(node):
+            steps += len(node)
+            node = np.where(a[trees.feature[node]] <= trees.threshold[node], trees.left[node], trees.right[node])
+            node = node[~leaf[node]]
+
+    taken = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            taken.append(np.size(at))
+            return np.asarray(self)[at]
+
+    watched = Trees(
+        trees.roots, trees.feature, trees.threshold.view(Counted), trees.left, trees.right, trees.votes, trees.call
+    )
+    assert (watched.calls(x[:50], [(30, 12)]) == trees.calls(x[:50], [(30, 12)])).all()
+    assert sum(taken) == steps
+
+
 def test_cut_forests_are_as_good_as_grown_ones(rows, forest):
     frame, x, y, _ = rows
     settings = {"n_estimators": 12, "max_depth": 3, "min_samples_leaf": 2}
