@@ -4,6 +4,9 @@ A forest's first trees are a forest of fewer trees, and trees cut at a depth are
 a split does not hang on what is grown below it. So one forest, grown to the largest depth and number of trees
 asked for, answers every smaller depth and number: a row is sent down its trees once, the node it passes at
 each depth tells its vote there, and running sums over the trees tell the vote of every number of them.
+
+Driver and closures hold the trees of the forests in flight only: a forest's trials are counted as soon as it is
+grown, and it is dropped then.
 """
 
 from __future__ import annotations
@@ -31,7 +34,10 @@ _BLOCK = 512
 
 @dataclass
 class Trees:
-    """Binary classification trees as arrays over their nodes; -1 stands for no child."""
+    """Binary classification trees as arrays over their nodes; -1 stands for no child.
+
+    Held in the driver while its trials are counted and sent to every task, so kept narrow: under 40 bytes a node.
+    """
 
     roots: np.ndarray
     feature: np.ndarray
@@ -45,39 +51,44 @@ class Trees:
     @classmethod
     def of(cls, spark: SparkSession, model: RandomForestClassificationModel) -> Trees:
         """Read back from the model as Spark ML writes it: as large as the model itself. Only numbers come
-        over, a list's cells as columns of their own."""
+        over, in the types they are kept in, a list's cells as columns of their own."""
         path = f"{shared_folder(spark)}/rowan-forest-{uuid.uuid4().hex}"
         model.write().save(path)
-        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-        told = nodes.select(
-            "treeID", "id", "prediction", "leftChild", "rightChild",
-            *[F.get("impurityStats", F.lit(c)).alias(f"class{c}") for c in (0, 1)],
-            F.col("split.featureIndex").alias("featureIndex"),
-            F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("first"),
-            F.col("split.numCategories").alias("numCategories"),
-        ).toPandas().sort_values(["treeID", "id"], ignore_index=True)
-        remove(spark, path)
-        tree = told["treeID"].to_numpy()
-        roots = np.unique(tree, return_index=True)[1]
+        try:
+            nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+            told = nodes.select(
+                F.col("treeID").cast("int"), F.col("id").cast("int"), F.col("prediction").cast("tinyint"),
+                F.col("leftChild").cast("int"), F.col("rightChild").cast("int"),
+                *[F.get("impurityStats", F.lit(c)).alias(f"class{c}") for c in (0, 1)],
+                F.col("split.featureIndex").cast("int").alias("featureIndex"),
+                F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("first"),
+                F.col("split.numCategories").cast("int").alias("numCategories"),
+            ).toArrow()
+        finally:
+            remove(spark, path)
+        columns = {c: told[c].to_numpy() for c in told.column_names}
+        del told
+        order = np.lexsort([columns["id"], columns["treeID"]])
+        columns = {c: columns[c][order] for c in list(columns)}
+        tree = columns.pop("treeID")
+        roots = np.unique(tree, return_index=True)[1].astype(np.int32)
         start = roots[tree]
-        left, right = (told[c].to_numpy().astype(np.int64) for c in ("leftChild", "rightChild"))
-        left, right = (np.where(c >= 0, c + start, -1) for c in (left, right))
+        left, right = (columns.pop(c) for c in ("leftChild", "rightChild"))
+        left, right = (np.where(c >= 0, c + start, np.int32(-1)) for c in (left, right))
         inner = left >= 0
-        kinds = told["numCategories"].to_numpy()
+        kinds = columns.pop("numCategories")
         if (kinds[inner] > 2).any():
             raise ValueError("Only numbers and two-valued categories can be split on.")
-        threshold = np.zeros(len(told))
-        threshold[inner] = told["first"].to_numpy()[inner]
+        threshold = np.where(inner, columns.pop("first"), 0.0)
         # A category that goes left: zeros go left of one half, or right.
         named = inner & (kinds == 2)
         swap = named & (threshold == 1)
         threshold[named] = 0.5
         left, right = np.where(swap, right, left), np.where(swap, left, right)
-        stats = told[["class0", "class1"]].to_numpy()
+        stats = np.stack([columns.pop("class0"), columns.pop("class1")], axis=1)
         total = stats.sum(axis=1, keepdims=True)
         votes = np.divide(stats, total, out=np.zeros_like(stats), where=total != 0)
-        feature = told["featureIndex"].to_numpy().astype(np.int64)
-        return cls(roots, feature, threshold, left, right, votes, told["prediction"].to_numpy())
+        return cls(roots, columns["featureIndex"], threshold, left, right, votes, columns["prediction"])
 
     def first(self, trees: int) -> Trees:
         return Trees(

@@ -80,23 +80,25 @@ def _stacked_scores(
 def _forest_scores(
     fold: int,
     frame: tuple[DataFrame, DataFrame, int],
+    settings: Mapping[str, Any],
     trials: Sequence[Mapping[str, Any]],
     width: int,
     seed: int,
-    jobs: int,
 ) -> list[tuple[int, int, float]]:
-    """All forest trials of a fold, from a forest for each leaf size."""
+    """All trials of a fold and leaf size from one forest, which is dropped afterwards."""
     fitting, held_out, n = frame
+    leaf = settings["min_samples_leaf"]
+    own = [i for i, t in enumerate(trials) if t["min_samples_leaf"] == leaf]
     data = labelled(fitting)
+    trees = Trees.of(data.sparkSession, build_estimator("random_forest", settings, n, seed).fit(data))
+    counted = forest_confusion(held_out, {leaf: trees}, [trials[i] for i in own], width)
+    return _scored(counted, [(fold, i) for i in own])
 
-    def grow(item: tuple[int, dict[str, Any]]) -> tuple[int, Trees]:
-        model = build_estimator("random_forest", item[1], n, seed).fit(data)
-        return item[0], Trees.of(data.sparkSession, model)
 
-    # The small leaves' forests first: they run longest.
-    grown = dict(in_parallel(grow, sorted(largest(trials).items()), jobs))
-    counted = forest_confusion(held_out, grown, trials, width)
-    return _scored(counted, [(fold, i) for i in range(len(trials))])
+def forests_at_once(tasks: int, slots: int, parallelism: int) -> int:
+    """Forests in flight: one has its rows, with a node and a weight for each tree, in the executors and its
+    trees in the driver, so no more than keep all slots busy while others wait for the driver."""
+    return max(1, min(parallelism, max(2, -(-3 * slots // tasks))))
 
 
 def _scored(counts: DataFrame, asked: Sequence[tuple[int, int]]) -> list[tuple[int, int, float]]:
@@ -136,23 +138,28 @@ def run_trials(
             sizes = in_parallel(lambda j: frames[j][0].first()[FEATURES].size, group, parallelism)
             in_parallel(lambda j: frames[j][0].count(), group, parallelism)
             width, rows = max(sizes), sum(folds.sizes.values())
-            work: list[tuple[str, int | None]] = []
-            if "random_forest" in trials:
-                work += [("random_forest", j) for j in group]
+            # The solver's many short passes go first, and the small leaves' forests: they run longest.
+            work: list[tuple[str, Any]] = []
             if "logistic_regression" in trials:
                 work.append(("logistic_regression", None))
-            each = max(1, -(-parallelism // len(work))) if work else 1
+            solvers = len(work)
+            if "random_forest" in trials:
+                grown = sorted(largest(trials["random_forest"]).items())
+                work += [("random_forest", (j, settings)) for _, settings in grown for j in group]
 
-            def score(item: tuple[str, int | None]) -> list[tuple[str, int, int, float]]:
-                family, j = item
-                if j is None:
+            def score(item: tuple[str, Any]) -> list[tuple[str, int, int, float]]:
+                family, asked = item
+                if family == "logistic_regression":
                     tasks = len(group) * tasks_for(rows)
                     found = _stacked_scores(frames, trials[family], width, tasks)
                 else:
-                    found = _forest_scores(j, frames[j], trials[family], width, seed, each)
+                    j, settings = asked
+                    found = _forest_scores(j, frames[j], settings, trials[family], width, seed)
                 return [(family, trial, fold, f1) for fold, trial, f1 in found]
 
-            scores += [row for part in in_parallel(score, work, parallelism) for row in part]
+            slots = train.sparkSession.sparkContext.defaultParallelism
+            at_once = solvers + forests_at_once(tasks_for(rows), slots, parallelism)
+            scores += [row for part in in_parallel(score, work, min(parallelism, at_once)) for row in part]
     spark = train.sparkSession
     per_fold = spark.createDataFrame(scores, "model string, trial int, fold int, f1 double")
     per_trial = per_fold.groupBy("model", "trial").agg(

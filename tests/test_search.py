@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import weakref
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from rowan import CUSTOMER_SPEC
-from rowan.operators import forests, stacked
+from rowan.operators import forests, stacked, tuning
 from rowan.operators.cv import FOLD, fold_preprocessors
 from rowan.operators.features import FEATURES, fit_categories, fit_categories_folds, fit_numeric, fit_numeric_folds
 from rowan.operators.forests import Trees, forest_confusion, largest
@@ -180,6 +182,27 @@ def test_trees_are_cut_once_for_all_rows_of_a_task(rows, forest, monkeypatch):
         assert c["fp"] == 2 * (said[:, k] & (y == 0)).sum()
 
 
+def test_trees_are_held_in_few_bytes_a_node(forest):
+    model, trees = forest
+    parts = [trees.feature, trees.threshold, trees.left, trees.right, trees.votes, trees.call]
+    assert {len(p) for p in parts} == {model.totalNumNodes}
+    assert sum(p.nbytes for p in parts) < 40 * model.totalNumNodes
+
+
+def test_trees_come_over_without_row_objects(spark, forest, monkeypatch):
+    model, trees = forest
+
+    def refuse(*_):
+        raise AssertionError("a Python object for every node")
+
+    # As in a session without Arrow.
+    monkeypatch.setattr(type(spark.range(1)), "collect", refuse)
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", refuse)
+    again = Trees.of(spark, model)
+    for name in ("roots", "feature", "threshold", "left", "right", "votes", "call"):
+        assert (getattr(again, name) == getattr(trees, name)).all()
+
+
 def test_only_rows_not_in_a_leaf_go_down(rows, forest):
     _, x, *_ = rows
     trees = forest[1]
@@ -205,6 +228,45 @@ def test_only_rows_not_in_a_leaf_go_down(rows, forest):
     assert sum(taken) == steps
 
 
+def test_a_forest_is_counted_and_dropped_before_the_next(spark, monkeypatch):
+    space = {"n_estimators": (2, 4), "max_depth": (2, None), "min_samples_leaf": (1, 2, 4)}
+    monkeypatch.setattr(tuning, "FOREST_SPACE", space)
+    df = table(spark, customers(200)).withColumn(LABEL, F.when(F.col("Churn") == "Yes", 1.0).otherwise(0.0))
+    columns = CUSTOMER_SPEC.feature_columns(df.columns)
+    folds = stratified_folds(df, LABEL, "customerID", 2, 1)
+    asked, alive, most = [], set(), []
+    confusion_of, read = tuning.forest_confusion, Trees.of
+
+    def counted(held_out, grown, trials, width):
+        asked.append((list(grown), sorted({t["min_samples_leaf"] for t in trials})))
+        return confusion_of(held_out, grown, trials, width)
+
+    def of(*given):
+        trees = read(*given)
+        alive.add(id(trees.votes))
+        weakref.finalize(trees.votes, alive.discard, id(trees.votes))
+        most.append(len(alive))
+        return trees
+
+    monkeypatch.setattr(tuning, "forest_confusion", counted)
+    monkeypatch.setattr(Trees, "of", of)
+    found, sampled = tuning.run_trials(df, CUSTOMER_SPEC, {"random_forest": {}}, folds, columns, 8, 5, parallelism=1)
+    leaves = sorted({t["min_samples_leaf"] for t in sampled["random_forest"]})
+    assert len(leaves) > 1
+    assert sorted(asked) == sorted([([leaf], [leaf]) for leaf in leaves for _ in range(2)])
+    assert max(most) == 1
+    got = found.orderBy("trial").collect()
+    assert [r["trial"] for r in got] == list(range(8)) and all(0 <= r["f1_mean"] <= 1 for r in got)
+
+
+def test_forests_in_flight_follow_the_slots():
+    # Small tables: as many as may run. Large ones: enough for all slots, at least two.
+    assert tuning.forests_at_once(1, 12, 8) == 8
+    assert tuning.forests_at_once(11, 12, 8) == 4
+    assert tuning.forests_at_once(70, 12, 8) == 2
+    assert tuning.forests_at_once(70, 12, 1) == 1
+
+
 def test_cut_forests_are_as_good_as_grown_ones(rows, forest):
     frame, x, y, _ = rows
     settings = {"n_estimators": 12, "max_depth": 3, "min_samples_leaf": 2}
